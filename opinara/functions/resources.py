@@ -1,0 +1,130 @@
+"""Small language tables. Lists are fixed values in their usual public order."""
+
+from __future__ import annotations
+
+import sys
+import unicodedata
+
+from pyspark.ml.feature import StopWordsRemover
+
+# The common public English stop list.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself
+yourselves he him his himself she she's her hers herself it it's its itself they them their
+theirs themselves what which who whom this that that'll these those am is are was were be been
+being have has had having do does did doing a an the and but if or because as until while of at
+by for with about against between into through during before after above below to from up down
+in out on off over under again further then once here there when where why how all any both
+each few more most other some such no nor not only own same so than too very s t can will just
+don don't should should've now d ll m o re ve y ain aren aren't couldn couldn't didn didn't
+doesn doesn't hadn hadn't hasn hasn't haven haven't isn isn't ma mightn mightn't mustn mustn't
+needn needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
+""".split()
+
+# Negations the classifier keeps.
+KEPT_NEGATIONS = ["no", "not"]
+
+# English short forms as (pattern, replacement), longest special cases first.
+CONTRACTIONS = [
+    (r"(?i)\bwon't\b", "will not"),
+    (r"(?i)\bcan't\b", "cannot"),
+    (r"(?i)\bshan't\b", "shall not"),
+    (r"(?i)\bain't\b", "are not"),
+    (r"(?i)\blet's\b", "let us"),
+    (r"(?i)\by'all\b", "you all"),
+    (r"(?i)\bgonna\b", "going to"),
+    (r"(?i)\bwanna\b", "want to"),
+    (r"(?i)\bgotta\b", "got to"),
+    (r"(?i)\bgimme\b", "give me"),
+    (r"(?i)\blemme\b", "let me"),
+    (r"(?i)n't\b", " not"),
+    (r"(?i)'re\b", " are"),
+    (r"(?i)'ve\b", " have"),
+    (r"(?i)'ll\b", " will"),
+    (r"(?i)\bi'm\b", "I am"),
+    (r"(?i)\b(he|she|it|i|we|you|they|that|there|who|what|how)'d\b", "$1 would"),
+    (r"(?i)\b(he|she|it|that|there|here|who|what|where|when|why|how)'s\b", "$1 is"),
+]
+
+# Irregular English noun plurals.
+IRREGULAR_NOUNS = {
+    "children": "child",
+    "feet": "foot",
+    "teeth": "tooth",
+    "geese": "goose",
+    "mice": "mouse",
+    "lice": "louse",
+    "oxen": "ox",
+    "knives": "knife",
+    "lives": "life",
+    "wives": "wife",
+    "leaves": "leaf",
+    "wolves": "wolf",
+    "shelves": "shelf",
+    "halves": "half",
+    "selves": "self",
+    "criteria": "criterion",
+    "phenomena": "phenomenon",
+}
+
+# Noun suffix rules as (ending, replacement).
+NOUN_SUFFIXES = [
+    ("s", ""),
+    ("ses", "s"),
+    ("ves", "f"),
+    ("xes", "x"),
+    ("zes", "z"),
+    ("ches", "ch"),
+    ("shes", "sh"),
+    ("men", "man"),
+    ("ies", "y"),
+]
+
+# Usual short names that differ from the Unicode character name.
+EMOJI_SHORT_NAMES = {
+    "❤": "red_heart",
+    "⭐": "star",
+    "\U0001f44d": "thumbs_up",
+    "\U0001f44e": "thumbs_down",
+    "\U0001f44c": "OK_hand",
+    "\U0001f44f": "clapping_hands",
+    "\U0001f4af": "hundred_points",
+    "\U0001f3b6": "musical_notes",
+    "\U0001f60d": "smiling_face_with_heart-eyes",
+    "\U0001f621": "enraged_face",
+    "\U0001f64f": "folded_hands",
+    "\U0001f603": "grinning_face_with_big_eyes",
+    "\U0001f604": "grinning_face_with_smiling_eyes",
+    "\U0001f601": "beaming_face_with_smiling_eyes",
+    "\U0001f60a": "smiling_face_with_smiling_eyes",
+    "\U0001f62d": "loudly_crying_face",
+}
+
+# Character ranges treated as emoji (with the optional variation selector after them).
+EMOJI_CLASS = "[☀-➿⭐⭕\U0001f300-\U0001f64f\U0001f680-\U0001f6ff\U0001f900-\U0001faff]"
+
+
+def stop_words(language: str = "english", keep: list[str] | None = None) -> list[str]:
+    if language == "english":
+        words = ENGLISH_STOP_WORDS
+    else:
+        words = StopWordsRemover.loadDefaultStopWords(language)
+    return [word for word in words if word not in set(keep or [])]
+
+
+def accent_table() -> tuple[str, str]:
+    """Characters whose canonical decomposition is one base letter plus marks, and that letter."""
+    accented, plain = [], []
+    for point in range(0x80, min(0xFFFF, sys.maxunicode)):
+        char = chr(point)
+        bare = [c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"]
+        if len(bare) == 1 and bare[0] != char and not 0xD800 <= point <= 0xDFFF:
+            accented.append(char)
+            plain.append(bare[0])
+    return "".join(accented), "".join(plain)
+
+
+def emoji_name(char: str) -> str:
+    if char in EMOJI_SHORT_NAMES:
+        return EMOJI_SHORT_NAMES[char]
+    return unicodedata.name(char, "").lower().replace(" ", "_")
