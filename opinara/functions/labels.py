@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from opinara.functions.resources import WHITE_SPACE
+
 # Scores belonging to each sentiment band.
 BANDS = {"negative": [1, 2], "neutral": [3], "positive": [4, 5]}
 
@@ -42,8 +44,7 @@ def sentiment_band(score: Column) -> Column:
 
 def normalize_answer(answer: Column) -> Column:
     """Class named in a free-text answer; the first class found in the order below wins."""
-    trimmed = F.lower(F.regexp_replace(answer, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
-    clean = F.translate(trimmed, ANSWER_PUNCTUATION, "")
+    clean = F.translate(F.lower(F.btrim(answer, F.lit(WHITE_SPACE))), ANSWER_PUNCTUATION, "")
     return (
         F.when(clean.contains("positivo"), POSITIVE)
         .when(clean.contains("negativo"), NEGATIVE)

@@ -80,6 +80,15 @@ NOUN_SUFFIXES = [
     ("ies", "y"),
 ]
 
+# Characters stripped from both ends of a generated line.
+LIST_MARKS = "-•0123456789. )("
+
+# White space stripped from both ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Usual short names that differ from the Unicode character name.
 EMOJI_SHORT_NAMES = {
     "❤": "red_heart",

@@ -123,29 +123,23 @@ def two_char_words(text: Column) -> Column:
 
 
 def ngrams(words: Column, low: int, high: int) -> Column:
-    """All runs of low..high words joined by a blank, repeats kept."""
-    if (low, high) == (1, 1):
-        return words
-    runs = []
-    for n in range(low, high + 1):
-        if n == 1:
-            runs.append(words)
-            continue
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
-            F.array().cast("array<int>")
-        )
-        runs.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
+    """All runs of low..high words joined by a blank, repeats kept.
+
+    Runs grow by zipping with the shifted words, so ``words`` is never looked at once per element.
+    """
+    run, runs = words, [words] if low == 1 else []
+    for n in range(2, high + 1):
+        longer = F.zip_with(run, F.slice(words, n, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+        run = F.filter(longer, lambda gram: gram.isNotNull())
+        if n >= low:
+            runs.append(run)
     return F.concat(*runs)
 
 
 def clean_lines(answer: Column) -> Column:
     """Lines of a generated answer with list marks stripped from both ends, blank lines dropped."""
-    edge = r"[-•0-9. )(]+"
-    space = r"[\s\p{Z}]+"
-    trim = rf"^{space}|{space}$"
-    strip = rf"^{edge}|{edge}$"
+    marks, space = F.lit(resources.LIST_MARKS), F.lit(resources.WHITE_SPACE)
     lines = F.transform(
-        F.split(answer, LINE_BREAK),
-        lambda line: F.regexp_replace(F.regexp_replace(F.regexp_replace(line, trim, ""), strip, ""), trim, ""),
+        F.split(answer, LINE_BREAK), lambda line: F.btrim(F.btrim(F.btrim(line, space), marks), space)
     )
     return F.filter(lines, lambda line: line != "")

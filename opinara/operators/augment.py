@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import labels, prompts
+from opinara.functions.resources import WHITE_SPACE
 from opinara.functions.text import clean_lines, fill_empty
 from opinara.operators.distributions import class_deficit, class_distribution, percent_quota, score_distribution, smallest_scores
 from opinara.operators.sampling import base_rows, pick_examples, sample_n
@@ -40,7 +41,7 @@ def classify_plan(df: DataFrame, n: int, text: str = "review", row_id: str = "ro
 
 def classify_collect(plan: DataFrame, responses: DataFrame) -> DataFrame:
     """Append the class named by each answer; a failed request is unknown and shows its error."""
-    answer = F.regexp_replace("response", r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    answer = F.btrim("response", F.lit(WHITE_SPACE))
     label = F.when(F.col("error").isNull(), labels.normalize_answer(answer)).otherwise(labels.UNKNOWN_ANSWER)
     return (
         plan.join(responses.select("prompt_id", "response", "error"), "prompt_id", "left")

@@ -24,7 +24,9 @@ class Vocabulary:
 
 def document_frequency(df: DataFrame, grams: Column) -> DataFrame:
     """(term, df). Repeats are removed inside the row, so one pre-aggregated shuffle is enough."""
-    return df.select(F.explode(F.array_distinct(grams)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # The outer form spares a second evaluation of the grams in an inferred emptiness test.
+    terms = df.select(F.explode_outer(F.array_distinct(grams)).alias("term")).where(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def fit_vocabulary(df: DataFrame, grams: Column, min_df: int = 5, max_df: float = 0.8) -> Vocabulary:
@@ -57,7 +59,9 @@ def gram_counts(df: DataFrame, grams: Column, out: str = "counts") -> DataFrame:
 
 def term_counts(df: DataFrame, grams: Column, carry: list[str]) -> DataFrame:
     """(carry..., term, n), one row per distinct term of each input row."""
-    return gram_counts(df, grams).select(*carry, F.inline("counts"))
+    # The outer form keeps the optimizer from testing the counts below the columns they are built on,
+    # which would sort a row's words again for each of them.
+    return gram_counts(df, grams).select(*carry, F.inline_outer("counts")).where(F.col("term").isNotNull())
 
 
 def bag_of_words(df: DataFrame, grams: Column, vocabulary: Vocabulary, carry: list[str] | None = None) -> DataFrame:

@@ -94,10 +94,12 @@ def _label(df: DataFrame, spec: JobSpec) -> Column:
     return rating_to_pnn(F.col(spec.target)) if spec.pnn else F.col(spec.target)
 
 
-def _words(prepared: Prepared) -> Column:
+def _with_words(df: DataFrame, prepared: Prepared) -> DataFrame:
+    """Add the ``words`` array: n-grams over all text columns, cleaned and joined."""
     spec = prepared.spec
     texts = [tx.simplify_text(F.col(c), spec.language) for c in prepared.roles["text"]]
-    return tx.ngrams(tx.two_char_words(tx.concat_texts(*texts)), *spec.ngram_range)
+    single = df.withColumn("words", tx.two_char_words(tx.concat_texts(*texts)))
+    return single.withColumn("words", tx.ngrams(F.col("words"), *spec.ngram_range))
 
 
 def fit_preparation(train: DataFrame, spec: JobSpec) -> Prepared:
@@ -111,7 +113,8 @@ def fit_preparation(train: DataFrame, spec: JobSpec) -> Prepared:
     scaler = prepare.fit_scaler(encoder.apply(whole), roles["numeric"], spec.scaler)
     prepared = Prepared(spec, roles, imputer, encoder, scaler, None)
     if roles["text"] and spec.text_process in ("tf-idf", "bow"):
-        prepared.vocabulary = features.fit_vocabulary(whole, _words(prepared), spec.min_df, spec.max_df)
+        worded = _with_words(whole, prepared)
+        prepared.vocabulary = features.fit_vocabulary(worded, F.col("words"), spec.min_df, spec.max_df)
     return prepared
 
 
@@ -120,9 +123,12 @@ def prepared_rows(df: DataFrame, prepared: Prepared) -> DataFrame:
     spec = prepared.spec
     whole = prepared.imputer.apply(prepare.drop_features(df, list(spec.drop_features)))
     scaled = prepared.scaler.apply(prepared.encoder.apply(whole))
-    words = _words(prepared) if prepared.vocabulary is not None else F.array().cast("array<string>")
+    if prepared.vocabulary is not None:
+        worded = _with_words(scaled, prepared)
+    else:
+        worded = scaled.withColumn("words", F.array().cast("array<string>"))
     label = [_label(df, spec).alias("label")] if spec.target in df.columns else []
-    return scaled.select("row_id", *label, *prepared.plain_columns, words.alias("words"))
+    return worded.select("row_id", *label, *prepared.plain_columns, "words")
 
 
 def _long_rows(rows: DataFrame, prepared: Prepared, carry: list[str]) -> DataFrame:
