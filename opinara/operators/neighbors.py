@@ -80,7 +80,7 @@ def knn(
     k: int,
     p: int = 2,
     exclude: str = "none",
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(row_id, neighbor_id, y, distance, position) of the k nearest training rows of every query.
@@ -104,7 +104,12 @@ def knn(
             F.col("val").cast("array<double>").alias("val"),
         )
 
+    n_train, n_queries = train.count(), queries.count()
     train, queries = shaped(train), shaped(queries)
+    if pivots is None:
+        # Blocks smaller than a chunk only cost tasks, so a small table gets few pivots.
+        pivots = max(1, min(PIVOTS, n_train // chunk_rows))
+    rings = RINGS if n_train > chunk_rows else 1
     # A bounded number of rows, spread by hash, serve as pivots.
     seeds = train.orderBy(lehmer(F.col("row_id")), "row_id").limit(pivots).select("idx", "val").collect()
     if not seeds:
@@ -122,7 +127,9 @@ def knn(
     # Ring width comes from the pivots themselves, so no pass over the table is spent on it.
     centers = _Postings(seed_idx, seed_val)
     spread = max(float(centers.distances(i, v, p).max()) for i, v in zip(seed_idx, seed_val, strict=True))
-    ring = F.least(F.floor(F.col("away") * RINGS / (spread or 1.0)), F.lit(RINGS - 1)).cast("int")
+    if spread == 0:
+        spread = 1.0
+    ring = F.least(F.floor(F.col("away") * rings / spread), F.lit(rings - 1)).cast("int")
     placed = assigned.withColumn("ring", ring)
     keys = ["space", "fold", "pivot", "ring"] if exclude == "fold" else ["space", "pivot", "ring"]
     stats = placed.groupBy(*keys).agg(
@@ -135,28 +142,30 @@ def knn(
     blocks["chunks"] = np.ceil(blocks["n"] / chunk_rows).astype(int)
     if "fold" not in blocks:
         blocks["fold"] = -1
-    n_queries = queries.count()
     query_chunks = max(1, -(-n_queries // chunk_rows))
     need = k + 1 if exclude == "self" else k
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centers = _Postings(seed_idx, seed_val)
-        by_space = dict(tuple(blocks.groupby("space")))
-        nothing = blocks.iloc[:0]
+        by_space = {
+            space: {c: part[c].to_numpy() for c in ("fold", "pivot", "near", "far", "n", "block")}
+            for space, part in blocks.groupby("space")
+        }
+        nothing = {c: blocks[c].to_numpy()[:0] for c in ("fold", "pivot", "near", "far", "n", "block")}
         for batch in batches:
             visits = []
             for space, fold, idx, val in zip(batch["space"], batch["fold"], batch["idx"], batch["val"], strict=True):
                 open_to = by_space.get(space, nothing)
-                if exclude == "fold":
-                    open_to = open_to[open_to["fold"] != fold]
-                center = centers.distances(idx, val, p)[open_to["pivot"].to_numpy()]
-                near, far = open_to["near"].to_numpy(), open_to["far"].to_numpy()
-                most = center + far
+                allowed = open_to["fold"] != fold if exclude == "fold" else np.ones(len(open_to["fold"]), bool)
+                center = centers.distances(idx, val, p)[open_to["pivot"]]
+                near, far = open_to["near"], open_to["far"]
+                most = np.where(allowed, center + far, np.inf)
                 order = np.argsort(most, kind="stable")
-                enough = np.searchsorted(np.cumsum(open_to["n"].to_numpy()[order]), need)
+                enough = np.searchsorted(np.cumsum(np.where(allowed, open_to["n"], 0)[order]), need)
                 bound = most[order[enough]] if enough < len(order) else np.inf
                 least = np.maximum(np.maximum(center - far, near - center), 0.0)
-                visits.append(open_to["block"].to_numpy()[least <= bound * (1 + 1e-9) + 1e-9].astype(np.int32))
+                near_enough = allowed & (least <= bound * (1 + 1e-9) + 1e-9)
+                visits.append(open_to["block"][near_enough].astype(np.int32))
             yield batch.assign(blocks=visits)
 
     table = spark.createDataFrame(
@@ -200,10 +209,9 @@ def knn(
                     away = np.where(ids == row_id, np.inf, away)
                 best = np.lexsort((ids, away))[:k]
                 best = best[np.isfinite(away[best])]
-                found.append(pd.DataFrame({"row_id": row_id, "neighbor_id": ids[best], "y": ys[best], "distance": away[best]}))
-        if not found:
-            return pd.DataFrame({"row_id": [], "neighbor_id": [], "y": [], "distance": []})
-        return pd.concat(found)
+                found.append((np.full(len(best), row_id), ids[best], ys[best], away[best]))
+        columns = [np.concatenate(part) for part in zip(*found, strict=True)] if found else [[], [], [], []]
+        return pd.DataFrame(dict(zip(("row_id", "neighbor_id", "y", "distance"), columns, strict=True)))
 
     where = ["block", "chunk", "part"]
     candidates = asked.groupBy(*where).cogroup(here.groupBy(*where)).applyInPandas(search, FOUND)
