@@ -229,29 +229,23 @@ def knn_votes(neighbors: DataFrame, cells: list[dict], labels: list) -> DataFram
     listed = neighbors.where(F.col("position") <= k_max).groupBy("row_id").agg(
         F.array_sort(F.collect_list(F.struct("position", "distance", "y"))).alias("near")
     )
+    def class_vote(near: Column, weighting: str, j: int) -> Column:
+        def weight(n: Column) -> Column:
+            if weighting == "uniform":
+                return F.lit(1.0)
+            touching = F.exists(near, lambda m: m["distance"] == 0)
+            inverse = 1.0 / F.when(n["distance"] > 0, n["distance"])
+            return F.when(touching, (n["distance"] == 0).cast("double")).otherwise(inverse)
+
+        def add(total: Column, n: Column) -> Column:
+            return total + F.when(n["y"] == j, weight(n)).otherwise(0.0)
+
+        return F.round(F.aggregate(near, F.lit(0.0), add), 9)
+
     picks = []
     for cell in cells:
         near = F.slice("near", 1, cell["n_neighbors"])
-        if cell.get("weights", "uniform") == "uniform":
-            weight = lambda n: F.lit(1.0)
-        else:
-            touching = F.exists(near, lambda n: n["distance"] == 0)
-            weight = lambda n, t=touching: F.when(
-                t, F.when(n["distance"] == 0, 1.0).otherwise(0.0)
-            ).otherwise(1.0 / F.when(n["distance"] > 0, n["distance"]))
-        votes = F.array(
-            *[
-                F.round(
-                    F.aggregate(
-                        near,
-                        F.lit(0.0),
-                        lambda total, n, j=j, w=weight: total + F.when(n["y"] == j, w(n)).otherwise(0.0),
-                    ),
-                    9,
-                )
-                for j in range(len(labels))
-            ]
-        )
+        votes = F.array(*[class_vote(near, cell.get("weights", "uniform"), j) for j in range(len(labels))])
         names = F.array(*[F.lit(v) for v in labels])
         picks.append(F.struct(F.lit(cell["cell"]).alias("cell"), F.element_at(names, best_position(votes) + 1).alias("prediction")))
     return listed.select("row_id", F.inline(F.array(*picks)))

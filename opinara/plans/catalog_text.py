@@ -114,13 +114,13 @@ def strip_accents(spark, folder):
     return _text(spark, folder, tx.strip_accents(F.col("review")))
 
 
-def _simplified_sql(text: str) -> str:
+def simplified_sql(text: str) -> str:
     named = text.join(_EMOJI_SQL.split("review"))
     words = sq.NO_NUMBERS.format(sq.WORDS_EMOJI.format(f"lower({sq.contractions(named)})"))
     return f"strip_accents(array_to_string({sq.lemmas(sq.no_stopwords(words, KEPT_NEGATIONS))}, ' '))"
 
 
-@query(_text_sql(_simplified_sql("review")))
+@query(_text_sql(simplified_sql("review")))
 def simplify_text(spark, folder):
     return _text(spark, folder, tx.simplify_text(F.col("review")))
 
