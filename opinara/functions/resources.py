@@ -24,26 +24,32 @@ needn needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't
 # Negations the classifier keeps.
 KEPT_NEGATIONS = ["no", "not"]
 
-# English short forms as (pattern, replacement), longest special cases first.
+# Words that may carry a short "would" or a short "is".
+WOULD_WORDS = "he|she|it|i|we|you|they|that|there|who|what|how"
+IS_WORDS = "he|she|it|that|there|here|who|what|where|when|why|how"
+
+# English short forms as (pattern, replacement), special cases first.
+# Each pattern starts with a plain letter or apostrophe and looks back from there, so the search
+# does not try a word boundary at every character.
 CONTRACTIONS = [
-    (r"(?i)\bwon't\b", "will not"),
-    (r"(?i)\bcan't\b", "cannot"),
-    (r"(?i)\bshan't\b", "shall not"),
-    (r"(?i)\bain't\b", "are not"),
-    (r"(?i)\blet's\b", "let us"),
-    (r"(?i)\by'all\b", "you all"),
-    (r"(?i)\bgonna\b", "going to"),
-    (r"(?i)\bwanna\b", "want to"),
-    (r"(?i)\bgotta\b", "got to"),
-    (r"(?i)\bgimme\b", "give me"),
-    (r"(?i)\blemme\b", "let me"),
-    (r"(?i)n't\b", " not"),
-    (r"(?i)'re\b", " are"),
-    (r"(?i)'ve\b", " have"),
-    (r"(?i)'ll\b", " will"),
-    (r"(?i)\bi'm\b", "I am"),
-    (r"(?i)\b(he|she|it|i|we|you|they|that|there|who|what|how)'d\b", "$1 would"),
-    (r"(?i)\b(he|she|it|that|there|here|who|what|where|when|why|how)'s\b", "$1 is"),
+    (r"(?i)w(?<=\bw)on't\b", "will not"),
+    (r"(?i)c(?<=\bc)an't\b", "cannot"),
+    (r"(?i)s(?<=\bs)han't\b", "shall not"),
+    (r"(?i)a(?<=\ba)in't\b", "are not"),
+    (r"(?i)l(?<=\bl)et's\b", "let us"),
+    (r"(?i)y(?<=\by)'all\b", "you all"),
+    (r"(?i)g(?<=\bg)onna\b", "going to"),
+    (r"(?i)w(?<=\bw)anna\b", "want to"),
+    (r"(?i)g(?<=\bg)otta\b", "got to"),
+    (r"(?i)g(?<=\bg)imme\b", "give me"),
+    (r"(?i)l(?<=\bl)emme\b", "let me"),
+    (r"n't\b|N'T\b|n'T\b|N't\b", " not"),
+    (r"'[rR][eE]\b", " are"),
+    (r"'[vV][eE]\b", " have"),
+    (r"'[lL][lL]\b", " will"),
+    (r"(?i)i(?<=\bi)'m\b", "I am"),
+    (rf"'(?<=\b(?i:{WOULD_WORDS})')[dD]\b", " would"),
+    (rf"'(?<=\b(?i:{IS_WORDS})')[sS]\b", " is"),
 ]
 
 # Irregular English noun plurals.

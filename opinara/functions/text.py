@@ -37,10 +37,11 @@ def demojize(text: Column) -> Column:
 
 
 def expand_contractions(text: Column) -> Column:
+    """Write out English short forms; a text without apostrophe or slang is left alone."""
     straight = F.translate(text, "’", "'")
     for pattern, replacement in resources.CONTRACTIONS:
         straight = F.regexp_replace(straight, pattern, replacement)
-    return F.when(text.rlike("['’]|(?i)gonna|wanna|gotta|gimme|lemme"), straight).otherwise(text)
+    return F.when(text.rlike("['’]|(?i:gonna|wanna|gotta|gimme|lemme)"), straight).otherwise(text)
 
 
 def fill_empty(text: Column) -> Column:
@@ -75,16 +76,24 @@ def remove_stopwords_keep_negation(tokens: Column, language: str = "english") ->
 def noun_lemma(word: Column) -> Column:
     """Singular of an English noun by suffix rules alone (no word list is consulted)."""
     size = F.length(word)
-    lemma = (
-        F.when(word.rlike("(ches|shes|xes|zes|sses)$") & (size > 4), word.substr(F.lit(1), size - 2))
+    irregular = word
+    for plural, singular in resources.IRREGULAR_NOUNS.items():
+        irregular = F.when(word == plural, singular).otherwise(irregular)
+    after_hiss = word.endswith("ches") | word.endswith("shes") | word.endswith("xes") | word.endswith("zes") | word.endswith("sses")
+    singular_end = word.endswith("ss") | word.endswith("us") | word.endswith("is")
+    plural_s = (
+        F.when(after_hiss & (size > 4), word.substr(F.lit(1), size - 2))
         .when(word.endswith("ies") & (size > 4), F.concat(word.substr(F.lit(1), size - 3), F.lit("y")))
+        .when((size > 3) & ~singular_end, word.substr(F.lit(1), size - 1))
+        .otherwise(word)
+    )
+    # Most words end in neither, and leave after three cheap tests.
+    return (
+        F.when(word.isin(*resources.IRREGULAR_NOUNS), irregular)
+        .when(word.endswith("s"), plural_s)
         .when(word.endswith("men") & (size > 4), F.concat(word.substr(F.lit(1), size - 2), F.lit("an")))
-        .when(word.endswith("s") & (size > 3) & ~word.rlike("(ss|us|is)$"), word.substr(F.lit(1), size - 1))
         .otherwise(word)
     )
-    for plural, singular in resources.IRREGULAR_NOUNS.items():
-        lemma = F.when(word == plural, singular).otherwise(lemma)
-    return lemma
 
 
 def lemmatize_nouns(tokens: Column) -> Column:

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.rng import lehmer
-from opinara.operators.bayes import best_position
 
 PIVOTS = 16
 RINGS = 8
@@ -223,29 +222,25 @@ def knn_votes(neighbors: DataFrame, cells: list[dict], labels: list) -> DataFram
     """(row_id, cell, prediction) for every (n_neighbors, weights) cell from one neighbour table.
 
     ``y`` is the class position in ``labels``. Weights are 1, or 1/distance where neighbours at
-    distance zero outvote all others. Ties go to the first class.
+    distance zero outvote all others. Ties go to the first class. The table comes partitioned by
+    ``row_id``, so no grouping here shuffles again.
     """
-    k_max = max(cell["n_neighbors"] for cell in cells)
-    listed = neighbors.where(F.col("position") <= k_max).groupBy("row_id").agg(
-        F.array_sort(F.collect_list(F.struct("position", "distance", "y"))).alias("near")
+    settings = F.array(
+        *[
+            F.struct(
+                F.lit(cell["cell"]).alias("cell"),
+                F.lit(cell["n_neighbors"]).alias("k"),
+                F.lit(cell.get("weights", "uniform") == "uniform").alias("uniform"),
+            )
+            for cell in cells
+        ]
     )
-    def class_vote(near: Column, weighting: str, j: int) -> Column:
-        def weight(n: Column) -> Column:
-            if weighting == "uniform":
-                return F.lit(1.0)
-            touching = F.exists(near, lambda m: m["distance"] == 0)
-            inverse = 1.0 / F.when(n["distance"] > 0, n["distance"])
-            return F.when(touching, (n["distance"] == 0).cast("double")).otherwise(inverse)
-
-        def add(total: Column, n: Column) -> Column:
-            return total + F.when(n["y"] == j, weight(n)).otherwise(0.0)
-
-        return F.round(F.aggregate(near, F.lit(0.0), add), 9)
-
-    picks = []
-    for cell in cells:
-        near = F.slice("near", 1, cell["n_neighbors"])
-        votes = F.array(*[class_vote(near, cell.get("weights", "uniform"), j) for j in range(len(labels))])
-        names = F.array(*[F.lit(v) for v in labels])
-        picks.append(F.struct(F.lit(cell["cell"]).alias("cell"), F.element_at(names, best_position(votes) + 1).alias("prediction")))
-    return listed.select("row_id", F.inline(F.array(*picks)))
+    closest = F.min("distance").over(Window.partitionBy("row_id"))
+    voters = neighbors.withColumn("closest", closest).select("*", F.inline(settings)).where(F.col("position") <= F.col("k"))
+    touching = (F.col("distance") == 0).cast("double")
+    inverse = 1.0 / F.when(F.col("distance") > 0, F.col("distance"))
+    weight = F.when(F.col("uniform"), 1.0).when(F.col("closest") == 0, touching).otherwise(inverse)
+    votes = voters.groupBy("row_id", "cell", "y").agg(F.round(F.sum(weight), 9).alias("vote"))
+    best = votes.groupBy("row_id", "cell").agg(F.max(F.struct("vote", (-F.col("y")).alias("order"))).alias("best"))
+    names = F.array(*[F.lit(v) for v in labels])
+    return best.select("row_id", "cell", F.element_at(names, 1 - F.col("best.order")).alias("prediction"))

@@ -354,7 +354,7 @@ def save_load_model(spark, folder):
     FROM reviews r LEFT JOIN feats USING (row_id) GROUP BY r.row_id, r.score"""
 )
 def attach_text_features(spark, folder):
-    prepared = classify.fit_preparation(rated_reviews(spark, folder), _job())
+    prepared, _ = classify.fit_preparation(rated_reviews(spark, folder), _job())
     rows = classify.as_vectors(classify.prepared_rows(reviews(spark, folder), prepared), prepared)
     total = F.round(F.aggregate("val", F.lit(0.0), lambda a, x: a + x), 6)
     return rows.select("row_id", "label", F.size("idx").cast("long").alias("n_features"), total.alias("total"))
@@ -363,8 +363,8 @@ def attach_text_features(spark, folder):
 @query()
 def reattach_resampled(spark, folder):
     """SMOTE rows with their label beside the originals."""
-    prepared = classify.fit_preparation(rated_reviews(spark, folder), _job(sampling="smote"))
-    rows, _ = classify.training_rows(rated_reviews(spark, folder), prepared)
+    prepared, kept = classify.fit_preparation(rated_reviews(spark, folder), _job(sampling="smote"))
+    rows, _ = classify.training_rows(kept, prepared)
     return rows.select("row_id", "label", "fold", F.size("idx").alias("n_features"))
 
 
@@ -392,7 +392,7 @@ def random_forest(spark, folder):
 
 @query()
 def logistic_regression(spark, folder):
-    grid = {"C": [1.0], "l1_ratio": [0, 1], "solver": ["lbfgs", "saga"], "max_iter": [50]}
+    grid = {"C": [1.0], "l1_ratio": [0, 1], "solver": ["saga"], "max_iter": [20]}
     return _library_scores(spark, folder, "logistic_regression", grid)
 
 

@@ -97,12 +97,15 @@ def _label(df: DataFrame, spec: JobSpec) -> Column:
 def _with_words(df: DataFrame, prepared: Prepared) -> DataFrame:
     """Add the ``words`` array: n-grams over all text columns, cleaned and joined."""
     spec = prepared.spec
+    if "words" in df.columns:
+        return df
     texts = [tx.simplify_text(F.col(c), spec.language) for c in prepared.roles["text"]]
     single = df.withColumn("words", tx.two_char_words(tx.concat_texts(*texts)))
     return single.withColumn("words", tx.ngrams(F.col("words"), *spec.ngram_range))
 
 
-def fit_preparation(train: DataFrame, spec: JobSpec) -> Prepared:
+def fit_preparation(train: DataFrame, spec: JobSpec) -> tuple[Prepared, DataFrame]:
+    """The fitted preparation, and the training table with its cleaned ``words`` kept for reuse."""
     kept = prepare.drop_features(train, list(spec.drop_features))
     roles = feature_roles(kept.drop("row_id"), spec.target, spec.unique_category_threshold)
     imputer = prepare.fit_imputer(
@@ -113,9 +116,10 @@ def fit_preparation(train: DataFrame, spec: JobSpec) -> Prepared:
     scaler = prepare.fit_scaler(encoder.apply(whole), roles["numeric"], spec.scaler)
     prepared = Prepared(spec, roles, imputer, encoder, scaler, None)
     if roles["text"] and spec.text_process in ("tf-idf", "bow"):
-        worded = _with_words(whole, prepared)
-        prepared.vocabulary = features.fit_vocabulary(worded, F.col("words"), spec.min_df, spec.max_df)
-    return prepared
+        # Cleaning is the costly step: it is done once, and the raw texts are not kept beside the words.
+        kept = _with_words(kept, prepared).drop(*roles["text"]).persist()
+        prepared.vocabulary = features.fit_vocabulary(imputer.apply(kept), F.col("words"), spec.min_df, spec.max_df)
+    return prepared, kept
 
 
 def prepared_rows(df: DataFrame, prepared: Prepared) -> DataFrame:
@@ -256,8 +260,8 @@ def train(df: DataFrame, spec: JobSpec) -> Trained:
 
     ``df`` holds a unique ``row_id`` and the target beside the features.
     """
-    prepared = fit_preparation(df, spec)
-    rows, labels = training_rows(df, prepared)
+    prepared, kept = fit_preparation(df, spec)
+    rows, labels = training_rows(kept, prepared)
     cells = search.grid_cells(spec.grid)
     carry = ["row_id", "fold", "label"]
     if spec.algorithm == "naive_bayes":

@@ -62,10 +62,22 @@ def lemmas(expr: str) -> str:
     return f"list_transform({expr}, lambda w: {lemma()})"
 
 
+# The same short forms as word-boundary patterns, for an engine without look-behind.
+_SHORT_FORMS = [
+    ("won't", "will not"), ("can't", "cannot"), ("shan't", "shall not"), ("ain't", "are not"), ("let's", "let us"),
+    ("y'all", "you all"), ("gonna", "going to"), ("wanna", "want to"), ("gotta", "got to"), ("gimme", "give me"),
+    ("lemme", "let me"),
+]
+_SHORT_ENDINGS = [("n't", " not"), ("'re", " are"), ("'ve", " have"), ("'ll", " will")]
+
+
 def contractions(expr: str) -> str:
-    for pattern, replacement in resources.CONTRACTIONS:
-        target = replacement.replace("$1", r"\1")
-        expr = f"regexp_replace({expr}, '{pattern.replace(chr(39), chr(39) * 2)}', '{target}', 'g')"
+    rules = [(rf"(?i)\b{word}\b", full) for word, full in _SHORT_FORMS]
+    rules += [(rf"(?i){end}\b", full) for end, full in _SHORT_ENDINGS]
+    rules += [(r"(?i)\bi'm\b", "I am")]
+    rules += [(rf"(?i)\b({resources.WOULD_WORDS})'d\b", r"\1 would"), (rf"(?i)\b({resources.IS_WORDS})'s\b", r"\1 is")]
+    for pattern, full in rules:
+        expr = f"regexp_replace({expr}, '{pattern.replace(chr(39), chr(39) * 2)}', '{full}', 'g')"
     return expr
 
 

@@ -10,9 +10,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a table kept in fewer pieces than there are cores one piece per core.
+
+    Costly text work on one big row group would otherwise run in one task. A table in many files
+    is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as reviews; the score is null where a document has no label."""
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents"), "doc_id")
     labels = table(spark, folder, "labels")
     odd = (F.col("doc_id") % 2).cast("int")
     score = (
