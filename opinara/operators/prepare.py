@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.numbers import clean_double
@@ -65,10 +65,14 @@ def _most_common(df: DataFrame, columns: list[str]) -> dict:
 def exact_medians(df: DataFrame, columns: list[str], gather: int = 100_000, accuracy: int = 10_000) -> dict:
     """Exact interpolated medians of double columns that never sort a column in one task.
 
-    A quantile sketch brackets the two middle ranks, counts prove the bracket, and it is narrowed
-    until it holds one value or at most ``gather`` rows, which alone reach the driver.
+    A quantile sketch brackets the two middle ranks, counts prove that the bracket holds both (it
+    is widened otherwise), and it is narrowed until it holds one value or at most ``gather`` rows,
+    which alone reach the driver.
     """
-    bracket = {c: (float("-inf"), float("inf")) for c in columns}
+    everything = (float("-inf"), float("inf"))
+    bracket = dict.fromkeys(columns, everything)
+    proven = {c: (everything, 0, None) for c in columns}
+    margin = dict.fromkeys(columns, 3.0 / accuracy)
     found: dict = {}
     while bracket:
         measures = []
@@ -79,33 +83,60 @@ def exact_medians(df: DataFrame, columns: list[str], gather: int = 100_000, accu
                 F.count_if(F.col(c).between(low, high)).alias(f"{c}_in"),
             ]
         sizes = df.agg(*measures).first()
-        narrow = {}
+        shares = {}
         for c, (low, high) in list(bracket.items()):
             n, below, inside = sizes[f"{c}_n"], sizes[f"{c}_below"], sizes[f"{c}_in"]
-            if n == 0 or low == high:
-                found[c] = None if n == 0 else low
-            elif inside <= gather:
-                rows = df.where(F.col(c).between(low, high)).groupBy(c).agg(F.count("*").alias("n")).collect()
-                ordered = [row[c] for row in sorted(rows, key=lambda r: r[c]) for _ in range(row["n"])]
-                found[c] = (ordered[(n - 1) // 2 - below] + ordered[n // 2 - below]) / 2
+            first, second = (n - 1) // 2, n // 2
+            if n == 0:
+                found[c] = None
+            elif below <= first and second < below + inside:
+                proven[c] = ((low, high), below, inside)
+                if low == high:
+                    found[c] = low
+                elif inside <= gather:
+                    rows = df.where(F.col(c).between(low, high)).groupBy(c).agg(F.count("*").alias("n")).collect()
+                    ordered = [row[c] for row in sorted(rows, key=lambda r: r[c]) for _ in range(row["n"])]
+                    found[c] = (ordered[first - below] + ordered[second - below]) / 2
             else:
-                share = ((n - 1) / 2 - below) / inside
-                margin = 3.0 / accuracy
-                narrow[c] = (max(0.0, share - margin), min(1.0, share + margin))
+                margin[c] *= 4
             if c in found:
                 del bracket[c]
-        if narrow:
-            quantiles = [
+                continue
+            _, before, held = proven[c]
+            shares[c] = (
+                max(0.0, (first - before) / held - margin[c]),
+                min(1.0, (second + 1 - before) / held + margin[c]),
+            )
+        if shares:
+            sketches = [
                 F.percentile_approx(
-                    F.when(F.col(c).between(*bracket[c]), F.col(c)), list(shares), accuracy
+                    F.when(F.col(c).between(*proven[c][0]), F.col(c)), list(ends), accuracy
                 ).alias(c)
-                for c, shares in narrow.items()
+                for c, ends in shares.items()
             ]
-            row = df.agg(*quantiles).first()
-            bracket = {c: (row[c][0], row[c][1]) for c in narrow}
+            row = df.agg(*sketches).first()
+            for c in shares:
+                narrowed = (row[c][0], row[c][1])
+                # A bracket that does not shrink holds few distinct values: finish by counting them.
+                if narrowed == proven[c][0] or narrowed == bracket[c]:
+                    found[c] = _median_by_values(df, c, proven[c][0], proven[c][1], sizes[f"{c}_n"])
+                    del bracket[c]
+                else:
+                    bracket[c] = narrowed
     return found
 
 
+def _median_by_values(df: DataFrame, column: str, bracket: tuple, below: int, n: int) -> float:
+    """Median from the sorted (value, count) table of a bracket; only two rows are collected."""
+    counted = df.where(F.col(column).between(*bracket)).groupBy(column).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy(column))
+    ranked = counted.withColumn("last", upto + below)
+    picks = ranked.agg(
+        *[F.min(F.when(F.col("last") > rank, F.col(column))).alias(name) for name, rank in (("a", (n - 1) // 2), ("b", n // 2))]
+    ).first()
+    return (picks["a"] + picks["b"]) / 2
+
+
 def fit_imputer(
     df: DataFrame,
     numeric: list[str],
