@@ -48,6 +48,10 @@ def compare(spark, connection, name: str, function, sql: str | None, folder: str
     df = function(spark, folder)
     got = df.collect()
     seconds = time.time() - start
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        if node in plan:
+            return False, f"{name}: plan holds {node}"
     if sql is None:
         return True, f"{name}: {len(got)} rows, no SQL, {seconds:.1f}s"
     start = time.time()
