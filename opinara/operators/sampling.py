@@ -174,12 +174,6 @@ def adasyn(vectors: DataFrame, k: int = NEIGHBORS) -> DataFrame:
     return _interpolate(draws, minority_rows, neighbors_in_class(minority_rows, k), k, n_rows)
 
 
-def append_synthetic(vectors: DataFrame, synthetic: DataFrame) -> DataFrame:
-    """Original rows followed by synthetic ones, told apart by ``synthetic_id`` (null = original)."""
-    original = vectors.select(F.lit(None).cast("string").alias("synthetic_id"), "row_id", "y", "idx", "val")
-    return original.unionByName(synthetic.select("synthetic_id", "row_id", "y", "idx", "val"))
-
-
 def pick_examples(
     batches: DataFrame, df: DataFrame, group: str, text: str, k: int, row_id: str = "row_id", seed: int = SEED
 ) -> DataFrame:

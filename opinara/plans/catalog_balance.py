@@ -20,11 +20,12 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     def keep(function):
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql is not None:
-            ORACLE[function.__name__] = sql
+            ORACLE[key] = sql
         return function
 
     return keep

@@ -23,11 +23,12 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     def keep(function):
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql is not None:
-            ORACLE[function.__name__] = sql
+            ORACLE[key] = sql
         return function
 
     return keep
@@ -215,7 +216,7 @@ def grid_search(spark, folder):
 @query(
     f"WITH {_GRID}, {_scores_sql('guesses')} SELECT cell, model, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1 FROM scores JOIN cells USING (cell) ORDER BY f DESC, cell LIMIT 1"
 )
-def best_model(spark, folder):
+def best_model_refit(spark, folder):
     return _rounded(search.best_cell(_nb_scores(spark, folder)))
 
 
@@ -230,6 +231,13 @@ def write_grid_results(spark, folder):
     return back.select("NombreMod", *[F.format_string("%.4f", F.col(f"`{c}`")).alias(c) for c in back.columns if c != "NombreMod"])
 
 
+@query(f"WITH {_GRID} SELECT cell, model, count(*) AS n_predictions FROM guesses JOIN cells USING (cell) GROUP BY cell, model")
+def model_name(spark, folder):
+    """Name of every grid cell and how many out-of-fold predictions it made."""
+    counted = _nb_predictions(spark, folder).groupBy("cell").agg(F.count("*").alias("n_predictions"))
+    return search.name_cells(counted, "naive_bayes", _CELLS).select("cell", "model", "n_predictions")
+
+
 # ---- nearest neighbours --------------------------------------------------------------------
 
 _POINTS = """points AS (SELECT vec_id AS row_id, label AS y, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"""
@@ -470,6 +478,15 @@ def coherence_curve(spark, folder):
     return topics.coherence_curve(rows, topics.build_dictionary(rows), topics.k_range(2, 4))
 
 
+@query()
+def k_sweep(spark, folder):
+    """Coherence for 2 and 3 topics over the neutral reviews, and which of them is chosen."""
+    rows = _banded(spark, folder, "neutral")
+    curve = topics.coherence_curve(rows, topics.build_dictionary(rows), topics.k_range(2, 3))
+    best = topics.choose_k([(r["k"], r["coherence"]) for r in curve.collect()])
+    return curve.withColumn("chosen", F.col("k") == best)
+
+
 @query()
 def k_choice(spark, folder):
     """The k chosen per band: swept for one band, set by hand for the others."""

@@ -18,11 +18,12 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     def keep(function):
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql is not None:
-            ORACLE[function.__name__] = sql
+            ORACLE[key] = sql
         return function
 
     return keep
@@ -181,7 +182,7 @@ def clean_paraphrases(spark, folder):
     return reviews(spark, folder).select("row_id", F.posexplode(tx.clean_lines(_answer())).alias("pos", "line"))
 
 
-@query(f"""WITH {REVIEWS} SELECT row_id, concat('gen_', left(sha256(concat('run|', "reviewId", '|', CAST(row_id AS VARCHAR))), 8)) AS value FROM reviews""")
+@query(f"""WITH {REVIEWS} SELECT row_id, concat('gen_', left(sha256(concat('run|', "reviewId", '|', CAST(row_id AS VARCHAR))), 8)) AS value FROM reviews""", "generated_id")
 def generated_ids(spark, folder):
     return reviews(spark, folder).select(
         "row_id", generated_id(F.lit("run"), F.col("reviewId"), F.col("row_id").cast("string")).alias("value")

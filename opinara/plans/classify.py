@@ -21,7 +21,7 @@ from opinara.operators.distributions import feature_roles
 from opinara.operators.folds import stratified_folds
 from opinara.operators.metrics import classification_report, confusion, confusion_matrix, f1_micro_macro
 from opinara.operators.ranks import class_ranks
-from opinara.session import lookup_join, materialise, small_values
+from opinara.session import lookup_join, materialise, small_values, work_dir
 
 ML_MODELS = {
     "decision_tree": DecisionTreeClassificationModel,
@@ -87,6 +87,7 @@ class Trained:
 
 def with_row_id(df: DataFrame) -> DataFrame:
     """Number the rows of a file. The numbers are written out, so that later scans agree on them."""
+    work_dir(df.sparkSession)
     return df.withColumn("row_id", F.monotonically_increasing_id()).checkpoint()
 
 
@@ -230,16 +231,14 @@ def _synthetic_rows(rows: DataFrame, prepared: Prepared, labels: list) -> DataFr
     """SMOTE or ADASYN on the feature vectors: row_id, label, idx, val of all rows, old and new."""
     held = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)).persist()
     made = sampling.smote(held) if prepared.spec.sampling.lower() == "smote" else sampling.adasyn(held)
-    stride = held.agg(F.max("row_id")).first()[0] + 1
-    grown = sampling.append_synthetic(held, made)
-    new_id = stride + F.pmod(F.xxhash64("synthetic_id"), F.lit(2**61))
+    # New rows are numbered behind the largest original id, by distributed ranks.
+    top = held.agg(F.max("row_id")).first()[0]
+    # Numbering and folding read the new rows several times; they are kept, not searched for again.
+    hashed = made.select("y", "idx", "val", F.xxhash64("synthetic_id").alias("_h")).persist()
+    numbered = class_ranks(hashed, F.lit(0), row_id="_h", rank="_at").withColumn("row_id", F.col("_at") + top)
     name = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("y") + 1)
-    return grown.select(
-        F.when(F.col("synthetic_id").isNull(), F.col("row_id")).otherwise(new_id).alias("row_id"),
-        name.alias("label"),
-        "idx",
-        "val",
-    )
+    columns = ["row_id", name.alias("label"), "idx", "val"]
+    return held.select(*columns).unionByName(numbered.select(*columns))
 
 
 def training_rows(df: DataFrame, prepared: Prepared) -> tuple[DataFrame, list]:
@@ -251,7 +250,7 @@ def training_rows(df: DataFrame, prepared: Prepared) -> tuple[DataFrame, list]:
     rows = prepared_rows(_drawn_rows(df, spec), prepared)
     labels = small_values(rows, "label")
     if spec.sampling.lower() in ("smote", "adasyn"):
-        rows = _synthetic_rows(rows.persist(), prepared, labels)
+        rows = _synthetic_rows(rows.persist(), prepared, labels).persist()
     return stratified_folds(rows, "label"), labels
 
 
