@@ -231,11 +231,15 @@ def _synthetic_rows(rows: DataFrame, prepared: Prepared, labels: list) -> DataFr
     """SMOTE or ADASYN on the feature vectors: row_id, label, idx, val of all rows, old and new."""
     held = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)).persist()
     made = sampling.smote(held) if prepared.spec.sampling.lower() == "smote" else sampling.adasyn(held)
-    # New rows are numbered behind the largest original id, by distributed ranks.
-    top = held.agg(F.max("row_id")).first()[0]
-    # Numbering and folding read the new rows several times; they are kept, not searched for again.
-    hashed = made.select("y", "idx", "val", F.xxhash64("synthetic_id").alias("_h")).persist()
-    numbered = class_ranks(hashed, F.lit(0), row_id="_h", rank="_at").withColumn("row_id", F.col("_at") + top)
+    # New ids lie behind the largest original one and are unique by arithmetic: a draw number counts
+    # within its class for SMOTE and within its base row for ADASYN.
+    stride = held.agg(F.max("row_id")).first()[0] + 1
+    draw = F.element_at(F.split("synthetic_id", "-"), -1).cast("long")
+    if prepared.spec.sampling.lower() == "smote":
+        new_id = stride + draw * len(labels) + F.col("y")
+    else:
+        new_id = (draw + 1) * stride + F.col("row_id")
+    numbered = made.withColumn("row_id", new_id)
     name = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("y") + 1)
     columns = ["row_id", name.alias("label"), "idx", "val"]
     return held.select(*columns).unionByName(numbered.select(*columns))
@@ -250,7 +254,7 @@ def training_rows(df: DataFrame, prepared: Prepared) -> tuple[DataFrame, list]:
     rows = prepared_rows(_drawn_rows(df, spec), prepared)
     labels = small_values(rows, "label")
     if spec.sampling.lower() in ("smote", "adasyn"):
-        rows = _synthetic_rows(rows.persist(), prepared, labels).persist()
+        rows = _synthetic_rows(rows.persist(), prepared, labels)
     return stratified_folds(rows, "label"), labels
 
 
