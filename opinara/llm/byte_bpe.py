@@ -231,14 +231,15 @@ def decode(encoded: DataFrame, ids: str = "token_ids", decoded: str = "decoded",
     return common.map_batches(encoded, schema_with(encoded, decoded, "binary"), work)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id with the number of ids and digests of the ids and of what they decode to."""
+def digests(decoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id with the number of ids, digests of the ids and of what they decode to, and the columns ``keep``."""
     decimal = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return decoded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(decimal, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *keep,
     )
 
 

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import byte_bpe, mixing, quality_rules
+from opinara.llm import (
+    byte_bpe,
+    html_extract,
+    jaccard_join,
+    mixing,
+    ngram_lm,
+    pii_crf,
+    quality_rules,
+    secret_scan,
+    toxicity,
+    weighted_sampling,
+)
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,9 +25,17 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extract": html_extract.op1_html_extract,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op3_mixing": mixing.op3_mixing,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_ngram_lm": ngram_lm.op5_ngram_lm,
+    "op6_weighted_sampling": weighted_sampling.op6_weighted_sampling,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_pii_crf": pii_crf.op9_pii_crf,
+    "op10_toxicity": toxicity.op10_toxicity,
+    "pipeline": pipeline,
 }
 ORACLE = {
     "op3_mixing": mixing.OP3_SQL,

@@ -166,45 +166,56 @@ def find_cut(times: DataFrame, budget: int) -> Cut:
     return Cut(last[0], last[1]) if last else Cut(low, -1)
 
 
-def mix(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", **options
-) -> tuple[DataFrame, Cut]:
-    """``docs`` with size, source_size, target and copies (how often the mix takes the document), and the cut.
+@dataclass
+class Schedule:
+    """``rows`` have the finish times of each document's copies; ``sources`` their targets; ``keyed`` whole documents."""
+
+    keyed: DataFrame
+    sources: DataFrame
+    rows: DataFrame
+    cut: Cut
+
+    def copies(self) -> Column:
+        return sum(self.cut.takes(f"_t{epoch}").cast("int") for epoch in range(EPOCHS))
+
+
+def schedule(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source") -> Schedule:
+    """When each document's copies finish, and where the mix ends; only ids, sizes and sources are moved for that.
 
     The budget is SHARE of all words. Null sources are one source, the last; null texts have size 0 and are never
-    taken; rows of the same id are shuffled together but count each; an empty table stays empty. Columns of ``docs``
-    named like the added ones are replaced. Reruns agree, as the shuffle is a hash of the id.
+    taken; rows of the same id are shuffled together but count each; an empty table stays empty. Reruns agree, as the
+    shuffle is a hash of the id.
     """
-    added = ["size", "source_size", "target", "copies", "place"]
-    base = docs.drop(*[c for c in added if c not in (id_column, text, source)])
-    keyed = base.withColumns(
-        {"size": size_of(text), "_queue_source": F.col(source), "_key": shuffle_key(id_column)}
-    )
-    # Only numbers and ids are needed to fix the schedule; texts come in at the end, if at all.
-    narrow = stored(keyed.select(id_column, "size", "_queue_source", "_key"), "mix-sizes")
+    keyed = docs.withColumns({"size": size_of(text), "_queue_source": F.col(source), "_key": shuffle_key(id_column)})
+    narrow = stored(keyed.select(F.col(id_column).alias("_doc"), "size", "_queue_source", "_key"), "mix-sizes")
     sources = narrow.groupBy(F.col("_queue_source").alias("source")).agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows")
     )
-    sources = stored(targets(sources, **options), "mix-targets")
+    sources = stored(targets(sources), "mix-targets")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    times = stored(queued(narrow, sources, id_column), "mix-times")
-    cut = find_cut(times, total * SHARE[0] // SHARE[1])
-    wide = times if set(base.columns) <= {id_column, text, source} else queued(keyed, sources, id_column)
-    copies = sum(cut.takes(f"_t{epoch}").cast("int") for epoch in range(EPOCHS))
-    taken = wide.withColumn("copies", copies)
-    return taken.drop("place", *[f"_t{epoch}" for epoch in range(EPOCHS)]), cut
+    rows = stored(queued(narrow, sources, "_doc"), "mix-times")
+    return Schedule(keyed, sources, rows, find_cut(rows, total * SHARE[0] // SHARE[1]))
 
 
-def mixture(docs: DataFrame, **columns) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
-    taken, _ = mix(docs.withColumn("_as_is", F.lit(True)), **columns)
-    repeated = taken.where(F.col("copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*docs.columns)
+def mixture(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The documents of the mix, each as often as it is taken, with the columns of ``docs`` whatever their names."""
+    packed = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.col(id_column).alias("_doc"),
+        F.col(text).alias("_text"),
+        F.col(source).alias("_source"),
+    )
+    plan = schedule(packed, "_doc", "_text", "_source")
+    whole = queued(plan.keyed.select("_row", "_doc", "size", "_queue_source", "_key"), plan.sources, "_doc")
+    taken = whole.withColumn("_copies", plan.copies()).where("_copies > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    taken, _ = mix(common.documents(spark, folder).select("doc_id", "text", "source"))
-    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    plan = schedule(common.documents(spark, folder).select("doc_id", "text", "source"))
+    return plan.rows.select(
+        F.col("_doc").alias("doc_id"), "size", "source_size", "target", (F.col("size") * plan.copies()).alias("taken")
+    )
 
 
 OP3_SQL = r"""
