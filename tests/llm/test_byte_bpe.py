@@ -1,6 +1,7 @@
 import base64
 import random
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 from pyspark.sql import Row
@@ -13,7 +14,7 @@ LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_
 
 
 def encoded(texts):
-    return list(byte_bpe.tokenizer(PATH, public_tokenizers.PATTERN).encode_batch(texts))
+    return [ids.tolist() for ids in byte_bpe.tokenizer(PATH, public_tokenizers.PATTERN).encode_batch(texts)]
 
 
 def test_agrees_with_the_library_on_hard_texts():
@@ -36,17 +37,17 @@ def test_every_code_point_is_split_alike():
 def test_queue_pops_lowest_rank_first_and_forgets_nothing():
     queue = byte_bpe.RankQueue(50_000)
     for rank in (4097, 63, 64, 49_999, 63):
-        queue.push(rank, rank)
+        queue.push(rank, np.array([rank]))
     popped = []
     while (found := queue.pop()) is not None:
-        popped.append(found)
+        popped.append((found[0], found[1].tolist()))
     assert popped == [(63, [63, 63]), (64, [64]), (4097, [4097]), (49_999, [49_999])]
 
 
 def test_long_piece_takes_linear_time_and_right_ids():
     text = "abcdefgh" * 20_000
     (ids,) = encoded([text])
-    assert byte_bpe.tokenizer(PATH, public_tokenizers.PATTERN).vocabulary.decode(ids) == text.encode()
+    assert byte_bpe.tokenizer(PATH, public_tokenizers.PATTERN).vocabulary.decode(np.array(ids)) == text.encode()
     assert encoded([text[:4000]]) == [LIBRARY.encode_ordinary(text[:4000])]
 
 
