@@ -69,11 +69,45 @@ IRREGULAR_NOUNS = {
     "shelves": "shelf",
     "halves": "half",
     "selves": "self",
+    "calves": "calf",
+    "thieves": "thief",
+    "loaves": "loaf",
+    "elves": "elf",
+    "scarves": "scarf",
+    "hooves": "hoof",
     "criteria": "criterion",
     "phenomena": "phenomenon",
+    "quizzes": "quiz",
+    "axes": "axe",
+    "men": "man",
+    "women": "woman",
 }
 
-# Noun suffix rules as (ending, replacement).
+# Words in s that are no plurals.
+INVARIABLE_NOUNS = """
+always perhaps news series species does was has is this his its us as yes thus plus gas bus lens bias atlas alias canvas
+chaos cosmos christmas pants jeans scissors trousers mathematics physics politics economics ethics athletics gymnastics
+diabetes means headquarters crossroads whereas besides towards afterwards sometimes nevertheless unless
+""".split()
+
+# Nouns in ie, in us and in che, whose plurals look like those of nouns in y, se and ch.
+IE_NOUNS = """
+movie cookie zombie tie pie lie die rookie selfie calorie genie brownie hoodie smoothie veggie birdie cutie newbie
+junkie hippie indie foodie goalie prairie
+""".split()
+US_NOUNS = """
+bus virus bonus status campus census circus chorus focus genus minus plus surplus walrus cactus crocus lotus octopus
+platypus sinus
+""".split()
+CHE_NOUNS = "cache ache headache toothache stomachache niche creche avalanche moustache mustache quiche cliche psyche".split()
+
+# What comes before "men" in plurals of "man".
+MAN_PREFIXES = """
+sales fire police gentle business fisher work crafts spokes chair congress snow fresh post milk door horse states sports
+country bats camera middle mad air sea clergy noble lay hench french english irish dutch
+""".split()
+
+# Noun suffix rules as (ending, replacement), tried in this order where a lexicon decides.
 NOUN_SUFFIXES = [
     ("s", ""),
     ("ses", "s"),
@@ -116,7 +150,13 @@ EMOJI_SHORT_NAMES = {
 }
 
 # Character ranges treated as emoji (with the optional variation selector after them).
-EMOJI_CLASS = "[☀-➿⭐⭕\U0001f300-\U0001f64f\U0001f680-\U0001f6ff\U0001f900-\U0001faff]"
+EMOJI_CLASS = "[☀-➿⭐⭕\U0001f1e6-\U0001f1ff\U0001f300-\U0001f64f\U0001f680-\U0001f6ff\U0001f900-\U0001faff]"
+# Skin tones by their place in Unicode.
+SKIN_TONES = ("light", "medium-light", "medium", "medium-dark", "dark")
+FIRST_TONE, LAST_TONE, FIRST_LETTER, LAST_LETTER = "\U0001f3fb", "\U0001f3ff", "\U0001f1e6", "\U0001f1ff"
+# A flag of two letters, or emoji with tones and variation marks, joined ones as one.
+_ONE = f"{EMOJI_CLASS}\ufe0f?[{FIRST_TONE}-{LAST_TONE}]?"
+EMOJI_SEQUENCE = f"[{FIRST_LETTER}-{LAST_LETTER}]{{2}}|{_ONE}(?:\u200d{_ONE})*"
 
 
 def stop_words(language: str = "english", keep: list[str] | None = None) -> list[str]:
@@ -139,6 +179,19 @@ def accent_table() -> tuple[str, str]:
     return "".join(accented), "".join(plain)
 
 
+def sequence_name(sequence: str) -> str:
+    """Name of an emoji sequence: a flag by its letters, parts joined by ``_and_``, a tone behind its emoji."""
+    if len(sequence) == 2 and all(FIRST_LETTER <= c <= LAST_LETTER for c in sequence):
+        return "flag_" + "".join(chr(ord("A") + ord(c) - ord(FIRST_LETTER)) for c in sequence)
+    parts = []
+    for part in sequence.replace("\ufe0f", "").split("\u200d"):
+        name = emoji_name(part[0])
+        if len(part) > 1:
+            name += f"_{SKIN_TONES[ord(part[1]) - ord(FIRST_TONE)]}_skin_tone"
+        parts.append(name)
+    return "_and_".join(parts) if all(parts) else ""
+
+
 def emoji_name(char: str) -> str:
     if char in EMOJI_SHORT_NAMES:
         return EMOJI_SHORT_NAMES[char]

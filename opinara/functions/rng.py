@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 MODULUS = 2147483647
 MULTIPLIER = 48271
+# Carries what lies beyond 31 bits; far from 0 modulo MODULUS, so that ids numbered by partition (partition << 33) do
+# not fall on the keys of their neighbours.
+HIGH_MULTIPLIER = 1327217885
 
 
 def lehmer(col: Column, seed: int = 0) -> Column:
-    """One multiplicative-congruential step on ``col + seed``; uniform over [0, MODULUS)."""
-    start = F.pmod(col.cast("long") + F.lit(seed).cast("long"), F.lit(MODULUS).cast("long"))
-    return start * F.lit(MULTIPLIER).cast("long") % F.lit(MODULUS).cast("long")
+    """One multiplicative-congruential step on ``col + seed``, whose high bits are folded in; over [0, MODULUS)."""
+    value = col.cast("long") + F.lit(seed).cast("long")
+    modulus = F.lit(MODULUS).cast("long")
+    high = F.pmod(F.shiftright(value, 31), modulus) * F.lit(HIGH_MULTIPLIER).cast("long")
+    start = (value.bitwiseAND(F.lit(MODULUS).cast("long")) + high) % modulus
+    return start * F.lit(MULTIPLIER).cast("long") % modulus
 
 
 def uniform(col: Column, seed: int = 0) -> Column:

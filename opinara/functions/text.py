@@ -19,12 +19,13 @@ TWO_CHAR_WORD = r"[\p{L}\p{N}_]{2,}"
 NUMERIC = r"^\p{N}+$"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
+
 @F.pandas_udf(StringType())
 def _name_emoji(texts: pd.Series) -> pd.Series:
-    pattern = re.compile(resources.EMOJI_CLASS + "\ufe0f?")
+    pattern = re.compile(resources.EMOJI_SEQUENCE)
 
     def name(match: re.Match) -> str:
-        found = resources.emoji_name(match.group(0)[0])
+        found = resources.sequence_name(match.group(0))
         return f":{found}:" if found else match.group(0)
 
     return texts.map(lambda text: pattern.sub(name, text), na_action="ignore")
@@ -60,10 +61,6 @@ def drop_numeric(tokens: Column) -> Column:
     return F.filter(tokens, lambda word: ~word.rlike(NUMERIC))
 
 
-def _lookup(words: list[str]) -> Column:
-    return F.array(*[F.lit(word) for word in words])
-
-
 def remove_stopwords(tokens: Column, language: str = "english", keep: list[str] | None = None) -> Column:
     words = resources.stop_words(language, keep)
     return F.filter(tokens, lambda word: ~word.isin(*words))
@@ -73,27 +70,36 @@ def remove_stopwords_keep_negation(tokens: Column, language: str = "english") ->
     return remove_stopwords(tokens, language, resources.KEPT_NEGATIONS)
 
 
+def irregular_nouns() -> dict[str, str]:
+    """Plurals that no ending decides, with their singulars; words that only look like plurals stand for themselves."""
+    known = dict(resources.IRREGULAR_NOUNS)
+    known.update({word: word for word in resources.INVARIABLE_NOUNS})
+    known.update({f"{word}s": word for word in resources.IE_NOUNS + resources.CHE_NOUNS})
+    known.update({f"{word}es": word for word in resources.US_NOUNS})
+    known.update({f"{word}men": f"{word}man" for word in resources.MAN_PREFIXES})
+    return known
+
+
 def noun_lemma(word: Column) -> Column:
-    """Singular of an English noun by suffix rules alone (no word list is consulted)."""
+    """Singular of an English noun by a list of exceptions and the usual endings; see ``operators.lemmas`` for a lexicon."""
     size = F.length(word)
+    known = irregular_nouns()
     irregular = word
-    for plural, singular in resources.IRREGULAR_NOUNS.items():
-        irregular = F.when(word == plural, singular).otherwise(irregular)
-    after_hiss = word.endswith("ches") | word.endswith("shes") | word.endswith("xes") | word.endswith("zes") | word.endswith("sses")
-    singular_end = word.endswith("ss") | word.endswith("us") | word.endswith("is")
+    for plural, singular in known.items():
+        if plural != singular:
+            irregular = F.when(word == plural, singular).otherwise(irregular)
+    cut = lambda n: word.substr(F.lit(1), size - n)
+    after_hiss = word.rlike("(ch|sh|x|zz|tz|ss)es$")
+    singular_end = word.rlike("(ss|us|is)$")
     plural_s = (
-        F.when(after_hiss & (size > 4), word.substr(F.lit(1), size - 2))
-        .when(word.endswith("ies") & (size > 4), F.concat(word.substr(F.lit(1), size - 3), F.lit("y")))
-        .when((size > 3) & ~singular_end, word.substr(F.lit(1), size - 1))
-        .otherwise(word)
-    )
-    # Most words end in neither, and leave after three cheap tests.
-    return (
-        F.when(word.isin(*resources.IRREGULAR_NOUNS), irregular)
-        .when(word.endswith("s"), plural_s)
-        .when(word.endswith("men") & (size > 4), F.concat(word.substr(F.lit(1), size - 2), F.lit("an")))
+        F.when(after_hiss & (size > 4), cut(2))
+        .when(word.endswith("ies") & (size > 4), F.concat(cut(3), F.lit("y")))
+        .when((size > 3) & ~singular_end, cut(1))
         .otherwise(word)
     )
+    # Most words do not end so, and leave after two cheap tests.
+    ending = word.endswith("s") | word.isin(*[plural for plural in known if not plural.endswith("s")])
+    return F.when(~ending, word).when(word.isin(*known), irregular).otherwise(plural_s)
 
 
 def lemmatize_nouns(tokens: Column) -> Column:

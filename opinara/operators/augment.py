@@ -147,13 +147,13 @@ def generated_lines(plan: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
-def generated_id(*parts, digits: int = 8):
+def generated_id(*parts, digits: int = 16):
     """``gen_`` and the first hex digits of a hash of the parts, so a retried task repeats its ids."""
     return F.concat(F.lit("gen_"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, digits))
 
 
 def augment_collect(
-    plan: DataFrame, responses: DataFrame, df: DataFrame, group: str, carry: list[str], run: str, digits: int = 8
+    plan: DataFrame, responses: DataFrame, df: DataFrame, group: str, carry: list[str], run: str, digits: int = 16
 ) -> DataFrame:
     """Generated rows in the columns of the review table; ``carry`` comes from one random in-group row."""
     lines = generated_lines(plan, responses).withColumnRenamed("group", group)

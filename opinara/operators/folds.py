@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.operators.ranks import class_ranks
+from opinara.session import lookup_join, materialise
 
 
 def fold_limits(class_sizes: list[int], n_folds: int = 5) -> list[list[int]]:
@@ -23,16 +24,18 @@ def fold_limits(class_sizes: list[int], n_folds: int = 5) -> list[list[int]]:
 
 
 def stratified_folds(df: DataFrame, label: str, row_id: str = "row_id", n_folds: int = 5) -> DataFrame:
-    """Add ``fold`` 0..n-1. Classes are taken in order of first appearance."""
-    classes = df.groupBy(label).agg(F.count("*").alias("n"), F.min(row_id).alias("first")).limit(1001).collect()
-    if len(classes) > 1000:
-        raise ValueError(f"{label} has more than 1000 classes")
-    classes.sort(key=lambda row: row["first"])
-    limits = fold_limits([row["n"] for row in classes], n_folds)
-    entries = []
-    for row, ends in zip(classes, limits, strict=True):
-        entries += [F.lit(row[label]), F.array(*[F.lit(end) for end in ends])]
-    ends_of = F.element_at(F.create_map(*entries), F.col(label))
+    """Add ``fold`` 0..n-1. Classes are taken in order of first appearance.
+
+    The table of classes, one row each, is laid out along the line of ``fold_limits`` by running sums.
+    """
+    classes = df.groupBy(label).agg(F.count("*").alias("_n"), F.min(row_id).alias("_first"))
+    before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    upto = lambda end, i: F.floor((end + n_folds - 1 - i) / n_folds)
+    shares = [upto(F.col("_start") + F.col("_n"), i) - upto(F.col("_start"), i) for i in range(n_folds)]
+    ends = F.array(*[sum(shares[1 : i + 1], shares[0]) for i in range(n_folds)])
+    limits, n_classes = materialise(classes.withColumn("_start", start).select(label, ends.alias("_ends")))
     ranked = class_ranks(df, F.col(label), row_id=row_id, order="row", rank="_rank")
-    passed = F.size(F.filter(ends_of, lambda end: end < F.col("_rank")))
-    return ranked.withColumn("fold", passed).drop("_rank")
+    placed = lookup_join(ranked, limits, [label], table_rows=n_classes, max_rows=100_000)
+    passed = F.size(F.filter("_ends", lambda end: end < F.col("_rank")))
+    return placed.withColumn("fold", passed).select(*df.columns, "fold")

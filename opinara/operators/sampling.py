@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opinara.functions.rng import lehmer, uniform
 from opinara.operators.neighbors import knn
 from opinara.operators.ranks import class_ranks
-from opinara.session import BROADCAST_TEXT_ROWS, generate_rows, lookup_join
+from opinara.session import BROADCAST_TEXT_ROWS, generate_rows, lookup_join, materialise
 
 SEED = 42
 NEIGHBORS = 5
@@ -16,24 +16,22 @@ NEIGHBORS = 5
 TOP_N_ROWS = 100_000
 
 
-def class_sizes(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"{label} has more than 1000 classes")
-    return {row[label]: row["n"] for row in rows}
+# A table of classes is broadcast up to this many of them.
+BROADCAST_CLASSES = 100_000
+# More classes than this would make two draws share a seed.
+CLASS_STRIDE = 1 << 20
 
 
-def _sizes_table(df: DataFrame, label: str, sizes: dict) -> DataFrame:
-    """(label, n, deficit) with one row per class."""
-    majority = max(sizes.values())
-    kind = df.schema[label].dataType.simpleString()
-    rows = [(v, n, majority - n) for v, n in sizes.items()]
-    return df.sparkSession.createDataFrame(rows, f"`{label}` {kind}, n long, deficit long")
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """(label, n, deficit): rows of each class, and how many it lacks to the largest one."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
+    majority = sizes.agg(F.max("n")).first()[0] or 0
+    return sizes.withColumn("deficit", F.lit(majority) - F.col("n"))
 
 
-def _group_table(df: DataFrame, group: str, sizes: dict) -> DataFrame:
-    kind = df.schema[group].dataType.simpleString()
-    return df.sparkSession.createDataFrame(list(sizes.items()), f"`{group}` {kind}, _n long")
+def with_classes(df: DataFrame, classes: DataFrame, label: str, how: str = "inner") -> DataFrame:
+    """``df`` joined with a row per class; broadcast only if the classes are counted few."""
+    return lookup_join(df, classes, [label], how, max_rows=BROADCAST_CLASSES)
 
 
 def random_oversample(df: DataFrame, label: str, row_id: str = "row_id", seed: int = SEED) -> DataFrame:
@@ -42,8 +40,7 @@ def random_oversample(df: DataFrame, label: str, row_id: str = "row_id", seed: i
     Draws are counted per row before they meet the table, so each row is moved once however often
     it is drawn.
     """
-    sizes = class_sizes(df, label)
-    draws = generate_rows(_sizes_table(df, label, sizes), "deficit", "draw")
+    draws = generate_rows(class_sizes(df, label), "deficit", "draw")
     picked = draws.withColumn("_rank", lehmer(lehmer(F.col("draw"), seed)) % F.col("n") + 1)
     times = picked.groupBy(label, "_rank").agg(F.count("*").alias("_times"))
     ranked = class_ranks(df, F.col(label), row_id=row_id, seed=seed, rank="_rank")
@@ -55,7 +52,7 @@ def random_oversample(df: DataFrame, label: str, row_id: str = "row_id", seed: i
 
 def random_undersample(df: DataFrame, label: str, row_id: str = "row_id", seed: int = SEED) -> DataFrame:
     """Every class cut to the size of the smallest, without replacement."""
-    smallest = min(class_sizes(df, label).values())
+    smallest = class_sizes(df, label).agg(F.min("n")).first()[0] or 0
     ranked = class_ranks(df, F.col(label), row_id=row_id, seed=seed, rank="_rank", limit=F.lit(smallest))
     return ranked.drop("_rank")
 
@@ -108,6 +105,16 @@ def _interpolate(draws: DataFrame, vectors: DataFrame, neighbors: DataFrame, k:
     )
 
 
+def minority_rows(vectors: DataFrame, sizes: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """Rows of the classes that lack rows, and how many; such a class needs more than ``k`` of them."""
+    short = sizes.where(F.col("deficit") > 0)
+    scarce = short.where(F.col("n") <= k).orderBy("y").first()
+    if scarce is not None:
+        raise ValueError(f"class {scarce['y']} has {scarce['n']} rows, more than {k} are needed")
+    total = short.agg(F.sum("n")).first()[0] or 0
+    return with_classes(vectors, short.select("y"), "y", "left_semi"), total
+
+
 def smote(vectors: DataFrame, k: int = NEIGHBORS, seed: int = SEED) -> DataFrame:
     """Synthetic rows that fill every class to the largest one.
 
@@ -115,18 +122,15 @@ def smote(vectors: DataFrame, k: int = NEIGHBORS, seed: int = SEED) -> DataFrame
     and the new vector. A class needs more than k rows.
     """
     sizes = class_sizes(vectors, "y")
-    majority = max(sizes.values())
-    short = {y: n for y, n in sizes.items() if n < majority}
-    for y, n in short.items():
-        if n <= k:
-            raise ValueError(f"class {y} has {n} rows, more than {k} are needed")
-    minority = vectors.where(F.col("y").isin(*short)) if short else vectors.limit(0)
+    highest = sizes.agg(F.max("y")).first()[0] or 0
+    if highest >= CLASS_STRIDE:
+        raise ValueError(f"classes must be numbered below {CLASS_STRIDE}")
+    minority, n_rows = minority_rows(vectors, sizes, k)
     ranked = class_ranks(minority.select("row_id", "y"), F.col("y"), seed=seed, rank="base_rank")
-    draws = generate_rows(_sizes_table(vectors, "y", sizes), "deficit", "draw")
-    picked = draws.withColumn("seed_id", F.col("draw") * 1000 + F.col("y")).withColumn(
+    draws = generate_rows(sizes, "deficit", "draw")
+    picked = draws.withColumn("seed_id", F.col("draw") * CLASS_STRIDE + F.col("y")).withColumn(
         "base_rank", lehmer(lehmer(F.col("seed_id"), seed)) % F.col("n") + 1
     )
-    n_rows = sum(short.values())
     based = lookup_join(picked, ranked, ["y", "base_rank"], table_rows=n_rows).select(
         F.concat_ws("-", "y", "draw").alias("synthetic_id"), "row_id", "seed_id"
     )
@@ -139,39 +143,35 @@ def adasyn_quota(vectors: DataFrame, k: int = NEIGHBORS) -> DataFrame:
     A row's share grows with the part of its k nearest rows, over all classes, that belong to
     other classes; quotas are rounded half to even.
     """
-    sizes = class_sizes(vectors, "y")
-    majority = max(sizes.values())
-    deficits = {y: majority - n for y, n in sizes.items() if n < majority}
-    minority = vectors.where(F.col("y").isin(*deficits)) if deficits else vectors.limit(0)
+    short = class_sizes(vectors, "y").where(F.col("deficit") > 0)
+    minority = with_classes(vectors, short.select("y"), "y", "left_semi")
     found = knn(minority, vectors, k, p=2, exclude="self").withColumnRenamed("y", "other_y")
     shares = (
         found.join(minority.select("row_id", "y"), "row_id")
         .groupBy("row_id", "y")
         .agg((F.count_if(F.col("other_y") != F.col("y")) / k).alias("other_share"))
     )
-    totals = shares.groupBy("y").agg(F.sum("other_share").alias("total")).collect()
-    stuck = [r["y"] for r in totals if not r["total"]]
-    if stuck:
-        raise ValueError(f"classes {stuck} have no row near another class")
-    per_share = {r["y"]: deficits[r["y"]] / r["total"] for r in totals}
-    if not per_share:
-        return shares.withColumn("quota", F.lit(0).cast("long"))
-    factor = F.element_at(F.create_map(*[F.lit(x) for pair in per_share.items() for x in pair]), F.col("y"))
+    totals = shares.groupBy("y").agg(F.sum("other_share").alias("_total"))
+    factors, n_classes = materialise(totals.join(short, "y").select("y", "_total", "deficit"))
+    stuck = factors.where(F.col("_total") == 0).orderBy("y").first()
+    if stuck is not None:
+        raise ValueError(f"class {stuck['y']} has no row near another class")
+    rated = lookup_join(shares, factors, ["y"], table_rows=n_classes, max_rows=BROADCAST_CLASSES)
     # A product within 1e-9 of one half counts as one half, so summing order cannot move a quota.
-    return shares.withColumn("quota", F.bround(F.round(F.col("other_share") * factor, 9)).cast("long"))
+    quota = F.bround(F.round(F.col("other_share") * (F.col("deficit") / F.col("_total")), 9)).cast("long")
+    return rated.select("row_id", "y", "other_share", quota.alias("quota"))
 
 
 def adasyn(vectors: DataFrame, k: int = NEIGHBORS) -> DataFrame:
-    sizes = class_sizes(vectors, "y")
-    minority_rows = vectors.where(F.col("y").isin([y for y, n in sizes.items() if n < max(sizes.values())]))
+    """Synthetic rows by the quotas of ``adasyn_quota``; a class that lacks rows needs more than k of them."""
+    minority, n_rows = minority_rows(vectors, class_sizes(vectors, "y"), k)
     quotas = adasyn_quota(vectors, k)
     draws = generate_rows(quotas.select("row_id", "quota"), "quota", "draw").select(
         F.concat_ws("-", "row_id", "draw").alias("synthetic_id"),
         "row_id",
-        (F.col("row_id") * 1000 + F.col("draw")).alias("seed_id"),
+        (lehmer(F.col("row_id")) * F.lit(1 << 31).cast("long") + F.col("draw")).alias("seed_id"),
     )
-    n_rows = sum(class_sizes(minority_rows, "y").values())
-    return _interpolate(draws, minority_rows, neighbors_in_class(minority_rows, k), k, n_rows)
+    return _interpolate(draws, minority, neighbors_in_class(minority, k), k, n_rows)
 
 
 def pick_examples(
@@ -183,11 +183,11 @@ def pick_examples(
     of them, wrapping around.
     """
     pool = df.where(F.col(text).isNotNull())
-    counts = class_sizes(pool, group)
-    sizes = _group_table(df, group, counts)
+    sizes = class_sizes(pool, group).select(group, F.col("n").alias("_n"))
+    n_rows = pool.count()
     ranked = class_ranks(pool.select(row_id, group, text), F.col(group), row_id=row_id, seed=seed, rank="_rank")
     asked = (
-        batches.join(F.broadcast(sizes), group)
+        with_classes(batches, sizes, group)
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(F.lit(k).cast("long"), F.col("_n")) - 1)))
         .withColumn("_rank", (F.col("batch") * k + F.col("_i")) % F.col("_n") + 1)
     )
@@ -195,7 +195,7 @@ def pick_examples(
         asked,
         ranked.select(group, "_rank", text),
         [group, "_rank"],
-        table_rows=sum(counts.values()),
+        table_rows=n_rows,
         max_rows=BROADCAST_TEXT_ROWS,
     )
     listed = found.groupBy(group, "batch").agg(F.array_sort(F.collect_list(F.struct("_i", text))).alias("_t"))
@@ -208,9 +208,8 @@ def base_rows(
     wanted: DataFrame, df: DataFrame, group: str, position: str, carry: list[str], row_id: str = "row_id", seed: int = SEED
 ) -> DataFrame:
     """Give every wanted (group, position) one pseudo-random in-group row's ``carry`` columns."""
-    counts = class_sizes(df, group)
-    sizes = _group_table(df, group, counts)
+    sizes = class_sizes(df, group).select(group, F.col("n").alias("_n"))
     ranked = class_ranks(df.select(row_id, group, *carry), F.col(group), row_id=row_id, seed=seed, rank="_rank")
-    drawn = wanted.join(F.broadcast(sizes), group).withColumn("_rank", lehmer(lehmer(F.col(position), seed)) % F.col("_n") + 1)
+    drawn = with_classes(wanted, sizes, group).withColumn("_rank", lehmer(lehmer(F.col(position), seed)) % F.col("_n") + 1)
     pool = ranked.drop(row_id)
-    return lookup_join(drawn, pool, [group, "_rank"], table_rows=sum(counts.values())).drop("_n", "_rank")
+    return lookup_join(drawn, pool, [group, "_rank"], table_rows=df.count()).drop("_n", "_rank")

@@ -88,7 +88,7 @@ _SMOTE = f"""{_VECTORS}, sizes AS (SELECT y, count(*) AS n FROM vectors GROUP BY
   ranked AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {lehmer('row_id', 42)}, row_id) AS base_rank FROM vectors),
   {near_sql('near', 'vectors', 'vectors', 5, 'a.y = b.y AND a.row_id <> b.row_id')},
   draws AS (SELECT y, n, unnest(range((SELECT max(n) FROM sizes) - n)) AS draw FROM sizes),
-  picks AS (SELECT y, draw, draw * 1000 + y AS seed_id, {lehmer(lehmer('draw * 1000 + y', 42))} % n + 1 AS base_rank FROM draws),
+  picks AS (SELECT y, draw, draw * 1048576 + y AS seed_id, {lehmer(lehmer('draw * 1048576 + y', 42))} % n + 1 AS base_rank FROM draws),
   made AS (SELECT concat(p.y, '-', p.draw) AS synthetic_id, r.row_id, p.y, {lehmer('p.seed_id', 101)} % 5 + 1 AS position,
     {lehmer(lehmer('p.seed_id', 202))} / 2147483647.0 AS u FROM picks p JOIN ranked r USING (y, base_rank))"""
 _MADE_ROWS = """SELECT m.synthetic_id, m.row_id, n.neighbor_id, round(m.u, 6) AS u, m.y,
@@ -115,6 +115,7 @@ def smote(spark, folder):
     return _made(sampling.smote(vectors(spark, folder)))
 
 
+_DRAWN = f"{lehmer('row_id')} * 2147483648 + draw"
 _ADASYN = f"""{_VECTORS}, sizes AS (SELECT y, count(*) AS n FROM vectors GROUP BY y),
   minority AS (SELECT v.* FROM vectors v JOIN sizes USING (y) WHERE n < (SELECT max(n) FROM sizes)),
   {near_sql('around', 'minority', 'vectors', 5, 'a.row_id <> b.row_id')},
@@ -131,8 +132,8 @@ def adasyn_quota(spark, folder):
 @query(
     f"""WITH {_ADASYN}, {near_sql('near', 'minority', 'minority', 5, 'a.y = b.y AND a.row_id <> b.row_id')},
     draws AS (SELECT row_id, y, unnest(range(quota)) AS draw FROM quotas),
-    made AS (SELECT concat(row_id, '-', draw) AS synthetic_id, row_id, y, {lehmer('row_id * 1000 + draw', 101)} % 5 + 1 AS position,
-      {lehmer(lehmer('row_id * 1000 + draw', 202))} / 2147483647.0 AS u FROM draws) {_MADE_ROWS}"""
+    made AS (SELECT concat(row_id, '-', draw) AS synthetic_id, row_id, y, {lehmer(_DRAWN, 101)} % 5 + 1 AS position,
+      {lehmer(lehmer(_DRAWN, 202))} / 2147483647.0 AS u FROM draws) {_MADE_ROWS}"""
 )
 def adasyn(spark, folder):
     return _made(sampling.adasyn(vectors(spark, folder)))
@@ -283,7 +284,7 @@ def _answers(spark: SparkSession, folder: str, plan: DataFrame) -> DataFrame:
 
 
 _GENERATED_SQL = f"""{_LINES_SQL}, generated AS (
-  SELECT concat('gen_', left(sha256(concat('balance|', prompt_id, '|', CAST(pos AS VARCHAR))), 8)) AS "reviewId", line AS review,
+  SELECT concat('gen_', left(sha256(concat('balance|', prompt_id, '|', CAST(pos AS VARCHAR))), 16)) AS "reviewId", line AS review,
     CAST(target_score AS INT) AS score, k.gender, k.location, k.date
   FROM lines x JOIN sizes s ON s.label = x."group" JOIN ranked k ON k.label = x."group" AND k.rank = {lehmer(lehmer('x.batch * x.per_prompt + x.pos', 42))} % s.n + 1)"""
 

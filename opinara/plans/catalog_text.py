@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from opinara.functions import prompts
 from opinara.functions import text as tx
-from opinara.functions.resources import KEPT_NEGATIONS
+from opinara.functions.resources import KEPT_NEGATIONS, NOUN_SUFFIXES
 from opinara.operators import features, phrases
 from opinara.operators.augment import generated_id
+from opinara.operators.lemmas import lemma_table
 from opinara.plans import sqltext as sq
 from opinara.plans.sqltext import RATED, REVIEWS
 from opinara.sources.tables import rated_reviews, reviews
@@ -110,6 +111,27 @@ def lemmatize_nouns(spark, folder):
     return _text(spark, folder, F.array_join(tx.lemmatize_nouns(tx.tokenize_words(F.lower("review"))), " "))
 
 
+_RULES_SQL = ", ".join(f"({i}, '{end}', '{new}')" for i, (end, new) in enumerate(NOUN_SUFFIXES))
+_KNOWN_SQL = ", ".join(f"('{a}', '{b}')" for a, b in tx.irregular_nouns().items())
+
+
+@query(
+    f"""WITH {REVIEWS}, words AS (SELECT row_id, unnest({_LOWER_WORDS}) AS word FROM reviews),
+    lexicon AS (SELECT word FROM words GROUP BY word HAVING count(DISTINCT row_id) >= 2),
+    rules AS (SELECT * FROM (VALUES {_RULES_SQL}) t(rule, ending, new)), known AS (SELECT * FROM (VALUES {_KNOWN_SQL}) t(word, lemma)),
+    tried AS (SELECT w.word, rule, concat(left(w.word, length(w.word) - length(ending)), new) AS lemma FROM (SELECT DISTINCT word FROM words) w
+      JOIN rules ON suffix(w.word, ending) AND length(w.word) > length(ending)),
+    found AS (SELECT word, arg_min(lemma, rule) AS lemma FROM tried WHERE lemma IN (SELECT word FROM lexicon) GROUP BY word)
+    SELECT w.word, coalesce(k.lemma, f.lemma, w.word) AS lemma FROM (SELECT DISTINCT word FROM words) w
+    LEFT JOIN known k ON k.word = w.word LEFT JOIN found f ON f.word = w.word"""
+)
+def lemmatize_lexicon(spark, folder):
+    """Lemma of every word, accepted by a lexicon: here the words that two reviews or more have."""
+    words = reviews(spark, folder).select("row_id", F.explode(tx.tokenize_words(F.lower("review"))).alias("word"))
+    lexicon = words.distinct().groupBy("word").agg(F.count("*").alias("n")).where("n >= 2")
+    return lemma_table(words, lexicon)
+
+
 @query(_text_sql("strip_accents(review)"))
 def strip_accents(spark, folder):
     return _text(spark, folder, tx.strip_accents(F.col("review")))
@@ -182,7 +204,7 @@ def clean_paraphrases(spark, folder):
     return reviews(spark, folder).select("row_id", F.posexplode(tx.clean_lines(_answer())).alias("pos", "line"))
 
 
-@query(f"""WITH {REVIEWS} SELECT row_id, concat('gen_', left(sha256(concat('run|', "reviewId", '|', CAST(row_id AS VARCHAR))), 8)) AS value FROM reviews""", "generated_id")
+@query(f"""WITH {REVIEWS} SELECT row_id, concat('gen_', left(sha256(concat('run|', "reviewId", '|', CAST(row_id AS VARCHAR))), 16)) AS value FROM reviews""", "generated_id")
 def generated_ids(spark, folder):
     return reviews(spark, folder).select(
         "row_id", generated_id(F.lit("run"), F.col("reviewId"), F.col("row_id").cast("string")).alias("value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinara.functions import resources
+from opinara.functions import resources, text
 
 REVIEWS = """reviews AS (
   SELECT d.doc_id AS row_id, concat('r', CAST(d.doc_id AS VARCHAR)) AS "reviewId", d.text AS review,
@@ -34,7 +34,8 @@ def spanish(col: str) -> str:
 
 
 def lehmer(expr: str, seed: int = 0) -> str:
-    return f"(((({expr}) + {seed}) % 2147483647) * 48271 % 2147483647)"
+    value = f"(({expr}) + {seed})"
+    return f"((({value} % 2147483648 + ({value} // 2147483648) % 2147483647 * 1327217885) % 2147483647) * 48271 % 2147483647)"
 
 
 def quoted(words: list[str]) -> str:
@@ -46,13 +47,13 @@ def no_stopwords(expr: str, keep: list[str] | None = None) -> str:
 
 
 def lemma(word: str = "w") -> str:
-    irregular = " ".join(f"WHEN {word} = '{a}' THEN '{b}'" for a, b in resources.IRREGULAR_NOUNS.items())
+    known = text.irregular_nouns()
+    irregular = " ".join(f"WHEN {word} = '{a}' THEN '{b}'" for a, b in known.items())
     size = f"length({word})"
     return (
         f"CASE {irregular} "
-        f"WHEN regexp_matches({word}, '(ches|shes|xes|zes|sses)$') AND {size} > 4 THEN left({word}, {size} - 2) "
+        f"WHEN regexp_matches({word}, '(ch|sh|x|zz|tz|ss)es$') AND {size} > 4 THEN left({word}, {size} - 2) "
         f"WHEN suffix({word}, 'ies') AND {size} > 4 THEN concat(left({word}, {size} - 3), 'y') "
-        f"WHEN suffix({word}, 'men') AND {size} > 4 THEN concat(left({word}, {size} - 2), 'an') "
         f"WHEN suffix({word}, 's') AND {size} > 3 AND NOT regexp_matches({word}, '(ss|us|is)$') THEN left({word}, {size} - 1) "
         f"ELSE {word} END"
     )
