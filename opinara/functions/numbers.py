@@ -15,6 +15,17 @@ def to_number(col: Column) -> Column:
     return F.when(text.rlike(DECIMAL), F.trim(text).try_cast("double"))
 
 
+def is_missing(column: str, kind: str) -> Column:
+    """Null, or NaN in a floating column; ``kind`` is the column's type name."""
+    col = quoted(column)
+    return col.isNull() | F.isnan(col) if kind in ("float", "double") else col.isNull()
+
+
+def quoted(column: str) -> Column:
+    """A column by its plain name, dots included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def clean_double(col: Column) -> Column:
     """The column as double with NaN turned into null."""
     return F.nanvl(col.cast("double"), F.lit(None).cast("double"))

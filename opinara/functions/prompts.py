@@ -5,23 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CLASSIFY = (
-    "Lee la reseña de una app musical y decide su sentimiento.\n"
-    "Etiquetas posibles: Positivo, Negativo, Neutro. Contesta con una sola palabra.\n\n"
-    'Reseña: "{text}"\nEtiqueta:'
-)
-
-PARAPHRASE = (
-    "Write {n} new user reviews that say the same as the reviews below, with the sentiment {label}.\n"
-    "Keep the language of the input. One review per line, {n} lines, without numbers or comments.\n"
-    "Do not copy sentences and do not offend.\n\nReviews:\n{examples}\n"
-)
-
-PARAPHRASE_NEUTRAL = (
-    "Write {n} new user reviews that say the same as the reviews below in a strictly neutral tone.\n"
-    "Neither praise nor complain. Keep the language of the input.\n"
-    "One review per line, {n} lines, without numbers or comments.\n\nReviews:\n{examples}\n"
-)
+def classify_template(subject: str = "review", labels: tuple[str, ...] = ("Positivo", "Negativo", "Neutro")) -> str:
+    return f"Sentiment of this {subject}, as one of {', '.join(labels)}:\n{{text}}\nSentiment:"
+
+
+def paraphrase_template(subject: str = "review", tone: str = "{label}") -> str:
+    return (
+        f"Below are some texts of the kind: {subject}. Their tone is {tone}. Make {{n}} others like them, in their language"
+        " and with their meaning but not their words. Output: {n} lines and nothing else.\n{examples}\n"
+    )
+
+
+CLASSIFY = classify_template()
+PARAPHRASE = paraphrase_template()
+PARAPHRASE_NEUTRAL = paraphrase_template(tone="neutral, neither for nor against")
 
 
 def fill_template(template: str, **values: Column) -> Column:

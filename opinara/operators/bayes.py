@@ -42,11 +42,22 @@ def fit_bayes(features: DataFrame, rows: DataFrame, n_terms: int, label: str = "
     labels = small_values(rows, label)
     sizes = {r[label]: r["n"] for r in _class_rows(rows, label, [])}
     sums = [F.sum(F.when(F.col(label) == v, F.col("value")).otherwise(0.0)) for v in labels]
-    table, _ = materialise(features.groupBy("term").agg(F.array(*sums).alias("mass")))
+    table, _ = materialise(
+        features.groupBy("term").agg(F.array(*sums).alias("mass"), F.min("value").alias("least"))
+    )
+    refuse_negative(table)
+    table = table.drop("least")
     totals = table.agg(*[F.sum(F.get("mass", F.lit(j))).alias(f"c{j}") for j in range(len(labels))]).first()
     return BayesModel(table, labels, [sizes[v] for v in labels], [t or 0.0 for t in totals], n_terms)
 
 
+def refuse_negative(table: DataFrame) -> None:
+    """Word counts cannot be below 0, and the model's logarithms mean nothing for such values."""
+    found = table.where(F.col("least") < 0).select("term").first()
+    if found is not None:
+        raise ValueError(f"{found['term']} has negative values; naive Bayes needs values of 0 or more")
+
+
 def _safe_log(value: float) -> float:
     return math.log(value) if value > 0 else -1e308
 

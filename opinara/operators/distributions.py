@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import labels
-from opinara.functions.numbers import clean_double, to_number
+from opinara.functions.numbers import clean_double, is_missing, quoted, to_number
 
 
 def clean_scores(df: DataFrame, score: str = "score", review: str = "review", only_1_to_5: bool = True) -> DataFrame:
     """Numeric scores only, truncated to whole numbers; rows without text or score are dropped."""
     value = to_number(F.col(score)) if dict(df.dtypes)[score] == "string" else clean_double(F.col(score))
     kept = df.withColumn(score, value).na.drop(how="any", subset=[review, score])
-    kept = kept.withColumn(score, F.col(score).cast("int"))
-    return kept.where(F.col(score).between(1, 5)) if only_1_to_5 else kept
+    # Scores beyond the whole numbers are no scores; the check comes before the cast, which would fail on them.
+    low, high = (1.0, 6.0) if only_1_to_5 else (-(2.0**31), 2.0**31)
+    inside = F.when((F.col(score) >= low) & (F.col(score) < high), F.col(score))
+    return kept.withColumn(score, inside.cast("int")).where(F.col(score).isNotNull())
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -69,15 +73,17 @@ def answer_summary(df: DataFrame, label: str = "prediccion") -> DataFrame:
 
 
 def null_check(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: how many nulls, and whether there are any. One pass for all columns."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    """One row per column: how many nulls (NaN is one), and whether there are any. One pass for all columns."""
+    kinds = dict(df.dtypes)
+    counts = df.agg(*[F.count_if(is_missing(c, kinds[c])).alias(f"_{i}") for i, c in enumerate(columns)])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("n_null")) for i, c in enumerate(columns)]
     return counts.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_null")) for c in columns])).alias("r")
+        F.explode(F.array(*pairs)).alias("r")
     ).select("r.column_name", "r.n_null", (F.col("r.n_null") > 0).alias("has_null"))
 
 
 def count_unique(df: DataFrame, columns: list[str], threshold: int | None = None) -> DataFrame:
-    """Distinct non-null values per column.
+    """Distinct values per column, nulls and NaN left out.
 
     Columns are first sized by a mergeable sketch; only those near or below ``threshold`` are
     counted exactly, since every exact distinct count multiplies the shuffled rows.
@@ -85,10 +91,17 @@ def count_unique(df: DataFrame, columns: list[str], threshold: int | None = None
     exact = list(columns)
     sizes = {}
     if threshold is not None and columns:
-        row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-        exact = [c for c in columns if row[c] <= 2 * threshold + 10]
-        sizes = {c: row[c] for c in columns if c not in exact}
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in exact]
+        row = df.agg(*[F.approx_count_distinct(quoted(c), 0.02).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+        exact = [c for i, c in enumerate(columns) if row[i] <= 2 * threshold + 10]
+        sizes = {c: row[i] for i, c in enumerate(columns) if c not in exact}
+    kinds = dict(df.dtypes)
+    pairs = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.when(~is_missing(c, kinds[c]), quoted(c).cast("string")).alias("value"),
+        )
+        for c in exact
+    ]
     spark = df.sparkSession
     parts = []
     if exact:
@@ -104,13 +117,23 @@ def count_unique(df: DataFrame, columns: list[str], threshold: int | None = None
     return result
 
 
-NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
+
+
+def is_numeric(kind: str) -> bool:
+    return kind in NUMERIC_TYPES or kind.startswith("decimal")
 
 
 def select_features(df: DataFrame, target: str, threshold: int = 20) -> DataFrame:
-    """Role of every column: numeric, categorical (few distinct strings) or text."""
-    numeric = [c for c, t in df.dtypes if t in NUMERIC_TYPES and c != target]
+    """Role of every column: numeric (decimals and booleans, too), categorical (few distinct strings) or text.
+
+    Columns of other types are left out with a warning.
+    """
+    numeric = [c for c, t in df.dtypes if is_numeric(t) and c != target]
     strings = [c for c, t in df.dtypes if t == "string" and c != target]
+    for column, kind in df.dtypes:
+        if column != target and column not in numeric and column not in strings:
+            warnings.warn(f"column {column} of type {kind} is no feature", stacklevel=2)
     role = F.when(F.col("n_distinct") <= threshold, "categorical").otherwise("text")
     spark = df.sparkSession
     roles = spark.createDataFrame(

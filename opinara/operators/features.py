@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.session import lookup_join, materialise
+from opinara.session import lookup_join, materialise, new_path
 
 
 @dataclass(frozen=True)
@@ -80,21 +80,41 @@ def tf_idf(df: DataFrame, grams: Column, vocabulary: Vocabulary, carry: list[str
     return weighted.select(*carry, "term", (F.col("_w") / norm).alias("value"))
 
 
+# Fixed value: terms that a topic dictionary keeps unless told otherwise.
+KEEP_TERMS = 100_000
+
+
 def topic_dictionary(
-    df: DataFrame, tokens: Column, no_below: int = 5, no_above: float = 0.85, keep_n: int = 100_000
+    df: DataFrame, tokens: Column, no_below: int = 5, no_above: float = 0.85, keep_n: int | None = KEEP_TERMS
 ) -> Vocabulary:
-    """Terms in 5 or more documents and at most 85 % of them; the ``keep_n`` most frequent, numbered.
+    """Terms in 5 or more documents and at most 85 % of them; the ``keep_n`` most frequent (None: all), numbered.
 
-    ``keep_n`` bounds the table, so numbering it in one task is safe.
+    ``keep_n`` bounds the table, so numbering it in one task is safe; without it the terms are numbered by their places
+    in a distributed sort.
     """
     n_docs = df.count()
     kept = document_frequency(df, tokens).where((F.col("df") >= no_below) & (F.col("df") <= no_above * n_docs))
-    top = kept.orderBy(F.desc("df"), "term").limit(keep_n)
-    numbered = top.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
+    if keep_n is None:
+        numbered = numbered_in_order(kept, "term")
+    else:
+        top = kept.orderBy(F.desc("df"), "term").limit(keep_n)
+        numbered = top.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
     terms, size = materialise(numbered)
     return Vocabulary(terms, size, n_docs)
 
 
+def numbered_in_order(df: DataFrame, column: str) -> DataFrame:
+    """Add ``term_id`` from 0 in the order of a column without sorting all rows in one task."""
+    path = new_path(df.sparkSession, "ordered")
+    df.orderBy(column).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = F.broadcast(counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before")))  # a row per part of the sort
+    number = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(parts, "_part").withColumn("term_id", number.cast("int")).drop("_part", "_before", "_id")
+
+
 def doc2bow(df: DataFrame, tokens: Column, dictionary: Vocabulary, row_id: str = "row_id") -> DataFrame:
     counts = term_counts(df, tokens, [row_id])
     return lookup_join(counts, dictionary.terms, ["term"], table_rows=dictionary.size).select(row_id, "term_id", "n")

@@ -8,11 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.functions.numbers import clean_double
-from opinara.session import small_values
+from opinara.functions.numbers import clean_double, is_missing, quoted
+from opinara.session import lookup_join, small_values
 
 # Fixed value: fill for a categorical column without any value.
 UNKNOWN_CATEGORY = "Desconocido"
+# Categories that are looked up in an array instead of a table.
+FEW_CATEGORIES = 200
 
 
 def drop_features(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -30,7 +32,11 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.na.drop(how="any", subset=columns) if columns else df
+    """Rows without a null (or NaN) in ``columns``."""
+    kinds = dict(df.dtypes)
+    for column in columns:
+        df = df.where(~is_missing(column, kinds[column]))
+    return df
 
 
 @dataclass(frozen=True)
@@ -41,7 +47,8 @@ class Imputer:
     drop: tuple = ()
 
     def apply(self, df: DataFrame) -> DataFrame:
-        filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in self.fills.items()})
+        kinds = dict(df.dtypes)
+        filled = df.withColumns({c: F.when(is_missing(c, kinds[c]), F.lit(v)).otherwise(quoted(c)) for c, v in self.fills.items()})
         return drop_null_rows(filled, list(self.drop))
 
 
@@ -53,7 +60,7 @@ def _most_common(df: DataFrame, columns: list[str]) -> dict:
     """
     if not columns:
         return {}
-    pairs = [F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)]
+    pairs = [F.struct(F.lit(i).alias("c"), quoted(c).alias("v")) for i, c in enumerate(columns)]
     counted = (
         df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count("*").alias("n"))
     )
@@ -151,27 +158,34 @@ def fit_imputer(
     mode (default), constant or delete. ``approximate`` reads the median from a quantile sketch."""
     fills: dict = {}
     drop: list[str] = []
-    values = df.select(*[clean_double(F.col(c)).alias(c) for c in numeric], *categorical)
+    # Inside, columns go by number, so that any name will do.
+    names = [*numeric, *categorical]
+    values = df.select(
+        *[clean_double(quoted(c)).alias(f"_{names.index(c)}") for c in numeric],
+        *[quoted(c).alias(f"_{names.index(c)}") for c in categorical],
+    )
+    inner = lambda columns: [f"_{names.index(c)}" for c in columns]
+    outer = lambda found: {names[int(c[1:])]: v for c, v in found.items()}
     if impute_num == "delete":
         drop += numeric
     elif impute_num == "constant":
         fills.update({c: float(num_constant) for c in numeric})
     elif numeric:
         if impute_num == "mode":
-            fills.update(_most_common(values, numeric))
+            fills.update(outer(_most_common(values, inner(numeric))))
         else:
             if impute_num == "mean" or approximate:
                 pick = F.avg if impute_num == "mean" else (lambda c: F.percentile_approx(c, 0.5, 100_000))
-                row = values.agg(*[pick(c).alias(c) for c in numeric]).first().asDict()
+                row = values.agg(*[pick(c).alias(c) for c in inner(numeric)]).first().asDict()
             else:
-                row = exact_medians(values, numeric)
-            fills.update({c: row[c] for c in numeric if row[c] is not None})
+                row = exact_medians(values, inner(numeric))
+            fills.update({c: v for c, v in outer(row).items() if v is not None})
     if impute_cat == "delete":
         drop += categorical
     elif impute_cat == "constant":
         fills.update(dict.fromkeys(categorical, cat_constant))
     else:
-        modes = _most_common(values, categorical)
+        modes = outer(_most_common(values, inner(categorical)))
         fills.update({c: modes.get(c, UNKNOWN_CATEGORY) for c in categorical})
     return Imputer(fills, tuple(drop))
 
@@ -188,7 +202,7 @@ class Scaler:
     def apply(self, df: DataFrame) -> DataFrame:
         if self.kind == "none":
             return df
-        values = {c: F.col(c).cast("double") for c in self.columns}
+        values = {c: quoted(c).cast("double") for c in self.columns}
         if self.kind == "normalizer":
             squares = [value * value for value in values.values()]
             norm = F.sqrt(sum(squares[1:], squares[0]))
@@ -205,37 +219,47 @@ def fit_scaler(df: DataFrame, columns: list[str], scaler: str = "standard") -> S
     if kind == "normalizer":
         return Scaler(kind, tuple(columns))
     measures: list[Column] = []
-    for c in columns:
-        value = clean_double(F.col(c))
+    for i, c in enumerate(columns):
+        value = clean_double(quoted(c))
         if kind == "minmax":
             low, size = F.min(value), F.max(value) - F.min(value)
         elif kind == "maxabs":
             low, size = F.lit(0.0), F.max(F.abs(value))
         else:
             low, size = F.avg(value), F.stddev_pop(value)
-        measures += [low.alias(f"{c}_low"), size.alias(f"{c}_size")]
+        measures += [low.alias(f"_low{i}"), size.alias(f"_size{i}")]
     row = df.agg(*measures).first()
-    shift = {c: row[f"{c}_low"] or 0.0 for c in columns}
+    shift = {c: row[f"_low{i}"] or 0.0 for i, c in enumerate(columns)}
     # A constant column keeps divisor 1, so it becomes 0 instead of a division by zero.
-    divisor = {c: row[f"{c}_size"] or 1.0 for c in columns}
+    divisor = {c: row[f"_size{i}"] or 1.0 for i, c in enumerate(columns)}
     return Scaler(kind, tuple(columns), shift, divisor)
 
 
 @dataclass(frozen=True)
 class LabelEncoder:
-    """Category -> position in sorted order; an unseen category is an error."""
+    """Category -> position in sorted order; an unseen category is an error.
+
+    Few categories are looked up in an array, more in a joined table.
+    """
 
     classes: dict
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: self.code(c) for c in self.classes})
+        few = [c for c, values in self.classes.items() if len(values) <= FEW_CATEGORIES]
+        columns = df.columns
+        df = df.withColumns({c: self.checked(c, F.array_position(F.array(*map(F.lit, self.classes[c])), quoted(c)) - 1) for c in few})
+        for c in self.classes.keys() - set(few):
+            rows = [(value, code) for code, value in enumerate(self.classes[c])]
+            table = df.sparkSession.createDataFrame(rows, "_value string, _code long")
+            named = lookup_join(df.withColumn("_value", quoted(c)), table, ["_value"], "left", table_rows=len(rows))
+            df = named.withColumn(c, self.checked(c, F.col("_code"))).drop("_value", "_code")
+        return df.select(*map(quoted, columns))
 
-    def code(self, column: str) -> Column:
-        known = F.array(*[F.lit(v) for v in self.classes[column]])
-        position = F.array_position(known, F.col(column))
-        unseen = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), F.coalesce(F.col(column), F.lit("null"))))
-        return F.when(position > 0, (position - 1).cast("int")).otherwise(unseen.cast("int"))
+    def checked(self, column: str, code: Column) -> Column:
+        unseen = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), F.coalesce(quoted(column), F.lit("null"))))
+        return F.when(code >= 0, code.cast("int")).otherwise(unseen.cast("int"))
 
 
 def fit_label_encoder(df: DataFrame, columns: list[str]) -> LabelEncoder:
+    """Categories stay in the encoder; columns are categorical only up to a threshold of distinct values."""
     return LabelEncoder({c: small_values(df, c) for c in columns})

@@ -17,7 +17,7 @@ from opinara.plans.catalog_text import simplified_sql
 from opinara.plans.sqltext import RATED
 from opinara.session import materialise, new_path
 from opinara.sources import files
-from opinara.sources.tables import rated_reviews, reviews, table
+from opinara.sources.tables import rated_reviews, reviews, split_of, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -115,21 +115,21 @@ def write_predictions(spark, folder):
     return files.read_reviews(spark, path, ",")
 
 
-_REPORT = f"""{_predict_sql(0.5, _LEARNED)}, judged AS (SELECT label, prediction FROM labelled JOIN predicted USING (row_id)),
-  names2 AS (SELECT label AS c FROM judged UNION SELECT prediction FROM judged),
+_PER_CLASS = """names2 AS (SELECT label AS c FROM judged UNION SELECT prediction FROM judged),
   per_class AS (SELECT c, tp, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p, CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r,
       CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0.0 END AS f
     FROM (SELECT c, CAST(count(*) FILTER (WHERE label = c AND prediction = c) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE label = c) AS DOUBLE) AS support,
       CAST(count(*) FILTER (WHERE prediction = c) AS DOUBLE) AS predicted FROM names2 JOIN judged ON label = c OR prediction = c GROUP BY c))"""
-
-
-@query(
-    f"""WITH {_REPORT} SELECT c AS label, round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1, CAST(support AS BIGINT) AS support FROM per_class
+_REPORT = f"""{_predict_sql(0.5, _LEARNED)}, judged AS (SELECT label, prediction FROM labelled JOIN predicted USING (row_id)),
+  {_PER_CLASS}"""
+_REPORT_ROWS = """SELECT c AS label, round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1, CAST(support AS BIGINT) AS support FROM per_class
     UNION ALL SELECT 'accuracy', round(sum(tp) / sum(support), 4), round(sum(tp) / sum(support), 4), round(sum(tp) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM per_class
     UNION ALL SELECT 'macro avg', round(avg(p), 4), round(avg(r), 4), round(avg(f), 4), CAST(sum(support) AS BIGINT) FROM per_class
     UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 4), round(sum(r * support) / sum(support), 4), round(sum(f * support) / sum(support), 4),
       CAST(sum(support) AS BIGINT) FROM per_class"""
-)
+
+
+@query(f"WITH {_REPORT} {_REPORT_ROWS}")
 def sentiment_report(spark, folder):
     """Classification report of naive Bayes on the rated reviews it was fitted on."""
     judged = attach_predictions(spark, folder).join(_rated(spark, folder).select("row_id"), "row_id", "left_semi")
@@ -216,10 +216,24 @@ def grid_search(spark, folder):
 @query(
     f"WITH {_GRID}, {_scores_sql('guesses')} SELECT cell, model, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1 FROM scores JOIN cells USING (cell) ORDER BY f DESC, cell LIMIT 1"
 )
-def best_model_refit(spark, folder):
+def best_cell(spark, folder):
     return _rounded(search.best_cell(_nb_scores(spark, folder)))
 
 
+_BEST = f"""best AS (WITH {_GRID}, {_scores_sql('guesses')} SELECT alpha, prior FROM scores JOIN cells USING (cell) ORDER BY f DESC, cell LIMIT 1)"""
+_BEST_PRIOR = f"CASE WHEN (SELECT prior FROM best) THEN {_LEARNED} ELSE {_UNIFORM} END"
+
+
+@query(f"WITH {_BEST}, {_predict_sql('(SELECT alpha FROM best)', _BEST_PRIOR)} SELECT row_id, prediction FROM predicted")
+def best_model_refit(spark, folder):
+    """The best cell of the grid, fitted again on all rated reviews and applied to every review."""
+    best = _CELLS[search.best_cell(_nb_scores(spark, folder)).first()["cell"]]
+    vocabulary, model = _fitted(spark, folder)
+    rows = reviews(spark, folder).select("row_id", "review")
+    counts = _counts(rows, vocabulary, ["row_id"])
+    return bayes.predict_bayes(model, rows, counts, best["alpha"], best["fit_prior"]).select("row_id", "prediction")
+
+
 @query(
     f"""WITH {_GRID}, {_scores_sql('guesses')} SELECT model AS "NombreMod", printf('%.4f', p) AS "Precisión", printf('%.4f', r) AS "Recall", printf('%.4f', f) AS "F_score(macro)"
     FROM scores JOIN cells USING (cell)"""
@@ -281,7 +295,7 @@ def knn_neighbors_text(spark, folder):
     prepared = classify.Prepared(
         spec, {"numeric": [], "categorical": [], "text": ["review"]}, None, None, None, vocabulary
     )
-    rows = reviews(spark, folder).select("row_id", _words().alias("words"))
+    rows = reviews(spark, folder).select("row_id", _words().alias(classify.WORDS))
     every = classify.as_vectors(rows, prepared).persist()
     train = every.join(rated.select("row_id"), "row_id", "left_semi")
     near = neighbors.knn(every, train, 3, 2, exclude="self")
@@ -376,10 +390,22 @@ def reattach_resampled(spark, folder):
     return rows.select("row_id", "label", "fold", F.size("idx").alias("n_features"))
 
 
-@query()
+# Fitted on the training split alone: the rated rows of the SQL are those of that split.
+_DEV_PREDICTED = _JOB_PREDICTED.replace(
+    "rated AS (SELECT * FROM reviews WHERE score IS NOT NULL)",
+    "rated AS (SELECT * FROM reviews WHERE score IS NOT NULL AND row_id % 10 < 8)",
+)
+
+
+@query(
+    f"""WITH {_DEV_PREDICTED}, judged AS (SELECT {sq.pnn('score')} AS label, prediction FROM reviews JOIN predicted USING (row_id)
+      WHERE score IS NOT NULL AND row_id % 10 = 8), {_PER_CLASS} {_REPORT_ROWS}"""
+)
 def evaluate_dev(spark, folder):
-    trained = classify.train(rated_reviews(spark, folder), _job())
-    return classify.evaluate(trained, rated_reviews(spark, folder))["report"]
+    """Report on the dev split of a job that was trained on the train split."""
+    rows = rated_reviews(spark, folder).withColumn("_split", split_of())
+    trained = classify.train(rows.where("_split = 'train'").drop("_split"), _job())
+    return classify.evaluate(trained, rows.where("_split = 'dev'").drop("_split"))["report"]
 
 
 def _library_scores(spark: SparkSession, folder: str, algorithm: str, grid: dict, **changes) -> DataFrame:
@@ -451,49 +477,79 @@ def coherence_cv(spark, folder):
     return topics.coherence_cv(rows, words).withColumn("coherence", F.round("coherence", 6))
 
 
-def _banded(spark: SparkSession, folder: str, band: str) -> DataFrame:
-    rows = topic_plan.banded_tokens(rated_reviews(spark, folder), topic_plan.TopicSpec(bands=(band,)))
-    return materialise(rows)[0]
+BANDS = ("negative", "neutral", "positive")
+# The job's range of topic numbers.
+KS = (2, 10, 1)
+
+
+def _each_band(spark: SparkSession, folder: str, make) -> DataFrame:
+    """``make`` of every band's rows and dictionary, one below the other, with the band's name."""
+    every = topic_plan.banded_tokens(rated_reviews(spark, folder), topic_plan.TopicSpec(bands=BANDS))
+    every = materialise(every)[0]
+    result = None
+    for band in BANDS:
+        rows = every.where(F.col("sentiment") == band)
+        dictionary = topics.build_dictionary(rows)
+        if dictionary.size == 0:
+            continue
+        part = make(rows, dictionary).withColumn("sentiment", F.lit(band))
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
 @query()
 def lda_fit(spark, folder):
-    """Topic mixture of every positive review under three topics."""
-    rows = _banded(spark, folder, "positive")
-    model = topics.fit_topics(rows, topics.build_dictionary(rows), 3)
-    mixed = model.transform(rows).select("row_id", F.posexplode("mixture").alias("topic", "share"))
-    return mixed.withColumn("share", F.round("share", 4))
+    """Topic mixture of every review under three topics of its band."""
+
+    def mixtures(rows: DataFrame, dictionary: features.Vocabulary) -> DataFrame:
+        model = topics.fit_topics(rows, dictionary, 3)
+        mixed = model.transform(rows).select("row_id", F.posexplode("mixture").alias("topic", "share"))
+        return mixed.withColumn("share", F.round("share", 4))
+
+    return _each_band(spark, folder, mixtures)
 
 
 @query()
 def topic_keywords(spark, folder):
-    rows = _banded(spark, folder, "positive")
-    return topics.topic_keywords(topics.fit_topics(rows, topics.build_dictionary(rows), 3))
+    """Heaviest words of three topics per band."""
+    return _each_band(
+        spark, folder, lambda rows, dictionary: topics.topic_keywords(topics.fit_topics(rows, dictionary, 3))
+    )
+
+
+def _curves(spark: SparkSession, folder: str) -> DataFrame:
+    return _each_band(
+        spark, folder, lambda rows, dictionary: topics.coherence_curve(rows, dictionary, topics.k_range(*KS))
+    )
 
 
 @query()
 def coherence_curve(spark, folder):
-    """Coherence for 2 to 4 topics over the positive reviews."""
-    rows = _banded(spark, folder, "positive")
-    return topics.coherence_curve(rows, topics.build_dictionary(rows), topics.k_range(2, 4))
+    """Coherence for each number of topics of the job's range, per band."""
+    return _curves(spark, folder)
+
+
+def _chosen(curves: DataFrame, manual: dict[str, int]) -> DataFrame:
+    found: dict[str, list] = {}
+    # One row per band and number of topics.
+    for row in curves.orderBy("sentiment", "k").collect():
+        found.setdefault(row["sentiment"], []).append((row["k"], row["coherence"]))
+    chosen = [(band, topics.choose_k(curve, manual.get(band))) for band, curve in found.items()]
+    return curves.sparkSession.createDataFrame(chosen, "sentiment string, k int")
 
 
 @query()
 def k_sweep(spark, folder):
-    """Coherence for 2 and 3 topics over the neutral reviews, and which of them is chosen."""
-    rows = _banded(spark, folder, "neutral")
-    curve = topics.coherence_curve(rows, topics.build_dictionary(rows), topics.k_range(2, 3))
-    best = topics.choose_k([(r["k"], r["coherence"]) for r in curve.collect()])
-    return curve.withColumn("chosen", F.col("k") == best)
+    """The curve of each band, and which number of topics it chooses."""
+    curves = _curves(spark, folder)
+    best = _chosen(curves, {}).select("sentiment", F.col("k").alias("_k"))
+    return curves.join(F.broadcast(best), "sentiment").withColumn("chosen", F.col("k") == F.col("_k")).drop("_k")
 
 
 @query()
 def k_choice(spark, folder):
-    """The k chosen per band: swept for one band, set by hand for the others."""
-    rows = _banded(spark, folder, "negative")
-    swept = topics.coherence_curve(rows, topics.build_dictionary(rows), topics.k_range(2, 3)).collect()
-    chosen = [("negative", topics.choose_k([(r["k"], r["coherence"]) for r in swept])), ("positive", topics.choose_k([], 3))]
-    return spark.createDataFrame(chosen, "sentiment string, k int")
+    """The number of topics per band: swept, but for one that is set by hand."""
+    return _chosen(_curves(spark, folder), {"positive": 3})
 
 
 _MANUAL = {"negative": 4, "positive": 3, "neutral": 3}

@@ -490,6 +490,3 @@ def f1_micro_macro(spark, folder):
 )
 def classification_report(spark, folder):
     return metrics.classification_report(metrics.confusion(_judged(spark, folder)))
-
-
-__all__ = ["ORACLE", "QUERIES", "numbers"]

@@ -10,18 +10,23 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
     RandomForestClassificationModel,
 )
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from opinara.functions import text as tx
 from opinara.functions.labels import rating_to_pnn
+from opinara.functions.numbers import quoted
 from opinara.operators import bayes, features, mlmodels, neighbors, prepare, sampling, search
 from opinara.operators.distributions import feature_roles
 from opinara.operators.folds import stratified_folds
 from opinara.operators.metrics import classification_report, confusion, confusion_matrix, f1_micro_macro
 from opinara.operators.ranks import class_ranks
-from opinara.session import lookup_join, materialise, small_values, work_dir
+from opinara.session import lookup_join, materialise, new_path, small_values, work_dir
+
+# Columns of the job itself; no source column is called so inside, whatever its name outside.
+WORDS = "_words"
 
 ML_MODELS = {
     "decision_tree": DecisionTreeClassificationModel,
@@ -71,6 +76,11 @@ class Prepared:
     def plain_columns(self) -> list[str]:
         return self.roles["numeric"] + self.roles["categorical"]
 
+    @property
+    def inner_columns(self) -> list[str]:
+        """What the plain columns are called in prepared rows."""
+        return [f"_x{i}" for i in range(len(self.plain_columns))]
+
     @property
     def n_terms(self) -> int:
         return len(self.plain_columns) + (self.vocabulary.size if self.vocabulary else 0)
@@ -92,21 +102,21 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 
 def _label(df: DataFrame, spec: JobSpec) -> Column:
-    return rating_to_pnn(F.col(spec.target)) if spec.pnn else F.col(spec.target)
+    return rating_to_pnn(quoted(spec.target)) if spec.pnn else quoted(spec.target)
 
 
 def _with_words(df: DataFrame, prepared: Prepared) -> DataFrame:
-    """Add the ``words`` array: n-grams over all text columns, cleaned and joined."""
+    """Add the word array: n-grams over all text columns, cleaned and joined."""
     spec = prepared.spec
-    if "words" in df.columns:
+    if WORDS in df.columns:
         return df
-    texts = [tx.simplify_text(F.col(c), spec.language) for c in prepared.roles["text"]]
-    single = df.withColumn("words", tx.two_char_words(tx.concat_texts(*texts)))
-    return single.withColumn("words", tx.ngrams(F.col("words"), *spec.ngram_range))
+    texts = [tx.simplify_text(quoted(c), spec.language) for c in prepared.roles["text"]]
+    single = df.withColumn(WORDS, tx.two_char_words(tx.concat_texts(*texts)))
+    return single.withColumn(WORDS, tx.ngrams(F.col(WORDS), *spec.ngram_range))
 
 
 def fit_preparation(train: DataFrame, spec: JobSpec) -> tuple[Prepared, DataFrame]:
-    """The fitted preparation, and the training table with its cleaned ``words`` kept for reuse."""
+    """The fitted preparation, and the training table with its cleaned words kept for reuse."""
     kept = prepare.drop_features(train, list(spec.drop_features))
     roles = feature_roles(kept.drop("row_id"), spec.target, spec.unique_category_threshold)
     imputer = prepare.fit_imputer(
@@ -119,7 +129,7 @@ def fit_preparation(train: DataFrame, spec: JobSpec) -> tuple[Prepared, DataFram
     if roles["text"] and spec.text_process in ("tf-idf", "bow"):
         # Cleaning is the costly step: it is done once, and the raw texts are not kept beside the words.
         kept = _with_words(kept, prepared).drop(*roles["text"]).persist()
-        prepared.vocabulary = features.fit_vocabulary(imputer.apply(kept), F.col("words"), spec.min_df, spec.max_df)
+        prepared.vocabulary = features.fit_vocabulary(imputer.apply(kept), F.col(WORDS), spec.min_df, spec.max_df)
     return prepared, kept
 
 
@@ -131,9 +141,10 @@ def prepared_rows(df: DataFrame, prepared: Prepared) -> DataFrame:
     if prepared.vocabulary is not None:
         worded = _with_words(scaled, prepared)
     else:
-        worded = scaled.withColumn("words", F.array().cast("array<string>"))
+        worded = scaled.withColumn(WORDS, F.array().cast("array<string>"))
     label = [_label(df, spec).alias("label")] if spec.target in df.columns else []
-    return worded.select("row_id", *label, *prepared.plain_columns, "words")
+    plain = [quoted(c).alias(inner) for c, inner in zip(prepared.plain_columns, prepared.inner_columns, strict=True)]
+    return worded.select("row_id", *label, *plain, WORDS)
 
 
 def _long_rows(rows: DataFrame, prepared: Prepared, carry: list[str]) -> DataFrame:
@@ -141,15 +152,15 @@ def _long_rows(rows: DataFrame, prepared: Prepared, carry: list[str]) -> DataFra
     parts = []
     if prepared.plain_columns:
         entries = [
-            F.struct(F.lit(f"column:{c}").alias("term"), F.col(c).cast("double").alias("value"))
-            for c in prepared.plain_columns
+            F.struct(F.lit(f"column:{c}").alias("term"), F.col(inner).cast("double").alias("value"))
+            for c, inner in zip(prepared.plain_columns, prepared.inner_columns, strict=True)
         ]
         parts.append(rows.select(*carry, F.inline(F.array(*entries))).where(F.col("value") != 0))
     if prepared.vocabulary is not None:
         if prepared.spec.text_process == "tf-idf":
-            terms = features.tf_idf(rows, F.col("words"), prepared.vocabulary, carry)
+            terms = features.tf_idf(rows, F.col(WORDS), prepared.vocabulary, carry)
         else:
-            counts = features.bag_of_words(rows, F.col("words"), prepared.vocabulary, carry)
+            counts = features.bag_of_words(rows, F.col(WORDS), prepared.vocabulary, carry)
             terms = counts.withColumn("value", F.col("n").cast("double"))
         parts.append(terms.select(*carry, F.concat(F.lit("text:"), "term").alias("term"), "value"))
     result = parts[0]
@@ -188,7 +199,7 @@ def as_vectors(rows: DataFrame, prepared: Prepared) -> DataFrame:
     long = _long_rows(rows, prepared, ["row_id"])
     numbered = lookup_join(long, term_numbers(prepared), ["term"], table_rows=prepared.n_terms)
     listed = numbered.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("term_id", "value"))).alias("_e"))
-    joined = rows.drop("words", *prepared.plain_columns).join(listed, "row_id", "left")
+    joined = rows.drop(WORDS, *prepared.inner_columns).join(listed, "row_id", "left")
     none = F.array()
     return joined.select(
         *[c for c in joined.columns if c != "_e"],
@@ -200,18 +211,31 @@ def as_vectors(rows: DataFrame, prepared: Prepared) -> DataFrame:
 def as_assembled(rows: DataFrame, prepared: Prepared) -> DataFrame:
     """The rows with one sparse ``features`` vector.
 
-    Untouched rows are vectorised inside the JVM without a shuffle; synthetic ones already are
-    sparse arrays and only change their type.
+    Rows are vectorised inside the JVM without a shuffle. Of rebalanced rows only the sparse arrays are there, old and
+    new ones alike, numbered by ``term_numbers``; they become vectors inside the JVM, too.
     """
     if "idx" in rows.columns:
-        size = prepared.n_terms
-        build = F.udf(lambda idx, val: SparseVector(size, idx, val), VectorUDT(), useArrow=True)
-        return rows.withColumn("features", build("idx", "val")).drop("idx", "val")
+        return sparse_vectors(rows, prepared.n_terms)
     if prepared.vocabulary is None:
-        return mlmodels.assemble(rows, [], prepared.plain_columns, None).transform(rows)
-    stages = mlmodels.text_stages(prepared.vocabulary, "words", "text_vector", prepared.spec.text_process)
-    done = mlmodels.assemble(rows, stages, prepared.plain_columns, "text_vector").transform(rows)
-    return done.drop("words", "text_vector", "text_vector_n", "text_vector_w")
+        return mlmodels.assemble(rows, [], prepared.inner_columns, None).transform(rows)
+    stages = mlmodels.text_stages(prepared.vocabulary, WORDS, "text_vector", prepared.spec.text_process)
+    done = mlmodels.assemble(rows, stages, prepared.inner_columns, "text_vector").transform(rows)
+    return done.drop(WORDS, "text_vector", "text_vector_n", "text_vector_w")
+
+
+def sparse_vectors(rows: DataFrame, size: int) -> DataFrame:
+    """``features`` in place of the arrays ``idx`` and ``val``, without leaving the JVM.
+
+    A vector is stored as a struct of its kind, size, places and values; written as such a struct it is read back as
+    a vector.
+    """
+    kind = F.lit(0).cast("tinyint").alias("type")
+    parts = F.struct(kind, F.lit(size).alias("size"), F.col("idx").alias("indices"), F.col("val").alias("values"))
+    stored = rows.withColumn("features", parts).drop("idx", "val")
+    path = new_path(rows.sparkSession, "vectors")
+    stored.write.parquet(path)
+    fields = [StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in stored.schema.fields]
+    return rows.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
 def _drawn_rows(df: DataFrame, spec: JobSpec) -> DataFrame:
@@ -222,27 +246,36 @@ def _drawn_rows(df: DataFrame, spec: JobSpec) -> DataFrame:
     labelled = df.withColumn("_label", _label(df, spec))
     if kind == "undersampling":
         return sampling.random_undersample(labelled, "_label").drop("_label")
-    stride = df.agg(F.max("row_id")).first()[0] + 1
-    grown = sampling.random_oversample(labelled, "_label")
-    return grown.withColumn("row_id", F.col("row_id") + F.col("copy") * stride).drop("copy", "_label")
+    grown = written(sampling.random_oversample(labelled, "_label").drop("_label"), "oversampled")
+    copies = behind(df, grown.where("copy > 0").drop("copy"), F.col("row_id"))
+    return grown.where("copy = 0").drop("copy").unionByName(copies)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that what follows does not make its rows anew."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def behind(rows: DataFrame, new: DataFrame, key: Column) -> DataFrame:
+    """``new`` with row ids that follow the largest one of ``rows`` without gaps, in a pseudo-random order of ``key``.
+
+    Ranks grow with the number of rows only, whatever the ids are.
+    """
+    last = rows.agg(F.max("row_id")).first()[0] or 0
+    ranked = class_ranks(new.withColumn("_key_of", key), F.lit(0), row_id="_key_of", rank="_at")
+    return ranked.withColumn("row_id", F.col("_at") + last).select(*new.columns)
 
 
 def _synthetic_rows(rows: DataFrame, prepared: Prepared, labels: list) -> DataFrame:
     """SMOTE or ADASYN on the feature vectors: row_id, label, idx, val of all rows, old and new."""
     held = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)).persist()
     made = sampling.smote(held) if prepared.spec.sampling.lower() == "smote" else sampling.adasyn(held)
-    # New ids lie behind the largest original one and are unique by arithmetic: a draw number counts
-    # within its class for SMOTE and within its base row for ADASYN.
-    stride = held.agg(F.max("row_id")).first()[0] + 1
-    draw = F.element_at(F.split("synthetic_id", "-"), -1).cast("long")
-    if prepared.spec.sampling.lower() == "smote":
-        new_id = stride + draw * len(labels) + F.col("y")
-    else:
-        new_id = (draw + 1) * stride + F.col("row_id")
-    numbered = made.withColumn("row_id", new_id)
+    numbered = behind(held, written(made, "synthetic"), F.xxhash64("synthetic_id"))
     name = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("y") + 1)
     columns = ["row_id", name.alias("label"), "idx", "val"]
-    return held.select(*columns).unionByName(numbered.select(*columns))
+    return written(held.select(*columns).unionByName(numbered.select(*columns)), "rebalanced")
 
 
 def training_rows(df: DataFrame, prepared: Prepared) -> tuple[DataFrame, list]:
@@ -304,7 +337,10 @@ def knn_predictions(queries: DataFrame, held: DataFrame, cells: list[dict], labe
 
 
 def predict(trained: Trained, df: DataFrame) -> DataFrame:
-    """The rows of ``df`` with ``label`` (if the target is there) and ``prediction``."""
+    """The rows of ``df`` with ``label`` (if the target is there) and ``prediction``.
+
+    Source columns of these names come back as ``source_label`` and ``source_prediction``.
+    """
     prepared = trained.prepared
     rows = prepared_rows(df, prepared)
     algorithm = prepared.spec.algorithm
@@ -317,7 +353,11 @@ def predict(trained: Trained, df: DataFrame) -> DataFrame:
         done = knn_predictions(as_vectors(rows, prepared), trained.model, [trained.cell], trained.labels)
     else:
         done = mlmodels.predict_model(trained.model, as_assembled(rows, prepared), trained.labels)
-    named = df.withColumn("label", _label(df, prepared.spec)) if prepared.spec.target in df.columns else df
+    # A source column called like one of the two stays as it is under another name.
+    taken = {c: f"source_{c}" for c in ("label", "prediction") if c in df.columns and c != prepared.spec.target}
+    named = df.withColumnsRenamed(taken)
+    if prepared.spec.target in named.columns:
+        named = named.withColumn("label", _label(named, prepared.spec))
     return named.join(done.select("row_id", "prediction"), "row_id", "left")
 
 

@@ -79,8 +79,8 @@ def lookup_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def small_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Sorted distinct non-null values of a column that must be small (class labels, folds)."""
+def small_values(df: DataFrame, column: str, limit: int = 100_000) -> list:
+    """Sorted distinct non-null values of a column that a fitted model keeps anyway (class labels, categories)."""
     found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(found) > limit:
         raise ValueError(f"column {column} has more than {limit} distinct values")

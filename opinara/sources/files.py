@@ -22,7 +22,7 @@ SEPARATORS = [";", ",", "\t", "|"]
 
 # Stands for "no text is null", so an empty field and an absent field stay distinguishable.
 _NEVER = "\u0001"
-_QUOTING = {"quote": '"', "escape": '"', "multiLine": True, "header": True}
+_QUOTING = {"quote": '"', "escape": '"', "header": True}
 
 
 def _missing_to_null(column: str) -> Column:
@@ -71,10 +71,19 @@ def sniff_separator(header: str) -> str:
 
 
 def read_reviews(
-    spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | None = None, rename: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ";",
+    schema: T.StructType | None = None,
+    rename: dict[str, str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """UTF-8 file with a header and a known separator. Types come from ``schema`` or the values."""
-    options = {**_QUOTING, "sep": sep, "encoding": "UTF-8"}
+    """UTF-8 file with a header and a known separator. Types come from ``schema`` or the values.
+
+    ``multi_line`` allows line breaks inside quotes, as free text has them; such a file is read by one task. Turn it off
+    for large files without them, which then are split.
+    """
+    options = {**_QUOTING, "multiLine": multi_line, "sep": sep, "encoding": "UTF-8"}
     if schema is not None:
         names = {f.name: f.dataType for f in schema.fields}
         texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -94,8 +103,11 @@ def valid_utf8(spark: SparkSession, path: str) -> bool:
     return spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
 
 
-def read_reviews_tolerant(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
-    """File of unknown separator and encoding. Short lines are padded, lines too long are skipped."""
+def read_reviews_tolerant(spark: SparkSession, path: str, infer: bool = True, multi_line: bool = True) -> DataFrame:
+    """File of unknown separator and encoding. Short lines are padded, lines too long are skipped.
+
+    ``multi_line`` as in ``read_reviews``.
+    """
     encoding = "UTF-8" if valid_utf8(spark, path) else "ISO-8859-1"
     header = _header(spark, path, encoding)
     sep = sniff_separator(header)
@@ -104,7 +116,7 @@ def read_reviews_tolerant(spark: SparkSession, path: str, infer: bool = True) ->
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_surplus"]])
     raw = (
         spark.read.schema(schema)
-        .options(**_QUOTING, sep=sep, encoding=encoding, nullValue=_NEVER, emptyValue="", mode="PERMISSIVE")
+        .options(**_QUOTING, multiLine=multi_line, sep=sep, encoding=encoding, nullValue=_NEVER, emptyValue="", mode="PERMISSIVE")
         .option("enforceSchema", True)
         .csv(path)
     )
@@ -112,9 +124,11 @@ def read_reviews_tolerant(spark: SparkSession, path: str, infer: bool = True) ->
     return infer_numbers(kept) if infer else kept
 
 
-def read_topic_source(spark: SparkSession, path: str, text: str = "review", score: str = "score") -> DataFrame:
+def read_topic_source(
+    spark: SparkSession, path: str, text: str = "review", score: str = "score", multi_line: bool = True
+) -> DataFrame:
     """``;`` file for the topic job, checked for its two columns before anything is run."""
-    return require_columns(read_reviews(spark, path, ";"), [text, score])
+    return require_columns(read_reviews(spark, path, ";", multi_line=multi_line), [text, score])
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", partition_by: list[str] | None = None) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,13 +22,21 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as reviews; the score is null where a document has no label."""
+    return _reviews(spark, folder, "left")
+
+
+def _reviews(spark: SparkSession, folder: str, how: str) -> DataFrame:
+    """Reviews of all documents (``left``) or of the rated ones (``inner``): then unrated texts never leave their scan's
+    stage where the labels are small enough to be broadcast, and are dropped by the join itself where not."""
     documents = spread(table(spark, folder, "documents"), "doc_id")
     labels = table(spark, folder, "labels")
     odd = (F.col("doc_id") % 2).cast("int")
     score = (
         F.when(F.col("quality") == 0, 1 + odd).when(F.col("toxic") == 1, 3).when(F.col("quality") == 1, 4 + odd)
     )
-    return documents.join(labels, "doc_id", "left").select(
+    if how == "inner":
+        labels = labels.where(F.col("quality").isin(0, 1) | (F.col("toxic") == 1))
+    return documents.join(labels, "doc_id", how).select(
         F.col("doc_id").alias("row_id"),
         F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("reviewId"),
         F.col("text").alias("review"),
@@ -41,4 +49,10 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rated_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return reviews(spark, folder).where(F.col("score").isNotNull())
+    return _reviews(spark, folder, "inner")
+
+
+def split_of(row_id: str = "row_id") -> Column:
+    """train, dev (ids ending in 8) or test (in 9)."""
+    last = F.pmod(F.col(row_id), F.lit(10))
+    return F.when(last == 8, "dev").when(last == 9, "test").otherwise("train")

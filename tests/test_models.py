@@ -159,7 +159,7 @@ def separable(spark):
 )
 def test_train_save_load_predict(spark, tmp_path, algorithm, grid):
     df = separable(spark)
-    spec = classify.JobSpec("score", algorithm, grid, scaler="minmax", text_process="bow", unique_category_threshold=2, ngram_range=(1, 2))
+    spec = classify.JobSpec("score", algorithm, grid, scaler="minmax", text_process="bow", unique_category_threshold=2, ngram_range=(1, 2), allow_approx=True)
     trained = classify.train(df, spec)
     best = trained.scores.agg(F.max("f1")).first()[0]
     assert best > 0.9
@@ -197,3 +197,75 @@ def test_augmentation_round(spark):
     named = df.withColumn("label", augment.labels.score_to_label(F.col("score")))
     made = augment.augment_collect(plan, answers, named, "label", ["gender", "location", "date"], "run").collect()
     assert len(made) == 25 and {r["score"] for r in made} == {3} and all(r["reviewId"].startswith("gen_") for r in made)
+
+
+def test_adasyn_refuses_a_class_without_enough_neighbours(spark):
+    rows = [(i, 0 if i < 40 else 1, [0, 1], [float(i), float(i * i % 17)]) for i in range(43)]
+    df = spark.createDataFrame(rows, "row_id long, y int, idx array<int>, val array<double>")
+    with pytest.raises(ValueError, match="class 1 has 3 rows"):
+        sampling.adasyn(df)
+
+
+def test_keys_of_ids_numbered_by_partition_differ(spark):
+    from opinara.functions.rng import lehmer
+
+    ids = [(p << 33) + i for p in range(40) for i in range(100)]
+    df = spark.createDataFrame([(i,) for i in ids], "i long")
+    assert df.select(lehmer(F.col("i"), 42).alias("k")).distinct().count() == len(ids)
+
+
+def reviews_frame(spark, n=60, wide=False):
+    """Two classes told apart by one word; ``wide`` adds columns called like the job's own."""
+    rows = [(i << 33, f"{'lovely' if i % 2 else 'awful'} thing number", 5 if i % 2 else 1, float(i % 7)) for i in range(n)]
+    df = spark.createDataFrame(rows, "row_id long, text string, score int, size double")
+    if not wide:
+        return df
+    return df.withColumnRenamed("size", "idx")
+
+
+@pytest.mark.parametrize("algorithm", ["naive_bayes", "kNN", "decision_tree"])
+def test_source_columns_named_like_the_jobs_own_change_nothing(spark, algorithm):
+    grid = {"naive_bayes": {"alpha": [1.0], "fit_prior": [True]}, "kNN": {"n_neighbors": [3]}, "decision_tree": {"max_depth": [3]}}
+    spec = {"algorithm": algorithm, "grid": grid[algorithm], "scaler": "minmax", "min_df": 2, "text_process": "bow", "unique_category_threshold": 1}
+    plain = reviews_frame(spark)
+    odd = plain.withColumnsRenamed({"text": "words", "score": "label", "size": "a.b"}).withColumn("idx", F.col("`a.b`") * 0 + 1)
+    first = classify.train(plain, classify.JobSpec("score", **spec))
+    second = classify.train(odd, classify.JobSpec("label", **spec))
+    assert [tuple(r) for r in first.scores.select("f1").collect()] == [tuple(r) for r in second.scores.select("f1").collect()]
+    found = {r.row_id: r.prediction for r in classify.predict(second, odd.withColumn("prediction", F.lit(0))).collect()}
+    assert found == {r.row_id: r.prediction for r in classify.predict(first, plain).collect()}
+
+
+@pytest.mark.parametrize("kind", ["oversampling", "smote", "adasyn"])
+def test_rebalancing_rows_numbered_by_partition(spark, kind):
+    rows = [((i % 5) * (100_000 << 33) + i, "lovely" if i % 6 else "awful", 5 if i % 6 else 1, float(i % 11), float(i * i % 13)) for i in range(90)]
+    df = spark.createDataFrame(rows, "row_id long, text string, score int, size double, height double")
+    spec = classify.JobSpec("score", "decision_tree", {"max_depth": [3]}, sampling=kind, text_process="none", unique_category_threshold=5, drop_features=("text",))
+    prepared, kept = classify.fit_preparation(df, spec)
+    made, labels = classify.training_rows(kept, prepared)
+    ids = [r.row_id for r in made.select("row_id").collect()]
+    assert len(ids) == len(set(ids)) > 90 and sorted(labels) == ["negative", "positive"]
+    trained = classify.train(df, spec)
+    assert trained.scores.first()["f1"] > 0
+
+
+def test_naive_bayes_refuses_negative_values(spark):
+    df = spark.createDataFrame([(i, -5.0 if i % 2 else 1.0, i % 2) for i in range(20)], "row_id long, x double, score int")
+    spec = classify.JobSpec("score", pnn=False, scaler="none", text_process="none")
+    with pytest.raises(ValueError, match="negative"):
+        classify.train(df, spec)
+
+
+def test_depth_beyond_the_librarys_is_refused(spark):
+    from opinara.operators import mlmodels
+
+    with pytest.raises(ValueError, match="max_depth=None"):
+        mlmodels.estimator("decision_tree", {}, 10)
+    assert mlmodels.estimator("random_forest", {"max_depth": 50}, 10, allow_approx=True).getMaxDepth() == 30
+    assert mlmodels.note("decision_tree", {"max_depth": 50}) == "depth 30" and mlmodels.note("decision_tree", {"max_depth": 5}) is None
+
+
+def test_mini_batches_do_not_change_with_the_number_of_documents():
+    few, many = (topics._lda(3, min(1.0, topics.CHUNK_DOCS / n), 10) for n in (40_000, 400_000))
+    assert few.getSubsamplingRate() * 40_000 == many.getSubsamplingRate() * 400_000 == topics.CHUNK_DOCS
+    assert many.getMaxIter() == 10 * few.getMaxIter()

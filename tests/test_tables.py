@@ -121,3 +121,44 @@ def test_number_inference(spark, tmp_path):
 def test_missing_column(spark):
     with pytest.raises(ValueError, match="score"):
         prepare.require_columns(spark.createDataFrame([("x",)], "review string"), ["review", "score"])
+
+
+def test_nan_is_a_missing_value(spark):
+    from decimal import Decimal
+
+
+    df = spark.createDataFrame(
+        [(1, 1.0, Decimal("1.5"), True, "a"), (2, 3.0, Decimal("2.5"), False, "b"), (3, float("nan"), None, None, "c"), (4, None, Decimal("1.5"), True, "d")],
+        "row_id long, `x.y` double, price decimal(10,2), flag boolean, target string",
+    )
+    filled = {r.row_id: r["x.y"] for r in prepare.fit_imputer(df, ["x.y"], [], "mean").apply(df).collect()}
+    assert filled == {1: 1.0, 2: 3.0, 3: 2.0, 4: 2.0}
+    for how in ("median", "mode"):
+        assert all(r["x.y"] == r["x.y"] for r in prepare.fit_imputer(df, ["x.y"], [], how).apply(df).collect())
+    assert prepare.fit_imputer(df, ["x.y"], [], "delete").apply(df).count() == 2
+    assert dist.null_check(df, ["x.y"]).first()["n_null"] == 2
+    assert dist.count_unique(df, ["x.y"]).first()["n_distinct"] == 2
+    assert dist.feature_roles(df, "target")["numeric"] == ["row_id", "x.y", "price", "flag"]
+
+
+def test_scores_beyond_whole_numbers_are_no_scores(spark):
+
+    df = spark.createDataFrame([("5", "t"), ("99999999999", "t"), ("4.7", "t"), ("-1", "t"), ("x", "t")], "score string, review string")
+    assert sorted(r.score for r in dist.clean_scores(df).collect()) == [4, 5]
+    assert sorted(r.score for r in dist.clean_scores(df, only_1_to_5=False).collect()) == [-1, 4, 5]
+
+
+def test_many_categories_are_encoded(spark):
+
+    df = spark.range(4000).select(F.col("id").alias("row_id"), F.format_string("c%05d", F.col("id") % 2000).alias("c"))
+    coded = prepare.fit_label_encoder(df, ["c"]).apply(df)
+    assert coded.columns == ["row_id", "c"] and coded.where("c != row_id % 2000").count() == 0
+    with pytest.raises(Exception, match="unseen value"):
+        prepare.fit_label_encoder(df.where("row_id < 3000 AND row_id % 2000 < 900"), ["c"]).apply(df).collect()
+
+
+def test_rated_reviews_do_not_outer_join(spark):
+    from opinara.sources.tables import rated_reviews
+
+    plan = rated_reviews(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan
