@@ -26,7 +26,7 @@ from opinara.session import new_path
 # Labelled rows that a fit uses at most, by label (0, 1); chosen by a hash of the id.
 SAMPLE_ROWS = (9_000, 3_000)
 # A term of the lexicon: documents and different preceding words it needs, least log-odds, most terms.
-FEWEST_DOCS, FEWEST_CONTEXTS, LEAST_ODDS, MOST_TERMS = 3, 3, 2.0, 20_000
+FEWEST_DOCS, FEWEST_CONTEXTS, LEAST_ODDS, MOST_TERMS = 3, 3, 3.5, 20_000
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.7
 NEAR = 6
@@ -189,7 +189,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     lexicon = Lexicon({}, counts.get(0, 0), counts.get(1, 0))
     for term, docs in in_toxic.items():
         lexicon.counts[term] = (in_clean.get(term, 0), docs)
-        if not any(lexicon.odds(t, None) for t in (term,)) and not term.endswith("-"):
+        if not lexicon.odds(term, None):
             del lexicon.counts[term]
     return lexicon
 
