@@ -16,30 +16,31 @@ from pyspark.sql import functions as F
 from opinara.llm import common
 from opinara.session import new_path
 
-SAMPLES = 32
-# Hexadecimal digits of a sample in a fingerprint: different samples agree by chance once in 65536.
-DIGITS = 4
+# Samples of a fingerprint: LANES of them share a row while they are drawn and a 64-bit word afterwards, 16 bits each, so
+# that different samples agree by chance once in 65536. Few samples a row keep the generated code small enough for the
+# JVM to compile it.
+SAMPLES, LANES = 32, 4
+LANE_BITS = 16
 SPACE = r"[\x20\x09-\x0D]"
 UNIT = 2.0**-32
 
 
-def uniforms(term: Column, sample: int, pair: int) -> tuple[Column, Column]:
+def uniforms(term: Column, seed: Column) -> tuple[Column, Column]:
     """Two uniform numbers above 0 and below 1 from one hash of a term."""
-    drawn = F.xxhash64(term, F.lit(sample * 4 + pair))
+    drawn = F.xxhash64(term, seed)
     low = (drawn.bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5) * UNIT
     high = (F.shiftrightunsigned(drawn, 32) + 0.5) * UNIT
     return low, high
 
 
-def draws(term: Column, sample: int) -> tuple[Column, Column, Column]:
+def draws(term: Column, sample: Column) -> tuple[Column, Column, Column]:
     """Gamma variable r, logarithm of gamma variable c, and uniform b of a term, the same for every text.
 
-    The product of two uniforms gives a gamma variable of shape 2; b reuses the bits that their product lost.
+    The negative logarithm of a product of two uniforms is a gamma variable of shape 2.
     """
-    u, v = uniforms(term, sample, 0)
-    w, x = uniforms(term, sample, 1)
-    third = F.xxhash64(term, F.lit(sample * 4 + 2))
-    b = (third.bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5) * UNIT
+    u, v = uniforms(term, sample * 3)
+    w, x = uniforms(term, sample * 3 + 1)
+    b, _ = uniforms(term, sample * 3 + 2)
     return -F.ln(u * v), F.ln(-F.ln(w * x)), b
 
 
@@ -55,44 +56,61 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def sample_ranks(terms: DataFrame, key: str, weights: dict[str, str], samples: int = SAMPLES) -> DataFrame:
-    """One row per key with the least rank of each sample, for each name and its column of log-weights.
+def sampled(terms: DataFrame, keys: list[str], weights: dict[str, str], samples: int = SAMPLES) -> DataFrame:
+    """One row per key with the 64-bit words of its fingerprint, as columns name_0, name_1, ... for each weight column.
 
-    ``terms`` has ``key``, ``term`` (a hash) and the log-weights, null where a text lacks the term. Draws are made once
-    for all weight columns.
+    ``terms`` has the keys, ``term`` (a hash) and the log-weights, null where a text lacks the term. Draws are made once
+    for all weight columns. A text without words has nulls.
     """
-    columns, least = [], []
-    for s in range(samples):
-        r, log_c, b = draws(F.col("term"), s)
-        columns += [r.alias(f"_r{s}"), log_c.alias(f"_c{s}"), b.alias(f"_b{s}")]
+    words_of = samples // LANES
+    each = terms.select(*keys, "term", *weights.values(), F.explode(F.sequence(F.lit(0), F.lit(words_of - 1))).alias("_part"))
+    drawn, least = [], []
+    for lane in range(LANES):
+        r, log_c, b = draws(F.col("term"), F.col("_part") * LANES + lane)
+        drawn += [r.alias(f"_r{lane}"), log_c.alias(f"_c{lane}"), b.alias(f"_b{lane}")]
         for name, weight in weights.items():
-            at = rank(F.col(weight), F.col(f"_r{s}"), F.col(f"_c{s}"), F.col(f"_b{s}"))
-            least.append(F.min(at).alias(f"_{name}_{s}"))
-    return terms.select(key, *weights.values(), *columns).groupBy(key).agg(*least)
-
-
-def print_of(prefix: str, samples: int = SAMPLES) -> Column:
-    """The fingerprint as bytes; empty for a text without words."""
-    digit = lambda s: F.lpad(F.hex(F.xxhash64(f"{prefix}{s}").bitwiseAND(F.lit(16**DIGITS - 1))), DIGITS, "0")
-    whole = F.unhex(F.concat(*[digit(s) for s in range(samples)]))
-    return F.when(F.col(f"{prefix}0").isNull(), F.lit(b"")).otherwise(whole)
-
-
-def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
-    """Share of samples in which two fingerprints (as bytes) agree; two empty ones agree, one empty agrees with none."""
-    width = DIGITS // 2
-    same = sum(
-        (F.substring(a, 1 + s * width, width) == F.substring(b, 1 + s * width, width)).cast("int") for s in range(samples)
-    )
-    empty = (F.length(a) == 0) | (F.length(b) == 0)
-    return F.when(empty, (a == b).cast("double")).otherwise(same / F.lit(float(samples)))
+            at = rank(F.col(weight), F.col(f"_r{lane}"), F.col(f"_c{lane}"), F.col(f"_b{lane}"))
+            least.append(F.min(at).alias(f"{name}{lane}"))
+    ranks = each.select(*keys, "_part", *weights.values(), *drawn).groupBy(*keys, "_part").agg(*least)
+
+    def word(name: str) -> Column:
+        lanes = [
+            F.shiftleft(F.xxhash64(f"{name}{lane}").bitwiseAND(F.lit((1 << LANE_BITS) - 1)), lane * LANE_BITS)
+            for lane in range(LANES)
+        ]
+        whole = lanes[0].bitwiseOR(lanes[1]).bitwiseOR(lanes[2]).bitwiseOR(lanes[3])
+        return F.when(F.col(f"{name}0").isNotNull(), whole)
+
+    parts = ranks.select(*keys, "_part", *[word(name).alias(name) for name in weights])
+    columns = [
+        F.max(F.when(F.col("_part") == part, F.col(name))).alias(f"{name}_{part}") for name in weights for part in range(words_of)
+    ]
+    return parts.groupBy(*keys).agg(*columns)
+
+
+def print_of(name: str, samples: int = SAMPLES) -> Column:
+    """The fingerprint in hexadecimal digits; empty for a text without words."""
+    parts = [F.lpad(F.lower(F.hex(f"{name}_{part}")), 16, "0") for part in range(samples // LANES)]
+    return F.coalesce(F.concat(*parts), F.lit(""))
+
+
+def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
+    """Share of samples in which two fingerprints agree; two without words agree, one without agrees with none."""
+    mask, same = F.lit((1 << LANE_BITS) - 1), F.lit(0)
+    for part in range(samples // LANES):
+        apart = F.col(f"{a}_{part}").bitwiseXOR(F.col(f"{b}_{part}"))
+        for lane in range(LANES):
+            same = same + (F.shiftright(apart, lane * LANE_BITS).bitwiseAND(mask) == 0).cast("int")
+    none = F.col(f"{a}_0").isNull() | F.col(f"{b}_0").isNull()
+    both = F.col(f"{a}_0").isNull() & F.col(f"{b}_0").isNull()
+    return F.when(none, both.cast("double")).otherwise(same / F.lit(float(samples)))
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(common.WORD), F.lit(0))
 
 
-def weighted_terms(texts: DataFrame, key: str, parts: dict[str, tuple[str, ...]]) -> DataFrame:
+def weighted_terms(texts: DataFrame, keys: list[str], parts: dict[str, tuple[str, ...]]) -> DataFrame:
     """Terms of each key with the logarithm of their count in each weight column.
 
     ``parts`` maps a text column to the weight columns that its words count for.
@@ -103,63 +121,72 @@ def weighted_terms(texts: DataFrame, key: str, parts: dict[str, tuple[str, ...]]
         flags = [F.lit(int(name in counts_for)).alias(name) for name in weights]
         return F.transform(words(F.col(part)), lambda w: F.struct(F.xxhash64(w).alias("term"), *flags))
 
-    each = texts.select(key, F.explode(F.concat(*[flagged(*part) for part in parts.items()])).alias("_word")).select(key, "_word.*")
-    counted = each.groupBy(key, "term").agg(*[F.sum(w).alias(w) for w in weights])
-    return counted.select(key, "term", *[F.ln(F.when(F.col(w) > 0, F.col(w))).alias(w) for w in weights])
+    each = texts.select(*keys, F.explode(F.concat(*[flagged(*part) for part in parts.items()])).alias("_word"))
+    each = each.select(*keys, "_word.*")
+    counted = each.groupBy(*keys, "term").agg(*[F.sum(w).alias(w) for w in weights])
+    return counted.select(*keys, "term", *[F.ln(F.when(F.col(w) > 0, F.col(w))).alias(w) for w in weights])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
-    """``key`` (unique per row) and the fingerprint of each whole text, as bytes.
+    """``key`` (unique per row) with the words ``own_0``, ... and the text ``fingerprint`` of each whole text.
 
     Null and empty texts, and texts without a word, have an empty fingerprint; an empty table gives none.
     """
-    body = docs.select(key, common.whole_text(text).alias("_text"))
-    ranks = sample_ranks(weighted_terms(body, key, {"_text": ("_own",)}), key, {"own": "_own"}, samples)
-    return docs.select(key).join(ranks, key, "left").select(key, print_of("_own_", samples).alias("fingerprint"))
+    body = docs.select(F.col(key).alias("_own_key"), common.whole_text(text).alias("_text"))
+    made = sampled(weighted_terms(body, ["_own_key"], {"_text": ("_own",)}), ["_own_key"], {"own": "_own"}, samples)
+    found = docs.select(key).join(made, F.col(key) == F.col("_own_key"), "left").drop("_own_key")
+    return found.withColumn("fingerprint", print_of("own", samples))
+
+
+# A document's key: its id (null as the least number) and the hash of its text.
+KEY = ["_doc", "_hash"]
 
 
 def in_turn(keys: DataFrame) -> DataFrame:
-    """``keys`` (doc_id, _hash, _key, n_chars) with the key of the document that follows by descending doc_id.
+    """``keys`` (_null, KEY, n_chars) with the key of the document that follows by descending id, as _next_doc, _next_hash.
 
     Null ids come last, equal ids go by the hash of their text, and the last is followed by the first. A distributed
     sort gives places inside its parts; only the first row of each part meets the others.
     """
-    ordered = keys.orderBy(F.col("doc_id").desc_nulls_last(), "_hash").withColumn("_id", F.monotonically_increasing_id())
-    ordered = stored(ordered, "cws-order").withColumn("_part", F.shiftright("_id", 33))
+    ordered = keys.orderBy("_null", F.col("_doc").desc(), "_hash").withColumn("_id", F.monotonically_increasing_id())
+    ordered = stored(ordered, "cws-order").withColumn("_part", F.shiftright("_id", 33)).withColumn("_key", F.struct(*KEY))
     heads = ordered.groupBy("_part").agg(F.min(F.struct("_id", "_key"))["_key"].alias("_head"))
     turn = Window.orderBy("_part")  # a row for each part of the sort
     first = F.first("_head").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("_part", F.coalesce(F.lead("_head").over(turn), first).alias("_head"))
     inside = F.lead("_key").over(Window.partitionBy("_part").orderBy("_id"))
-    return ordered.join(F.broadcast(heads), "_part").select(
-        "_key", "n_chars", F.coalesce(inside, F.col("_head")).alias("_next")
-    )
+    after = ordered.join(F.broadcast(heads), "_part").withColumn("_next", F.coalesce(inside, F.col("_head")))
+    return after.select(*KEY, "n_chars", F.col("_next._doc").alias("_next_doc"), F.col("_next._hash").alias("_next_hash"))
 
 
-def once(rows: DataFrame, key: str) -> DataFrame:
+def once(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row of each key; the sort that this needs serves a join on the key as well."""
-    before = F.lag(F.lit(1)).over(Window.partitionBy(key).orderBy(key))
+    before = F.lag(F.lit(1)).over(Window.partitionBy(*keys).orderBy(*keys))
     return rows.withColumn("_before", before).where("_before IS NULL").drop("_before")
 
 
 def edited(texts: DataFrame, turns: DataFrame) -> DataFrame:
-    """Texts (_key, _text) with their last third replaced by the beginning of the next document.
+    """Texts (KEY, _text) with their last third replaced by the beginning of the next document.
 
     The result has the edited text's digest, the words' part that both texts share (it ends at white space, so that no
     word crosses it) and what either text has beyond it.
     """
     cut = F.floor(F.col("n_chars") / 3).cast("int")
-    wanted = turns.select(F.col("_next").alias("_key"), F.col("_key").alias("_to"), cut.alias("_cut"))
-    given = texts.join(wanted, "_key").select(
-        F.col("_to").alias("_key"), F.substring("_text", F.lit(1), F.col("_cut")).alias("_given"), "_cut"
-    )
+    wanted = turns.select(
+        F.col("_next_doc").alias("_doc"), F.col("_next_hash").alias("_hash"),
+        F.col("_doc").alias("_to_doc"), F.col("_hash").alias("_to_hash"), cut.alias("_cut"),
+    )
+    given = texts.join(wanted, KEY).select(
+        F.col("_to_doc").alias("_doc"), F.col("_to_hash").alias("_hash"),
+        F.substring("_text", F.lit(1), F.col("_cut")).alias("_given"), "_cut",
+    )
     kept = F.substring("_text", F.lit(1), F.length("_text") - F.col("_cut"))
-    made = texts.join(given, "_key").select("_key", "_text", kept.alias("_kept"), "_given")
+    made = texts.join(given, KEY).select(*KEY, "_text", kept.alias("_kept"), "_given")
     shared = F.regexp_extract("_kept", rf"(?s)^(.*{SPACE})", 1)
     rest = lambda column: F.substring(column, F.length("_shared") + 1, F.length(column))
     made = made.withColumn("_shared", shared).withColumn("_edited", F.concat("_kept", "_given"))
     return made.select(
-        "_key",
+        *KEY,
         F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         "_shared",
         rest("_text").alias("_own_rest"),
@@ -174,27 +201,28 @@ def op6_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     sampled where the text already is.
     """
     body = common.whole_text("text")
-    docs = common.documents(spark, folder).select("doc_id", body.alias("_text"), F.xxhash64(body).alias("_hash"))
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex("_hash"))
-    docs = docs.withColumn("_key", key)
-    keys = docs.groupBy("doc_id", "_hash", "_key").agg(F.max(F.length("_text")).cast("long").alias("n_chars"))
+    docs = common.documents(spark, folder).select("doc_id", body.alias("_text"))
+    docs = docs.withColumns(
+        {"_doc": F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")), "_hash": F.xxhash64("_text"), "_null": F.col("doc_id").isNull()}
+    )
+    keys = docs.groupBy("_null", *KEY).agg(F.max(F.length("_text")).cast("long").alias("n_chars"))
     turns = stored(in_turn(keys), "cws-turns")
-    both = edited(once(docs.select("_key", "_text"), "_key"), turns)
+    both = edited(once(docs.select(*KEY, "_text"), KEY), turns)
     parts = {"_shared": ("_o", "_e"), "_own_rest": ("_o",), "_edited_rest": ("_e",)}
-    ranks = sample_ranks(weighted_terms(both, "_key", parts), "_key", {"own": "_o", "new": "_e"})
-    prints = both.select("_key", "edited_sha256").join(ranks, "_key", "left")
-    prints = stored(
-        prints.select("_key", "edited_sha256", print_of("_own_").alias("_own"), print_of("_new_").alias("_new")),
-        "cws-prints",
+    made = sampled(weighted_terms(both, KEY, parts), KEY, {"own": "_o", "new": "_e"})
+    prints = stored(both.select(*KEY, "edited_sha256").join(made, KEY, "left"), "cws-prints")
+    following = prints.select(
+        F.col("_doc").alias("_next_doc"),
+        F.col("_hash").alias("_next_hash"),
+        *[F.col(f"own_{part}").alias(f"after_{part}") for part in range(SAMPLES // LANES)],
     )
-    following = prints.select(F.col("_key").alias("_next"), F.col("_own").alias("_after"))
-    known = turns.join(prints, "_key").join(following, "_next").select(
-        "_key",
+    known = turns.join(prints, KEY).join(following, ["_next_doc", "_next_hash"]).select(
+        *KEY,
         "n_chars",
         "edited_sha256",
-        F.lower(F.hex("_own")).alias("fingerprint"),
-        F.lower(F.hex("_new")).alias("edited_fingerprint"),
-        likeness(F.col("_own"), F.col("_new")).alias("near_edited"),
-        likeness(F.col("_own"), F.col("_after")).alias("near_next"),
+        print_of("own").alias("fingerprint"),
+        print_of("new").alias("edited_fingerprint"),
+        likeness("own", "new").alias("near_edited"),
+        likeness("own", "after").alias("near_next"),
     )
-    return docs.select("doc_id", "_key").join(known, "_key").drop("_key")
+    return docs.select("doc_id", *KEY).join(known, KEY).drop(*KEY)
