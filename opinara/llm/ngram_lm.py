@@ -1,12 +1,12 @@
 """Language-model scores by a bigram model in sharded Elias-Fano tries.
 
-The work goes through three passes over the texts. Each pass cuts the input into blocks of some million tokens, and a
-block speaks only of its different words and bigrams, as sorted, packed arrays.
+The texts are read twice. Each pass cuts the input into blocks of some million tokens, and a block speaks only of its
+different words and bigrams, as sorted, packed arrays.
 
 1. Bigrams go to shards by hash. A shard adds up the training counts, builds its trie of quantised discounted counts,
    and answers each block with one code per bigram; it also reports how many words follow each context.
 2. Words go to shards, too, which add up their counts and the reports, and answer with both.
-3. Each block scores its documents with the answers.
+3. In the second pass each block scores its documents with the answers.
 
 P(w | h) = max(c(h w) - D, 0) / c(h) + D * T(h) / c(h) * P(w), with T(h) the different words after h, and
 P(w) = (c(w) + 1) / (N + V + 1). It sums to 1 over the vocabulary and one unknown word. After a word never seen in
@@ -131,24 +131,23 @@ def by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]
         yield number, order[bounds[number] : bounds[number + 1]]
 
 
-def questions(docs: DataFrame, kind: str, shards: int, id_column: str) -> DataFrame:
-    """Each block's different bigrams or words by shard, with how often they train."""
+def questions(docs: DataFrame, shards: int, id_column: str) -> DataFrame:
+    """Each block's different bigrams and words by shard, with how often they train."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, id_column):
-            if kind == "bigrams":
-                keys, places = block.bigrams()
-                shard = bigram_shard(keys, shards)
-            else:
-                keys, places = block.words, block.places
-                shard = word_shard(keys >> np.uint64(32), shards)
-            counts = block.counts(places, len(keys))
-            yield message(
-                [
-                    (kind, number, block.number, two(pack_sorted(keys[at]), pack(counts[at])))
-                    for number, at in by_shard(shard, shards)
-                ]
-            )
+            pairs, pair_places = block.bigrams()
+            for kind, keys, places, shard in (
+                ("bigrams", pairs, pair_places, bigram_shard(pairs, shards)),
+                ("asked", block.words, block.places, word_shard(block.words >> np.uint64(32), shards)),
+            ):
+                counts = block.counts(places, len(keys))
+                yield message(
+                    [
+                        (kind, number, block.number, two(pack_sorted(keys[at]), pack(counts[at])))
+                        for number, at in by_shard(shard, shards)
+                    ]
+                )
 
     return docs.mapInArrow(run, MESSAGE)
 
@@ -163,17 +162,22 @@ def added_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 def answer_bigrams(shards: int):
     def work(group: pa.Table) -> pa.Table:
-        shard, numbers = group.column("shard")[0].as_py(), group.column("block").to_pylist()
-        asked, counts = [], []
-        for body in group.column("body"):
-            a, b = split_two(body.as_py())
+        shard, numbers, asked, counts, rows = group.column("shard")[0].as_py(), [], [], [], []
+        for kind, number, body in zip(*(group.column(c).to_pylist() for c in ("kind", "block", "body")), strict=True):
+            if kind != "bigrams":
+                # Words have come along to be stored for the next step.
+                rows.append((kind, shard, number, body))
+                continue
+            a, b = split_two(body)
+            numbers.append(number)
             asked.append(unpack_sorted(a))
             counts.append(unpack(b))
+        if not asked:
+            return pa.Table.from_batches([message(rows)])
         keys, sums = added_up(asked, counts)
         low = np.uint64(0xFFFFFFFF)
         codes = 1 + np.minimum(np.rint((np.log10(sums - DISCOUNT) - LOWEST) / STEP), 65_000).astype(np.uint16)
         trie = NgramTrie([keys >> np.uint64(32), keys & low], codes)
-        rows = []
         for number, wanted in zip(numbers, asked, strict=True):
             place = trie.find([wanted >> np.uint64(32), wanted & low])
             found = trie.values[np.maximum(place, 0)] if len(keys) else np.zeros(len(place), np.uint16)
@@ -305,10 +309,10 @@ def score(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
     shards = max(4, -(-size // SHARD_BYTES))
     path = new_path(spark, "lm-answers")
 
-    asked = questions(rows, "bigrams", shards, id_column).groupBy("shard").applyInArrow(answer_bigrams(shards), MESSAGE)
+    asked = questions(rows, shards, id_column).groupBy("shard").applyInArrow(answer_bigrams(shards), MESSAGE)
     asked.write.parquet(f"{path}/bigrams")
     bigrams = spark.read.parquet(f"{path}/bigrams")
-    both = questions(rows, "words", shards, id_column).unionByName(bigrams.where("kind = 'contexts'"))
+    both = bigrams.where("kind IN ('asked', 'contexts')")
     both.groupBy("shard").applyInArrow(answer_words, MESSAGE).write.parquet(f"{path}/words")
     words = spark.read.parquet(f"{path}/words")
 
