@@ -62,6 +62,9 @@ BAD_WORDS = frozenset(
     " share sharing sidebar signup skyscraper social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget"
     " widgets reactions".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion replies reply respond reactions".split())
+# An element named like a sidebar or the like that holds more of a page's text than this is its layout.
+LAYOUT_SHARE = 0.6
 GOOD_WORDS = frozenset("article articlebody body content entry main post story text prose".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
@@ -74,6 +77,8 @@ class Node:
     bad: bool
     good: bool
     score: float = 0.0
+    # Bad by its class alone: layouts are named after their sidebars and menus, too.
+    soft: bool = False
 
 
 @dataclass
@@ -94,10 +99,10 @@ def words_of(name: str) -> list[str]:
     return re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
 
 
-def describe(tag: str, written: str) -> tuple[str, bool, bool]:
-    """Path step, whether the element is no part of an article, and whether it is named like one."""
+def describe(tag: str, written: str) -> tuple[str, bool, bool, bool]:
+    """Path step, whether the element is no part of an article, named like one, and bad by its class alone."""
     if not written.strip():
-        return tag, tag in BAD_TAGS, tag in ("article", "main")
+        return tag, tag in BAD_TAGS, tag in ("article", "main"), False
     found = {}
     for m in ATTRIBUTE.finditer(written):
         found.setdefault(m.group(1).lower(), entities.unescape(m.group(2) or m.group(3) or m.group(4) or ""))
@@ -107,9 +112,10 @@ def describe(tag: str, written: str) -> tuple[str, bool, bool]:
     hidden = "hidden" in found or "display:none" in style or found.get("aria-hidden") == "true"
     good = tag in ("article", "main") or found.get("role") in ("main", "article") or bool(GOOD_WORDS & set(names))
     bad = hidden or tag in BAD_TAGS or found.get("role") in ROLES
-    bad = bad or (tag not in ("body", "html", "article", "main") and bool(BAD_WORDS & set(names)))
+    named = tag not in ("body", "html", "article", "main") and bool(BAD_WORDS & set(names))
+    soft = named and not bad and not COMMENT_WORDS & set(names)
     step = ".".join([tag, *sorted({"-".join(words_of(c)) for c in classes.split()} - {""})])
-    return step, bad, good
+    return step, bad or named, good, soft
 
 
 def parse(source: str) -> Page:
@@ -174,14 +180,32 @@ def parse(source: str) -> Page:
         if tag in ("li", "dt", "dd", "tr", "td", "th"):
             for closed in ("li",) if tag == "li" else ("dt", "dd") if tag in ("dt", "dd") else ("td", "th", "tr")[: 3 if tag == "tr" else 2]:
                 close(closed, LISTS)
-        step, bad, good = describe(tag, written)
+        step, bad, good, soft = describe(tag, written)
         up = page.nodes[stack[-1]]
-        page.nodes.append(Node(stack[-1], tag, f"{up.path}/{step}" if up.path else step, bad, good))
+        page.nodes.append(Node(stack[-1], tag, f"{up.path}/{step}" if up.path else step, bad, good, soft=soft))
         stack.append(len(page.nodes) - 1)
     flush()
+    forgive_layout(page)
     return page
 
 
+def forgive_layout(page: Page) -> None:
+    """Elements that are bad by their class alone are not, if they hold most of the page's text."""
+    if not any(node.soft for node in page.nodes):
+        return
+    held: dict[int, int] = {}
+    for block in page.blocks:
+        node = block.node
+        while node > 0:
+            if page.nodes[node].soft:
+                held[node] = held.get(node, 0) + len(block.text) - block.linked
+            node = page.nodes[node].parent
+    total = sum(len(block.text) - block.linked for block in page.blocks)
+    for node, size in held.items():
+        if size > LAYOUT_SHARE * total:
+            page.nodes[node].bad = False
+
+
 def outside(page: Page, node: int, top: int = -1) -> bool:
     """Whether a block there is no part of an article that ``top`` holds: some element between is named so."""
     while node > 0 and node != top:

@@ -41,6 +41,8 @@ def test_winning_path_decides_and_missing_ones_do_not_matter():
         ("<body><article><header><h1>Title</h1><p>by me</p></header><p>Body.</p></article>", "Title\nBody."),
         ("<body><main><p>x &lt;tag&gt; &am</p><table><tr><td>a<td>b<tr><td>c</table></main>", "x <tag> &am\na\nb\nc"),
         ("<body><main><p>" + "deep " * 3 + "<span>" * 3000 + "text</p></main>", "deep deep deep text"),
+        ("<body><div class='has-sidebar'><div class=entry><p>Text of it, long enough.</p></div><div class=sidebar><p>x y</p></div></div>", "Text of it, long enough."),
+        ("<body><div class=entry><p>Short.</p></div><div class=comments><article><p>A long, long, long remark, longer by far.</p></article></div>", "Short."),
         ("<body>" + "<div>" * 2000 + "<p>inner text, far down.</p>", "inner text, far down."),
     ],
 )
