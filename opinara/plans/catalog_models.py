@@ -190,7 +190,7 @@ def _scores_sql(guesses: str) -> str:
 def _nb_predictions(spark: SparkSession, folder: str) -> DataFrame:
     rows = _rated(spark, folder)
     vocabulary = features.fit_vocabulary(rows, _words())
-    folded = folds.stratified_folds(rows, "label").persist()
+    folded = materialise(folds.stratified_folds(rows, "label"))[0]
     counts = _counts(folded, vocabulary, ["row_id", "fold", "label"])
     return bayes.bayes_cv_predictions(counts, folded.drop("review"), vocabulary.size, ALPHAS, PRIORS)
 
@@ -296,7 +296,7 @@ def knn_neighbors_text(spark, folder):
         spec, {"numeric": [], "categorical": [], "text": ["review"]}, None, None, None, vocabulary
     )
     rows = reviews(spark, folder).select("row_id", _words().alias(classify.WORDS))
-    every = classify.as_vectors(rows, prepared).persist()
+    every = materialise(classify.as_vectors(rows, prepared))[0]
     train = every.join(rated.select("row_id"), "row_id", "left_semi")
     near = neighbors.knn(every, train, 3, 2, exclude="self")
     return near.select("row_id", "neighbor_id", "position", F.round("distance", 6).alias("distance"))
@@ -317,7 +317,7 @@ _KNN = f"""{_POINTS}, {_folds_sql('points')}, spots AS (SELECT p.row_id, p.y, p.
 def _knn_predictions(spark: SparkSession, folder: str) -> DataFrame:
     names = list(range(10))
     points = _points(spark, folder).withColumn("label", F.col("y"))
-    held = folds.stratified_folds(points, "label").persist()
+    held = materialise(folds.stratified_folds(points, "label"))[0]
     votes = classify.knn_predictions(held, held, _KNN_CELLS, names, "fold")
     return votes.join(held.select("row_id", "fold", "label"), "row_id")
 

@@ -318,7 +318,26 @@ def merge_bigrams(spark, folder):
     return phrases.add_phrases(topic_rows(spark, folder), "bigram").select("row_id", F.array_join("tokens", " ").alias("value"))
 
 
-@query()
+def _merge_sql(tokens: str, n: int) -> str:
+    """CTEs that find the phrases among ``tokens`` (row_id, pos, term) and merge them into ``merged{n}``."""
+    return f"""uni{n} AS (SELECT term, count(*) AS n FROM {tokens} GROUP BY term),
+  pairs{n} AS (SELECT a.row_id, a.pos, a.term AS a, b.term AS b FROM {tokens} a JOIN {tokens} b ON a.row_id = b.row_id AND b.pos = a.pos + 1),
+  bi{n} AS (SELECT a, b, count(*) AS n FROM pairs{n} GROUP BY a, b),
+  size{n} AS (SELECT (SELECT count(*) FROM uni{n}) + (SELECT count(*) FROM bi{n}) AS v),
+  phrases{n} AS (SELECT bi.a, bi.b FROM bi{n} bi JOIN uni{n} x ON x.term = a JOIN uni{n} y ON y.term = b, size{n} WHERE (bi.n - 5) / CAST(x.n AS DOUBLE) / y.n * v > 10),
+  hits{n} AS (SELECT p.row_id, p.pos FROM pairs{n} p JOIN phrases{n} f ON p.a = f.a AND p.b = f.b),
+  runs{n} AS (SELECT row_id, pos, pos - row_number() OVER (PARTITION BY row_id ORDER BY pos) AS run FROM hits{n}),
+  taken{n} AS (SELECT row_id, pos FROM (SELECT row_id, pos, row_number() OVER (PARTITION BY row_id, run ORDER BY pos) AS i FROM runs{n}) WHERE i % 2 = 1),
+  merged{n} AS (SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY pos) AS pos, term FROM (
+    SELECT t.row_id, t.pos, CASE WHEN s.pos IS NOT NULL THEN t.term || '_' || n.term ELSE t.term END AS term
+    FROM {tokens} t LEFT JOIN taken{n} s ON s.row_id = t.row_id AND s.pos = t.pos LEFT JOIN {tokens} n ON n.row_id = t.row_id AND n.pos = t.pos + 1
+    LEFT JOIN taken{n} e ON e.row_id = t.row_id AND e.pos = t.pos - 1 WHERE e.pos IS NULL))"""
+
+
+@query(
+    f"""WITH {_TOKENS_SQL}, {_merge_sql('toks', 1)}, {_merge_sql('merged1', 2)}
+    SELECT d.row_id, coalesce(string_agg(m.term, ' ' ORDER BY m.pos), '') AS value FROM docs d LEFT JOIN merged2 m ON m.row_id = d.row_id GROUP BY d.row_id"""
+)
 def phrases_trigram(spark, folder):
     return phrases.add_phrases(topic_rows(spark, folder), "trigram").select("row_id", F.array_join("tokens", " ").alias("value"))
 

@@ -23,7 +23,7 @@ from opinara.operators.distributions import feature_roles
 from opinara.operators.folds import stratified_folds
 from opinara.operators.metrics import classification_report, confusion, confusion_matrix, f1_micro_macro
 from opinara.operators.ranks import class_ranks
-from opinara.session import lookup_join, materialise, new_path, small_values, work_dir
+from opinara.session import lookup_join, materialise, new_path, small_values, stored, work_dir
 
 # Columns of the job itself; no source column is called so inside, whatever its name outside.
 WORDS = "_words"
@@ -128,7 +128,7 @@ def fit_preparation(train: DataFrame, spec: JobSpec) -> tuple[Prepared, DataFram
     prepared = Prepared(spec, roles, imputer, encoder, scaler, None)
     if roles["text"] and spec.text_process in ("tf-idf", "bow"):
         # Cleaning is the costly step: it is done once, and the raw texts are not kept beside the words.
-        kept = _with_words(kept, prepared).drop(*roles["text"]).persist()
+        kept = stored(_with_words(kept, prepared).drop(*roles["text"]), "words")
         prepared.vocabulary = features.fit_vocabulary(imputer.apply(kept), F.col(WORDS), spec.min_df, spec.max_df)
     return prepared, kept
 
@@ -231,10 +231,10 @@ def sparse_vectors(rows: DataFrame, size: int) -> DataFrame:
     """
     kind = F.lit(0).cast("tinyint").alias("type")
     parts = F.struct(kind, F.lit(size).alias("size"), F.col("idx").alias("indices"), F.col("val").alias("values"))
-    stored = rows.withColumn("features", parts).drop("idx", "val")
+    made = rows.withColumn("features", parts).drop("idx", "val")
     path = new_path(rows.sparkSession, "vectors")
-    stored.write.parquet(path)
-    fields = [StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in stored.schema.fields]
+    made.write.parquet(path)
+    fields = [StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in made.schema.fields]
     return rows.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
@@ -246,18 +246,11 @@ def _drawn_rows(df: DataFrame, spec: JobSpec) -> DataFrame:
     labelled = df.withColumn("_label", _label(df, spec))
     if kind == "undersampling":
         return sampling.random_undersample(labelled, "_label").drop("_label")
-    grown = written(sampling.random_oversample(labelled, "_label").drop("_label"), "oversampled")
+    grown = stored(sampling.random_oversample(labelled, "_label").drop("_label"), "oversampled")
     copies = behind(df, grown.where("copy > 0").drop("copy"), F.col("row_id"))
     return grown.where("copy = 0").drop("copy").unionByName(copies)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again, so that what follows does not make its rows anew."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def behind(rows: DataFrame, new: DataFrame, key: Column) -> DataFrame:
     """``new`` with row ids that follow the largest one of ``rows`` without gaps, in a pseudo-random order of ``key``.
 
@@ -270,12 +263,12 @@ def behind(rows: DataFrame, new: DataFrame, key: Column) -> DataFrame:
 
 def _synthetic_rows(rows: DataFrame, prepared: Prepared, labels: list) -> DataFrame:
     """SMOTE or ADASYN on the feature vectors: row_id, label, idx, val of all rows, old and new."""
-    held = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)).persist()
+    held = stored(as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)), "vectors")
     made = sampling.smote(held) if prepared.spec.sampling.lower() == "smote" else sampling.adasyn(held)
-    numbered = behind(held, written(made, "synthetic"), F.xxhash64("synthetic_id"))
+    numbered = behind(held, stored(made, "synthetic"), F.xxhash64("synthetic_id"))
     name = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("y") + 1)
     columns = ["row_id", name.alias("label"), "idx", "val"]
-    return written(held.select(*columns).unionByName(numbered.select(*columns)), "rebalanced")
+    return stored(held.select(*columns).unionByName(numbered.select(*columns)), "rebalanced")
 
 
 def training_rows(df: DataFrame, prepared: Prepared) -> tuple[DataFrame, list]:
@@ -287,7 +280,7 @@ def training_rows(df: DataFrame, prepared: Prepared) -> tuple[DataFrame, list]:
     rows = prepared_rows(_drawn_rows(df, spec), prepared)
     labels = small_values(rows, "label")
     if spec.sampling.lower() in ("smote", "adasyn"):
-        rows = _synthetic_rows(rows.persist(), prepared, labels)
+        rows = _synthetic_rows(rows, prepared, labels)
     return stratified_folds(rows, "label"), labels
 
 
@@ -301,20 +294,21 @@ def train(df: DataFrame, spec: JobSpec) -> Trained:
     cells = search.grid_cells(spec.grid)
     carry = ["row_id", "fold", "label"]
     if spec.algorithm == "naive_bayes":
-        rows = rows.persist()
-        long = as_long(rows, prepared, carry).persist()
+        rows = stored(rows, "rows")
+        long = stored(as_long(rows, prepared, carry), "terms")
         alphas, priors = spec.grid.get("alpha", [1.0]), spec.grid.get("fit_prior", [True])
         cells = [{"alpha": a, "fit_prior": b} for a in alphas for b in priors]
         predictions = bayes.bayes_cv_predictions(long, rows.select(*carry), prepared.n_terms, alphas, priors)
-        scores = search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells).persist()
+        scores = search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells)
+        scores = stored(scores, "scores")
         best = cells[search.best_cell(scores).first()["cell"]]
         model = bayes.fit_bayes(long, rows.select(*carry), prepared.n_terms)
-        long.unpersist()
-        rows.unpersist()
     elif spec.algorithm == "kNN":
-        model = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)).persist()
+        model = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels))
+        model = stored(model, "neighbours")
         predictions = knn_predictions(model, model, cells, labels, "fold").join(model.select(*carry), "row_id")
-        scores = search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells).persist()
+        scores = search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells)
+        scores = stored(scores, "scores")
         best = cells[search.best_cell(scores).first()["cell"]]
     else:
         assembled = as_assembled(rows, prepared).persist()
@@ -363,7 +357,7 @@ def predict(trained: Trained, df: DataFrame) -> DataFrame:
 
 def evaluate(trained: Trained, df: DataFrame) -> dict[str, DataFrame]:
     """Best cell, F1 averages, report and confusion matrix from one stored prediction table."""
-    scored = predict(trained, df).select("label", "prediction").persist()
+    scored = stored(predict(trained, df).select("label", "prediction"), "scored")
     counts = confusion(scored)
     return {
         "best": search.best_cell(trained.scores),

@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 # A lookup table is broadcast only when a count proves it is no longer than this.
 BROADCAST_ROWS = 1_000_000
@@ -50,9 +49,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """A table written to the shared folder and read again: computed once, held by no executor's memory."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialise(df: DataFrame) -> tuple[DataFrame, int]:
-    """Persist a fitted table and count it, so its size is known before it is joined."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """A stored table and its length, so its size is known before it is joined."""
+    kept = stored(df, "fitted")
     return kept, kept.count()
 
 
