@@ -35,10 +35,14 @@ DEFAULTS = {
 }
 
 
-def grid_cells(grid: dict[str, list]) -> list[dict]:
-    """All combinations, parameters in alphabetical order, the last one varying fastest."""
+def grid_cells(grid: dict[str, list | dict]) -> list[dict]:
+    """All combinations, parameters in alphabetical order, the last one varying fastest.
+
+    Values are a list, or an inclusive range given as {"low": ..., "high": ..., "step": ...}.
+    """
     names = sorted(grid)
-    return [dict(zip(names, values, strict=True)) for values in itertools.product(*[grid[name] for name in names])]
+    values = [neighbour_counts(**v) if isinstance(v, dict) else list(v) for v in (grid[name] for name in names)]
+    return [dict(zip(names, chosen, strict=True)) for chosen in itertools.product(*values)]
 
 
 def neighbour_counts(values: list[int] | None = None, low: int = 1, high: int = 1, step: int = 1) -> list[int]:

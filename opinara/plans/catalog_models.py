@@ -363,6 +363,30 @@ def predict(spark, folder):
     return classify.predict(trained, reviews(spark, folder)).select("row_id", "label", "prediction")
 
 
+# With the two categorical columns: the commonest place fills gaps, codes are places in sorted order.
+_JOB_ALL = _JOB.replace(
+    "grams AS (", """common_place AS (SELECT location AS p FROM rated WHERE location IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+  places AS (SELECT location, row_number() OVER (ORDER BY location) - 1 AS code FROM (SELECT DISTINCT coalesce(location, p) AS location FROM rated, common_place)),
+  tongues AS (SELECT gender, row_number() OVER (ORDER BY gender) - 1 AS code FROM (SELECT DISTINCT gender FROM rated)),
+  grams AS (""", 1
+).replace(
+    "UNION ALL SELECT 'column:n_chars')", "UNION ALL SELECT 'column:n_chars' UNION ALL SELECT 'column:gender' UNION ALL SELECT 'column:location')"
+).replace(
+    "FROM reviews, middle, limits)",
+    """FROM reviews, middle, limits
+    UNION ALL SELECT row_id, 'column:gender', code FROM reviews JOIN tongues USING (gender)
+    UNION ALL SELECT row_id, 'column:location', code FROM (SELECT row_id, coalesce(location, p) AS location FROM reviews, common_place) JOIN places USING (location))""",
+)
+_JOB_ALL_PREDICTED = _predict_sql(0.5, _UNIFORM).replace(_FEATURES, _JOB_ALL)
+
+
+@query(f"WITH {_JOB_ALL_PREDICTED} SELECT row_id, {sq.pnn('score')} AS label, prediction FROM reviews JOIN predicted USING (row_id)")
+def predict_all_columns(spark, folder):
+    """The same job with its categorical columns: they are imputed by mode and encoded."""
+    trained = classify.train(rated_reviews(spark, folder), _job(drop_features=("reviewId", "date")))
+    return classify.predict(trained, reviews(spark, folder)).select("row_id", "label", "prediction")
+
+
 @query(f"WITH {_JOB_PREDICTED} SELECT row_id, {sq.pnn('score')} AS label, prediction FROM reviews JOIN predicted USING (row_id)")
 def save_load_model(spark, folder):
     trained = classify.train(rated_reviews(spark, folder), _job())

@@ -58,6 +58,8 @@ class JobSpec:
     min_df: int = 5
     max_df: float = 0.8
     allow_approx: bool = False
+    # Learn the fills of missing values on every table anew instead of on the training table alone.
+    refit_on_input: bool = False
 
 
 @dataclass
@@ -115,13 +117,17 @@ def _with_words(df: DataFrame, prepared: Prepared) -> DataFrame:
     return single.withColumn(WORDS, tx.ngrams(F.col(WORDS), *spec.ngram_range))
 
 
+def fit_fills(df: DataFrame, roles: dict, spec: JobSpec) -> prepare.Imputer:
+    return prepare.fit_imputer(
+        df, roles["numeric"], roles["categorical"], spec.impute_num, spec.impute_cat, spec.num_constant, spec.cat_constant
+    )
+
+
 def fit_preparation(train: DataFrame, spec: JobSpec) -> tuple[Prepared, DataFrame]:
     """The fitted preparation, and the training table with its cleaned words kept for reuse."""
     kept = prepare.drop_features(train, list(spec.drop_features))
     roles = feature_roles(kept.drop("row_id"), spec.target, spec.unique_category_threshold)
-    imputer = prepare.fit_imputer(
-        kept, roles["numeric"], roles["categorical"], spec.impute_num, spec.impute_cat, spec.num_constant, spec.cat_constant
-    )
+    imputer = fit_fills(kept, roles, spec)
     whole = imputer.apply(kept)
     encoder = prepare.fit_label_encoder(whole, roles["categorical"])
     scaler = prepare.fit_scaler(encoder.apply(whole), roles["numeric"], spec.scaler)
@@ -136,7 +142,8 @@ def fit_preparation(train: DataFrame, spec: JobSpec) -> tuple[Prepared, DataFram
 def prepared_rows(df: DataFrame, prepared: Prepared) -> DataFrame:
     """row_id, label (if the target is there), numeric and encoded columns, and the word array."""
     spec = prepared.spec
-    whole = prepared.imputer.apply(prepare.drop_features(df, list(spec.drop_features)))
+    kept = prepare.drop_features(df, list(spec.drop_features))
+    whole = (fit_fills(kept, prepared.roles, spec) if spec.refit_on_input else prepared.imputer).apply(kept)
     scaled = prepared.scaler.apply(prepared.encoder.apply(whole))
     if prepared.vocabulary is not None:
         worded = _with_words(scaled, prepared)

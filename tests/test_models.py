@@ -269,3 +269,20 @@ def test_mini_batches_do_not_change_with_the_number_of_documents():
     few, many = (topics._lda(3, min(1.0, topics.CHUNK_DOCS / n), 10) for n in (40_000, 400_000))
     assert few.getSubsamplingRate() * 40_000 == many.getSubsamplingRate() * 400_000 == topics.CHUNK_DOCS
     assert many.getMaxIter() == 10 * few.getMaxIter()
+
+
+def test_grid_takes_ranges():
+    from opinara.operators import search
+
+    cells = search.grid_cells({"n_neighbors": {"low": 1, "high": 7, "step": 3}, "p": [1, 2]})
+    assert [(c["n_neighbors"], c["p"]) for c in cells] == [(1, 1), (1, 2), (4, 1), (4, 2), (7, 1), (7, 2)]
+
+
+def test_fills_of_each_table(spark):
+    df = spark.createDataFrame([(i, float(i), "a b c", 5 if i % 2 else 1) for i in range(20)], "row_id long, x double, text string, score int")
+    gap = spark.createDataFrame([(1, None), (2, 100.0), (3, 100.0)], "row_id long, x double")
+    for refit, want in ((False, 9.5), (True, 100.0)):
+        spec = classify.JobSpec("score", scaler="none", text_process="none", drop_features=("text",), refit_on_input=refit)
+        prepared, _ = classify.fit_preparation(df, spec)
+        rows = classify.prepared_rows(gap, prepared).collect()
+        assert {r.row_id: r["_x0"] for r in rows}[1] == want
