@@ -39,5 +39,6 @@ QUERIES = {
 }
 ORACLE = {
     "op3_mixing": mixing.OP3_SQL,
+    "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
 }

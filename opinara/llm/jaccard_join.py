@@ -1,18 +1,20 @@
 """N-gram Jaccard join with R-trees over count vectors.
 
 A document is the set of its five-word shingles, hashed to 64 bits; documents of the same set are one node. Nodes that
-can be similar share a shingle among the first few of their sets in one common order (rare ones first), so candidates
-are found by equality and split into clusters that no link crosses. Inside a cluster shingles are hashed into groups, and
-the counts per group are points of an R-tree. The overlap of two sets is at most the sum of the smaller counts, and for
-a box of points at most the sum over its upper corner; what that bound does not rule out is verified on the whole sets.
-
-Clusters are worked on in chunks of bounded size. A chunk returns a spanning forest of its links, never all pairs. In a
-cluster of many chunks, pairs of chunks are compared only where sizes allow a link and labels differ.
+can be similar share a shingle among the first few of their sets in one common order (rare ones first, by a sketch of
+how many documents hold each), so they are split into clusters that no link crosses, by equality alone. Shingles are
+hashed into groups, and a node's counts per group are a point of its cluster's R-tree. The overlap of two sets is at
+most the sum of the smaller counts, and for a box of points at most the sum over its upper corner. Pairs that this
+bound leaves split the clusters further; only then are whole sets moved, and the pairs that the tree leaves verified.
+
+Clusters are worked on in chunks of bounded size. A chunk returns a spanning forest of its pairs, never all of them. In
+a cluster of many chunks, pairs of chunks are compared only where sizes allow a link and labels differ.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +29,18 @@ from opinara.llm.packing import Hashes, pack, pack_sorted, split_two, two, unpac
 # Fixed values of the query contract.
 WORDS = 5
 PERCENT = 80
-# Groups of shingles, entries of a box, documents of a chunk, characters of a block, bytes of text per shard.
-GROUPS = 64
+# Groups of shingles, entries of a box, documents of a chunk; characters hashed together, shingles of a block, bytes of
+# text per shard.
+GROUP_BITS = 8
+GROUPS = 1 << GROUP_BITS
 FANOUT = 16
 CHUNK = 2_000
-BLOCK_CHARS = 8_000_000
+GROUP_CHARS = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 SHARD_BYTES = 16_000_000
-# The order of shingles comes from one document in SAMPLE; the most frequent ones, MOST_HEAVY at most, stand last.
-# Links do not depend on it, only the number of candidates does.
-SAMPLE, MOST_HEAVY = 16, 100_000
+# Cells of the sketch (a byte each, sent to all tasks) and the parts it is added up in. Links do not depend on the
+# order of shingles, only the number of candidates does.
+CELL_BITS, PART_BITS = 24, 6
 # Nodes whose ids may be sent to all tasks (8 bytes each); more are joined.
 BROADCAST_NODES = 1_000_000
 
@@ -47,18 +52,39 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ values >> np.uint64(29)
 
 
-def shingles(text: str, hashes: Hashes, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the different shingles; a shorter text is one shingle, one without words has none."""
-    found = text.encode(errors="replace").lower().split()
+def shingle_sets(texts: list[str], hashes: Hashes, words: int = WORDS) -> list[np.ndarray]:
+    """Sorted hashes of each text's different shingles; a shorter text is one shingle, one without words has none."""
     hashes.trim()
-    row = np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found))
-    if not len(row):
-        return row
-    width = min(words, len(row))
-    value = np.full(len(row) - width + 1, width, dtype=np.uint64)
-    for k in range(width):
-        value = mixed(value + row[k : len(row) - width + 1 + k])
-    return np.unique(value)
+    rows = [text.encode(errors="replace").lower().split() for text in texts]
+    sizes = np.array(list(map(len, rows)), dtype=np.int64)
+    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(rows)), dtype=np.uint64, count=int(sizes.sum()))
+    del rows
+    ends = np.cumsum(sizes)
+    value = np.full(max(len(flat) - words + 1, 0), words, dtype=np.uint64)
+    for k in range(words):
+        value = mixed(value + flat[k : len(flat) - words + 1 + k])
+    found = []
+    for start, end in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        if end - start >= words:
+            found.append(np.unique(value[start : end - words + 1]))
+        else:
+            short = np.full(min(end - start, 1), end - start, dtype=np.uint64)
+            for k in range(start, end):
+                short = mixed(short + flat[k : k + 1])
+            found.append(short)
+    return found
+
+
+def groups_of(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in groups that fit in memory beside their hashes."""
+    start = chars = 0
+    for end, text in enumerate(texts):
+        chars += len(text)
+        if chars >= GROUP_CHARS:
+            yield texts[start : end + 1]
+            start, chars = end + 1, 0
+    if start < len(texts):
+        yield texts[start:]
 
 
 def node_of(found: np.ndarray) -> int:
@@ -71,59 +97,95 @@ def least_overlap(a: np.ndarray | int, b: np.ndarray | int):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
-def prefix(found: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+def prefix(found: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the common order, of which two linked sets always share one.
 
-    ``heavy`` has frequent shingles, rarest first; they stand last in that order, others go by their hashes.
+    The order is by the sketch's cell of a shingle, then by its hash.
     """
     size = len(found) - -(-PERCENT * len(found) // 100) + 1
-    if not len(heavy):
-        return found[:size]
-    by_hash, rank = heavy
-    place = np.minimum(np.searchsorted(by_hash, found), len(by_hash) - 1)
-    is_heavy = by_hash[place] == found
-    light = found[~is_heavy][:size]
-    if len(light) == size:
-        return light
-    late = found[is_heavy]
-    return np.concatenate([light, late[np.argsort(rank[place[is_heavy]])][: size - len(light)]])
+    return found[np.argsort(sketch[cell_of(found)], kind="stable")[:size]]
 
 
-def with_sets(docs: DataFrame, text: str = "_text") -> DataFrame:
-    """``docs`` with n_shingles and node of each text; the node of a text without words is null."""
-    names = docs.columns
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    hashes = Hashes()
+def cell_of(found: np.ndarray) -> np.ndarray:
+    return found >> np.uint64(64 - CELL_BITS)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t, hashes) for t in batch.column(text).to_pylist()]
-        nodes = [node_of(s) if len(s) else None for s in sets]
-        columns = [*batch.columns, pa.array(map(len, sets), pa.int64()), pa.array(nodes, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, [*names, "n_shingles", "node"])
 
-    return common.map_batches(docs, ", ".join([*fields, "n_shingles long, node long"]), work)
+NODES = "n_shingles long, node long, counts binary"
+SKETCH = "_part int, _counts binary"
 
 
-def heavy_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray] | tuple[()]:
-    """Frequent shingles of a sample by hash, with their ranks; at most MOST_HEAVY of 16 bytes."""
+def with_sets(docs: DataFrame, text: str = "_text") -> DataFrame:
+    """``docs`` without ``text`` but with n_shingles, node (null without words) and group counts; then parts of the sketch.
+
+    Rows with ``_part`` are no documents: they have counts of the task's different sets for a part of the cells.
+    """
+    fields = [f for f in docs.schema.fields if f.name != text]
     hashes = Hashes()
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), NODES, SKETCH])
+    names = [*(f.name for f in fields), "n_shingles", "node", "counts", "_part", "_counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = [shingles(t, hashes) for b in batches for t in b.column("_text").to_pylist()]
-        found, count = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
-        twice = count > 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found[twice].view(np.int64)), pa.array(count[twice].astype(np.int64))], ["shingle", "docs"]
-        )
-
-    sample = docs.where(F.pmod(F.xxhash64("_text", F.lit("order")), F.lit(SAMPLE)) == 0)
-    counted = sample.mapInArrow(run, "shingle long, docs long").groupBy("shingle").agg(F.sum("docs").alias("docs"))
-    top = counted.orderBy(F.desc("docs"), "shingle").limit(MOST_HEAVY).toArrow()
-    if not top.num_rows:
-        return ()
-    shingle = top.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(shingle)
-    return shingle[order], (len(shingle) - 1 - np.arange(len(shingle)))[order]
+        counts = np.zeros(1 << CELL_BITS, dtype=np.uint16)
+        kinds = []
+        for batch in batches:
+            kinds = [batch.column(f.name).type for f in fields]
+            sizes, nodes, points, held = [], [], [], {}
+            for group in groups_of(batch.column(text).to_pylist()):
+                sets = shingle_sets(group, hashes)
+                own = [node_of(s) if len(s) else None for s in sets]
+                held.update(zip(own, sets, strict=True))
+                nodes += own
+                sizes += map(len, sets)
+                points += map(packed_counts, sets)
+                add_cells(counts, list(held.values()))
+                held = dict.fromkeys(held, np.empty(0, np.uint64))
+            none = [pa.nulls(len(nodes), pa.int32()), pa.nulls(len(nodes), pa.binary())]
+            made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(points, pa.binary())]
+            columns = [*(batch.column(f.name) for f in fields), *made]
+            yield pa.RecordBatch.from_arrays([*columns, *none], names)
+        if kinds:
+            parts = counts.reshape(1 << PART_BITS, -1)
+            full = np.flatnonzero(parts.any(axis=1)).tolist()
+            empty = [pa.nulls(len(full), kind) for kind in (*kinds, pa.int64(), pa.int64(), pa.binary())]
+            own = [pa.array(full, pa.int32()), pa.array([pack(parts[n]) for n in full], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, *own], names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def group_counts(found: np.ndarray) -> np.ndarray:
+    return np.bincount((found >> np.uint64(64 - GROUP_BITS)).astype(np.int64), minlength=GROUPS)
+
+
+def packed_counts(found: np.ndarray) -> bytes | None:
+    """A set's point: how many of its shingles fall in each group."""
+    if not len(found):
+        return None
+    counts = group_counts(found)
+    return pack(counts.astype(np.uint8 if counts.max() < 256 else np.uint32))
+
+
+def add_cells(counts: np.ndarray, sets: list[np.ndarray]) -> None:
+    cells = np.sort(cell_of(np.concatenate(sets)).astype(np.uint32)) if sets else np.empty(0, np.uint32)
+    if len(cells):
+        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        held = counts[cells[starts]] + np.diff(np.append(starts, len(cells)))
+        counts[cells[starts]] = np.minimum(held, 0xFFFF)
+
+
+def sketch_of(rows: DataFrame) -> np.ndarray:
+    """A byte for each cell that grows with the number of sets it counts; 2 ** CELL_BITS bytes for any input."""
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(unpack(body.as_py()).astype(np.int64) for body in group.column("_counts"))
+        code = np.minimum(np.rint(8 * np.log2(1 + total)), 255).astype(np.uint8)
+        return pa.table({"_part": group.column("_part")[:1], "_counts": pa.array([pack(code)], pa.binary())})
+
+    parts = rows.where("_part IS NOT NULL").select("_part", "_counts").groupBy("_part").applyInArrow(add, SKETCH)
+    sketch = np.zeros((1 << PART_BITS, 1 << (CELL_BITS - PART_BITS)), dtype=np.uint8)
+    for row in parts.collect():
+        sketch[row["_part"]] = unpack(bytes(row["_counts"]))
+    return sketch.ravel()
 
 
 def stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,11 +199,12 @@ def stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[new], nodes[new], links
 
 
-def candidate_links(docs: DataFrame, heavy, shards: int) -> DataFrame:
+def candidate_links(docs: DataFrame, sketch: np.ndarray, shards: int) -> DataFrame:
     """Links (a, b) that join all nodes which share a shingle of their prefixes: a star for each shingle.
 
     A block of documents makes its own stars and sends only their centers on, so a shingle has one row per block.
     """
+    order = docs.sparkSession.sparkContext.broadcast(sketch)
     hashes = Hashes()
 
     def message(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
@@ -153,7 +216,7 @@ def candidate_links(docs: DataFrame, heavy, shards: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["shard", "keys", "links"])
 
     def closed(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
-        fronts = [prefix(s, heavy) for s in sets.values()]
+        fronts = list(sets.values())
         nodes = np.repeat(np.array(list(sets), dtype=np.int64), [len(f) for f in fronts])
         keys, centers, links = stars(np.concatenate(fronts), nodes)
         shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
@@ -166,16 +229,17 @@ def candidate_links(docs: DataFrame, heavy, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
-        chars = 0
+        size = 0
         for batch in batches:
-            for text in batch.column("_text").to_pylist():
-                found = shingles(text, hashes)
-                if len(found):
-                    sets[node_of(found)] = found
-                    chars += len(text)
-                if chars >= BLOCK_CHARS:
+            for group in groups_of(batch.column("_text").to_pylist()):
+                for found in shingle_sets(group, hashes):
+                    if len(found):
+                        front = prefix(found, order.value)
+                        sets[node_of(found)] = front
+                        size += len(front)
+                if size >= BLOCK_SHINGLES:
                     yield closed(sets)
-                    sets, chars = {}, 0
+                    sets, size = {}, 0
         if sets:
             yield closed(sets)
 
@@ -196,27 +260,36 @@ def candidate_links(docs: DataFrame, heavy, shards: int) -> DataFrame:
     return sent.groupBy("shard").applyInArrow(gather, "a long, b long")
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n_shingles, body) with the whole set of each node in ``nodes``, once."""
-    if nodes.count() <= BROADCAST_NODES:
-        nodes = F.broadcast(nodes)
-    wanted = with_sets(docs).join(nodes, "node", "left_semi")
-    hashes = Hashes()
+SETS = "node long, cluster long, chunk long, n_shingles long, body binary"
+
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = (batch.column(c).to_pylist() for c in ("node", "_text"))
-        sets = {node: shingles(text, hashes) for node, text in dict(zip(*columns, strict=True)).items()}
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(sets, pa.int64()),
-                pa.array(map(len, sets.values()), pa.int64()),
-                pa.array(map(pack_sorted, sets.values()), pa.binary()),
-            ],
-            ["node", "n_shingles", "body"],
-        )
+def candidate_sets(texts: DataFrame, chosen: DataFrame, one_part: bool = True) -> DataFrame:
+    """Whole sets of the nodes in ``chosen`` (node, cluster, chunk, _hash, _in), each made from one of its texts.
+
+    With ``one_part`` a node's copies are read only in the part of the scan where it was met first; some nodes are
+    missing then if the scan comes in other parts this time.
+    """
+    texts = texts.withColumns({"_hash": F.xxhash64("_text"), "_in": F.spark_partition_id()})
+    wanted = texts.join(chosen, ["_hash", "_in"]) if one_part else texts.drop("_in").join(chosen.drop("_in"), "_hash")
+    hashes = Hashes()
 
-    made = common.map_batches(wanted, "node long, n_shingles long, body binary", work)
-    return made.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.first("body").alias("body"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
+        for batch in batches:
+            names = ("node", "cluster", "chunk", "_text")
+            rows = {r[0]: r for r in zip(*(batch.column(c).to_pylist() for c in names), strict=True) if r[0] not in met}
+            met.update(rows)
+            sets = [found for group in groups_of([r[3] for r in rows.values()]) for found in shingle_sets(group, hashes)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array([r[n] for r in rows.values()], pa.int64()) for n in range(3)),
+                    pa.array(map(len, sets), pa.int64()),
+                    pa.array(map(pack_sorted, sets), pa.binary()),
+                ],
+                ["node", "cluster", "chunk", "n_shingles", "body"],
+            )
+
+    return wanted.select("node", "cluster", "chunk", "_text").mapInArrow(run, SETS)
 
 
 class CountVectorTree:
@@ -248,97 +321,117 @@ class CountVectorTree:
         return self.order[found[fits]]
 
 
-def spanning_links(sets: list[np.ndarray], labels: list, sides: list[int]) -> list[tuple[int, int]]:
-    """A forest of links between sets, as pairs of places; sets of the same label count as joined already.
+def spanning_links(points: np.ndarray, sizes: np.ndarray, labels: list, sides: list, linked) -> list[tuple[int, int]]:
+    """A forest of pairs of places that the tree's bound and then ``linked`` allow; equal labels count as joined already.
 
-    With two sides, only pairs across them are looked at.
+    ``linked(own, near)`` tells which of the places ``near`` are linked with ``own``. With two sides, only pairs across
+    them are looked at.
     """
     across = len(set(sides)) > 1
-    sizes = np.array([len(s) for s in sets])
-    whole, place = np.unique(np.concatenate(sets), return_inverse=True)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    group = (whole >> np.uint64(58)).astype(np.int64)[place]
-    vectors = np.bincount(owner * GROUPS + group, minlength=len(sets) * GROUPS).reshape(-1, GROUPS)
     side = np.array(sides)
-    held = np.flatnonzero(side == 1) if across else np.arange(len(sets))
-    tree = CountVectorTree(vectors[held], sizes[held])
+    held = np.flatnonzero(side == 1) if across else np.arange(len(sizes))
+    tree = CountVectorTree(points[held], sizes[held])
     root = np.unique(np.array(labels, dtype=np.int64), return_inverse=True)[1]
-    marked = np.zeros(len(whole), dtype=bool)
     links = []
     for own in np.flatnonzero(side == 0).tolist():
-        near = held[tree.near(vectors[own], int(sizes[own]))]
+        near = held[tree.near(points[own], int(sizes[own]))]
         near = near[root[near] != root[own]]
         if not across:
             near = near[near > own]
         if not len(near):
             continue
+        for other in near[linked(own, near)].tolist():
+            if root[other] != root[own]:
+                links.append((own, other))
+                root[root == root[other]] = root[own]
+    return links
+
+
+def pairs_of_points(bodies: list[bytes], labels: list, sides: list) -> list[tuple[int, int]]:
+    """Pairs that the bound on group counts allows."""
+    points = np.stack([unpack(body) for body in bodies]).astype(np.int64)
+    return spanning_links(points, points.sum(axis=1), labels, sides, lambda own, near: np.ones(len(near), dtype=bool))
+
+
+def pairs_of_sets(bodies: list[bytes], labels: list, sides: list) -> list[tuple[int, int]]:
+    """Pairs of linked sets, verified on all their shingles."""
+    sets = [unpack_sorted(body) for body in bodies]
+    sizes = np.array([len(s) for s in sets])
+    whole, place = np.unique(np.concatenate(sets), return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    marked = np.zeros(len(whole), dtype=bool)
+
+    def linked(own: int, near: np.ndarray) -> np.ndarray:
         mine = place[bounds[own] : bounds[own + 1]]
         marked[mine] = True
         spans = sizes[near]
         starts = np.concatenate([[0], np.cumsum(spans)[:-1]])
         at = np.repeat(bounds[near] - starts, spans) + np.arange(int(spans.sum()))
-        common_ = np.add.reduceat(marked[place[at]].astype(np.int64), starts)
+        shared = np.add.reduceat(marked[place[at]].astype(np.int64), starts)
         marked[mine] = False
-        linked = near[100 * common_ >= PERCENT * (spans + sizes[own] - common_)]
-        for other in linked.tolist():
-            if root[other] != root[own]:
-                links.append((own, other))
-                root[root == root[other]] = root[own]
-    return links
+        return 100 * shared >= PERCENT * (spans + sizes[own] - shared)
+
+    return spanning_links(np.stack([group_counts(s) for s in sets]), sizes, labels, sides, linked)
 
 
-def verified(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Links (a, b) among the rows (side, node, label, body) of each group."""
+def pairs_among(rows: DataFrame, by: list[str], find) -> DataFrame:
+    """Pairs (a, b) that ``find`` gives among the rows (side, node, label, body) of each group; repeated nodes count once."""
 
     def work(group: pa.Table) -> pa.Table:
-        nodes, labels, sides = (group.column(c).to_pylist() for c in ("node", "label", "side"))
-        sets = [unpack_sorted(body.as_py()) for body in group.column("body")]
-        links = spanning_links(sets, labels, sides)
-        return pa.table(
-            {
-                "a": pa.array([nodes[i] for i, _ in links], pa.int64()),
-                "b": pa.array([nodes[j] for _, j in links], pa.int64()),
-            }
-        )
+        columns = (group.column(c).to_pylist() for c in ("node", "side", "label", "body"))
+        rows = {(node, side): (label, body) for node, side, label, body in zip(*columns, strict=True)}
+        nodes, sides = [node for node, _ in rows], [side for _, side in rows]
+        pairs = find([body for _, body in rows.values()], [label for label, _ in rows.values()], sides)
+        ends = [pa.array([nodes[pair[k]] for pair in pairs], pa.int64()) for k in (0, 1)]
+        return pa.table({"a": ends[0], "b": ends[1]})
 
     return rows.groupBy(*by).applyInArrow(work, "a long, b long")
 
 
-def links_between(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """A spanning forest of all links; ``clusters`` (node, label) are never linked with each other."""
-    sized = clusters.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
-    rows = sets.join(clusters.join(sized, "label"), "node").withColumnRenamed("label", "cluster")
-    chunks = F.ceil(F.col("_size") / CHUNK)
-    total = -(-clusters.count() // CHUNK)
-    # Small clusters share chunks, large ones are dealt over several of their own.
+def dealt(nodes: DataFrame, clusters: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``nodes`` with their cluster and chunk, and the clusters that fill many chunks if there are any.
+
+    Small clusters share chunks, large ones are dealt over several of their own.
+    """
+    clusters = clusters.select("node", F.col("label").alias("cluster"))
+    sized = stored(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("_size")), "nj-sizes")
+    total, largest = sized.agg(F.sum("_size"), F.max("_size")).first()
     small = F.col("_size") <= CHUNK // 4
-    chunk = F.when(small, F.pmod(F.xxhash64("cluster"), F.lit(4 * total + 1))).otherwise(
-        F.pmod(F.xxhash64("node"), chunks)
-    )
-    first = rows.withColumns(
-        {
-            "chunk": chunk,
-            "_of": F.when(~small, F.col("cluster")),
-            "side": F.lit(0),
-            "label": F.col("node"),
-        }
-    )
-    links = stored(verified(first.select("_of", "chunk", "side", "node", "label", "body"), ["_of", "chunk"]), "nj-links")
-    large = rows.where(F.col("_size") > CHUNK)
-    if large.isEmpty():
-        return links
-    joined = components(links)
-    return links.unionByName(stored(links_across(large, joined), "nj-across"))
+    shared = F.pmod(F.xxhash64("cluster"), F.lit(4 * ((total or 0) // CHUNK) + 4))
+    own = F.xxhash64("cluster", F.pmod(F.xxhash64("node"), F.ceil(F.col("_size") / CHUNK)))
+    placed = clusters.join(sized, "cluster").withColumn("chunk", F.when(small, shared).otherwise(own)).drop("_size")
+    many = sized.where(F.col("_size") > CHUNK).select("cluster") if (largest or 0) > CHUNK else None
+    return nodes.join(placed, "node"), many
+
+
+def all_pairs(rows: DataFrame, many: DataFrame | None, find) -> DataFrame:
+    """A spanning forest of the pairs that ``find`` gives inside the clusters of ``rows``; none crosses a cluster."""
+    own = rows.withColumns({"side": F.lit(0), "label": F.col("node")})
+    pairs = stored(pairs_among(own, ["chunk"], find), "nj-pairs")
+    if many is None:
+        return pairs
+    large = rows.join(F.broadcast(many), "cluster")  # one cluster in CHUNK nodes at most
+    return pairs.unionByName(stored(links_across(large, components(pairs), find), "nj-across"))
 
 
-def links_across(rows: DataFrame, joined: DataFrame) -> DataFrame:
-    """Links between nodes of large clusters whose labels differ after the first round.
+def set_rows(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The whole sets of the chosen nodes, stored."""
+    count = chosen.count()
+    few = F.broadcast(chosen) if count <= BROADCAST_NODES else chosen
+    sets = stored(candidate_sets(texts, few), "nj-sets")
+    if sets.select("node").distinct().count() < count:
+        sets = stored(candidate_sets(texts, few, one_part=False), "nj-sets")
+    return sets
+
+
+def links_across(rows: DataFrame, joined: DataFrame, find) -> DataFrame:
+    """Pairs between nodes of large clusters whose labels differ after the first round.
 
     Nodes of one large label fill chunks of their own, all others chunks for the rest, each by bands of size; sets that
     are linked lie in the same band or in neighbouring ones.
     """
-    labelled = rows.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = rows.dropDuplicates(["node"]).join(joined, "node", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     held = labelled.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("_held"))
     labelled = labelled.join(held, ["cluster", "label"])
     band = F.floor(F.ln(F.col("n_shingles")) / F.ln(F.lit(100 / PERCENT)))
@@ -357,22 +450,32 @@ def links_across(rows: DataFrame, joined: DataFrame) -> DataFrame:
     )
     pairs = stored(pairs.select("chunk", "_chunk").distinct(), "nj-pairs")
     parts = counts.select("cluster", "band", F.col("pure").alias("_pure"), "parts")
-    dealt = banded.join(parts, ["cluster", "band"]).where(F.col("pure").eqNullSafe(F.col("_pure")))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("chunk", key)
-    dealt = dealt.select("chunk", "node", "label", "body")
-    left = dealt.join(pairs, "chunk").select("chunk", "_chunk", F.lit(0).alias("side"), "node", "label", "body")
-    right = dealt.withColumnRenamed("chunk", "_chunk").join(pairs.where("chunk != _chunk"), "_chunk")
+    placed = banded.join(parts, ["cluster", "band"]).where(F.col("pure").eqNullSafe(F.col("_pure")))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("chunk", key)
+    placed = placed.select("chunk", "node", "label", "body")
+    left = placed.join(pairs, "chunk").select("chunk", "_chunk", F.lit(0).alias("side"), "node", "label", "body")
+    right = placed.withColumnRenamed("chunk", "_chunk").join(pairs.where("chunk != _chunk"), "_chunk")
     right = right.select("chunk", "_chunk", F.lit(1).alias("side"), "node", "label", "body")
-    return verified(left.unionByName(right), ["chunk", "_chunk"])
+    return pairs_among(left.unionByName(right), ["chunk", "_chunk"], find)
 
 
-def labels_of(texts: DataFrame) -> DataFrame:
-    """(node, label) of all nodes that are linked with another one; ``texts`` has whole texts in ``_text``."""
+def analysed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` without ``_text`` but with n_shingles and node, and (node, label) of all nodes with a link."""
+    texts = docs.select("_text")
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     shards = max(4, -(-size // SHARD_BYTES))
-    clusters = components(candidate_links(texts, heavy_shingles(texts), shards))
-    sets = stored(candidate_sets(texts, clusters.select("node")), "nj-sets")
-    return components(links_between(sets, clusters))
+    keyed = docs.withColumns({"_hash": F.xxhash64("_text"), "_in": F.spark_partition_id()})
+    read = stored(with_sets(keyed), "nj-rows")
+    rows = read.where("_part IS NULL").drop("_part", "_counts")
+    first = F.min(F.struct("_in", "_hash", "n_shingles", "counts"))
+    clusters = components(candidate_links(texts, sketch_of(read), shards))
+    nodes = rows.join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(first.alias("_f"))
+    nodes = stored(nodes.select("node", "_f._in", "_f._hash", "_f.n_shingles", F.col("_f.counts").alias("body")), "nj-nodes")
+    points, many = dealt(nodes, clusters)
+    clusters = components(all_pairs(points, many, pairs_of_points))
+    chosen, many = dealt(nodes.select("node", "_in", "_hash"), clusters)
+    links = all_pairs(set_rows(texts, stored(chosen, "nj-chosen")), many, pairs_of_sets)
+    return rows.drop("_hash", "_in", "counts"), components(links)
 
 
 def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -381,9 +484,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     Null and empty texts and texts without a word have no shingles and are linked with nothing; rows of equal sets are
     linked; a null id is never the least unless a component has no other; an empty table gives no rows.
     """
-    body = docs.select(F.col(id_column).alias("_doc"), common.whole_text(text).alias("_text"))
-    rows = stored(with_sets(body).drop("_text"), "nj-rows")
-    linked = labels_of(body.select("_text"))
+    rows, linked = analysed(docs.select(F.col(id_column).alias("_doc"), common.whole_text(text).alias("_text")))
     labelled = rows.join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = stored(labelled.select("_doc", "n_shingles", "label"), "nj-labels")
     least = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("_doc").alias("_least"))
@@ -400,9 +501,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     body = common.whole_text(text)
     order = F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), F.xxhash64(body).alias("hash"))
     key = F.concat_ws(":", F.coalesce(F.col(id_column).cast("string"), F.lit("null")), F.hex(F.xxhash64(body)))
-    rows = docs.select(order.alias("_order"), key.alias("_key"), body.alias("_text"))
-    rows = stored(with_sets(rows).drop("_text"), "nj-rows")
-    linked = labels_of(docs.select(body.alias("_text")))
+    rows, linked = analysed(docs.select(order.alias("_order"), key.alias("_key"), body.alias("_text")))
     labelled = rows.join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("_order", "_key"))["_key"].alias("_key"))
     wordless = labelled.where("label IS NULL").select("_key", F.lit(True).alias("_all")).distinct()
@@ -415,3 +514,24 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return join(common.documents(spark, folder).select("doc_id", "text"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT rid, s
+  FROM (SELECT rid, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM worded)),
+sizes AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+shared AS (SELECT a.rid AS x, b.rid AS y, count(*) AS i FROM sets a JOIN sets b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y WHERE 100 * i >= 80 * (p.n + q.n - i)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT rid, rid AS root FROM worded UNION SELECT y, root FROM reached JOIN ways ON x = rid)
+SELECT w.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, coalesce(min(o.doc_id), w.doc_id) AS component_id
+FROM worded w JOIN reached r ON r.rid = w.rid JOIN worded o ON o.rid = r.root LEFT JOIN sizes z ON z.rid = w.rid
+GROUP BY w.rid, w.doc_id
+"""

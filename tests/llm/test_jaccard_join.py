@@ -68,8 +68,8 @@ def test_agrees_with_all_pairs(spark, seed):
 
 def test_large_clusters_in_many_chunks_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CHUNK", 8)
-    monkeypatch.setattr(jaccard_join, "BLOCK_CHARS", 3_000)
-    monkeypatch.setattr(jaccard_join, "SAMPLE", 1)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(jaccard_join, "GROUP_CHARS", 1_000)
     docs = odd_documents(spark, corpus(7, bases=4, copies=60)).repartition(3)
     rows = docs.collect()
     assert found(docs) == plain_components([r.doc_id for r in rows], [r.text for r in rows])
@@ -89,15 +89,15 @@ def test_tree_never_loses_a_set_that_the_bound_allows():
 
 def test_prefixes_of_linked_sets_meet():
     rng = np.random.default_rng(9)
-    heavy = np.sort(rng.integers(0, 2000, size=60).astype(np.uint64))
-    order = (np.unique(heavy), np.arange(len(np.unique(heavy))))
+    sketch = rng.integers(0, 9, size=1 << jaccard_join.CELL_BITS).astype(np.uint8)
+    flat = np.zeros_like(sketch)
     for _ in range(300):
-        a = np.unique(rng.integers(0, 2000, size=rng.integers(1, 80)).astype(np.uint64))
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.integers(0, 2000, size=2).astype(np.uint64)]))
+        a = np.unique(rng.integers(0, 1 << 64, size=rng.integers(1, 80), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.integers(0, 1 << 64, size=2, dtype=np.uint64)]))
         both = len(np.intersect1d(a, b))
         if 100 * both >= 80 * (len(a) + len(b) - both):
-            for heavy_order in ((), order):
-                assert set(jaccard_join.prefix(a, heavy_order).tolist()) & set(jaccard_join.prefix(b, heavy_order).tolist())
+            for order in (sketch, flat):
+                assert set(jaccard_join.prefix(a, order).tolist()) & set(jaccard_join.prefix(b, order).tolist())
 
 
 def test_empty_table_and_one_of_each(spark):
