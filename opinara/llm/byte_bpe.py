@@ -25,9 +25,9 @@ from opinara.llm import common
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # Pieces whose ids a worker keeps; only speed depends on it.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 200_000
 # Characters of texts whose new pieces go through one queue; only speed depends on it.
-GROUP_CHARS = 12_000_000
+GROUP_CHARS = 5_000_000
 
 
 class RankQueue:
@@ -200,11 +200,16 @@ class Numbers(dict):
         return number
 
 
+@cache
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
 class Tokenizer:
-    """Splits texts by the pattern and keeps the ids of pieces met before."""
+    """Splits texts by the pattern and keeps the ids of pieces met before, for as long as a task lasts."""
 
     def __init__(self, path: str, pattern: str):
-        self.vocabulary = Vocabulary(path)
+        self.vocabulary = vocabulary(path)
         self.split = regex.compile(pattern).findall
         self.forget()
 
@@ -239,11 +244,6 @@ class Tokenizer:
             yield self.ids[ragged(starts[pieces], self.counts[pieces])]
 
 
-@cache
-def tokenizer(path: str, pattern: str) -> Tokenizer:
-    return Tokenizer(path, pattern)
-
-
 def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     kept = [n for n in batch.schema.names if n != name]
     return pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + [values], [*kept, name])
@@ -260,21 +260,31 @@ def encode(
     ids: str = "token_ids",
     path: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` with an array of ids of each whole text, without special tokens.
 
+    With ``decoded``, a column of that name has the bytes that the ids stand for, as ``decode`` would add it.
+
     Null and empty texts have no ids; equal texts have equal ids; a column named ``ids`` is replaced, all others
     stay; an empty table stays empty. ``path`` names a rank file that every worker can read.
     """
     path = path or public_tokenizers.path(RANKS)
+    docs = docs.drop(decoded) if decoded else docs
+    tokenizers: list[Tokenizer] = []
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in batch.column(text).to_pylist()]
-        found = list(tokenizer(path, pattern).encode_batch(texts))
+        if not tokenizers:
+            tokenizers.append(Tokenizer(path, pattern))
+        found = list(tokenizers[0].encode_batch([t or "" for t in batch.column(text).to_pylist()]))
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-        return with_column(batch, ids, pa.ListArray.from_arrays(offsets, np.concatenate(found)))
+        made = with_column(batch, ids, pa.ListArray.from_arrays(offsets, np.concatenate(found)))
+        if decoded:
+            made = with_column(made, decoded, pa.array(map(tokenizers[0].vocabulary.decode, found), pa.binary()))
+        return made
 
-    return common.map_batches(docs, schema_with(docs, ids, "array<int>"), work)
+    schema = schema_with(docs, ids, "array<int>")
+    return common.map_batches(docs, f"{schema}, `{decoded}` binary" if decoded else schema, work)
 
 
 def decode(encoded: DataFrame, ids: str = "token_ids", decoded: str = "decoded", path: str | None = None) -> DataFrame:
@@ -282,9 +292,8 @@ def decode(encoded: DataFrame, ids: str = "token_ids", decoded: str = "decoded",
     path = path or public_tokenizers.path(RANKS)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        vocabulary = tokenizer(path, public_tokenizers.PATTERN).vocabulary
-        column = batch.column(ids)
-        made = [vocabulary.decode(x.values.to_numpy()) if x.is_valid else b"" for x in column]
+        known = vocabulary(path)
+        made = [known.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(ids)]
         return with_column(batch, decoded, pa.array(made, pa.binary()))
 
     return common.map_batches(encoded, schema_with(encoded, decoded, "binary"), work)
@@ -304,4 +313,4 @@ def digests(decoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder).select("doc_id", "text")
-    return digests(decode(encode(docs).drop("text")))
+    return digests(encode(docs, decoded="decoded"))

@@ -34,14 +34,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def map_batches(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
-    """mapInArrow with a function of one batch."""
+# Rows that a function of batches gets at once; their texts are Python objects meanwhile.
+SLICE_ROWS = 2_000
+
+
+def map_batches(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+    """mapInArrow with a function of one batch of at most SLICE_ROWS rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = work(batch)
-                if made is not None:
-                    yield made
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield work(batch.slice(start, SLICE_ROWS))
 
     return df.mapInArrow(run, schema)

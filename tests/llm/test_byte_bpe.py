@@ -14,7 +14,7 @@ LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_
 
 
 def encoded(texts):
-    return [ids.tolist() for ids in byte_bpe.tokenizer(PATH, public_tokenizers.PATTERN).encode_batch(texts)]
+    return [ids.tolist() for ids in byte_bpe.Tokenizer(PATH, public_tokenizers.PATTERN).encode_batch(texts)]
 
 
 def test_agrees_with_the_library_on_hard_texts():
@@ -47,7 +47,7 @@ def test_queue_pops_lowest_rank_first_and_forgets_nothing():
 def test_long_piece_takes_linear_time_and_right_ids():
     text = "abcdefgh" * 20_000
     (ids,) = encoded([text])
-    assert byte_bpe.tokenizer(PATH, public_tokenizers.PATTERN).vocabulary.decode(np.array(ids)) == text.encode()
+    assert byte_bpe.vocabulary(PATH).decode(np.array(ids)) == text.encode()
     assert encoded([text[:4000]]) == [LIBRARY.encode_ordinary(text[:4000])]
 
 
@@ -60,4 +60,6 @@ def test_frame_with_nulls_repeats_and_clashing_columns(spark):
     assert sorted((r.doc_id or 0, r.text or "", bytes(r.decoded).decode()) for r in found) == [
         (0, "", ""), (1, "It's me", "It's me"), (2, "", ""), (2, "", "")
     ]
+    at_once = byte_bpe.encode(docs, decoded="decoded").collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, found))
     assert byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs.limit(0)))).count() == 0
