@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +31,7 @@ FEWEST_DOCS, FEWEST_CONTEXTS, LEAST_ODDS, MOST_TERMS = 3, 3, 3.5, 20_000
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.7
 NEAR = 6
-KEPT_TOKENS = 300_000
+KEPT_TOKENS = 150_000
 
 # Common insults, and second-person words of four languages.
 INSULTS = frozenset(
@@ -88,7 +89,9 @@ class Reader:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.kept: dict[tuple[int | None, str] | str, tuple[float, int]] = {}
+        self.kept: dict[int | None, dict[str, tuple[float, int]]] = {}
+        # Most tokens say one of few things, which need not be kept more than once.
+        self.same: dict[tuple[float, int], tuple[float, int]] = {}
 
     def token(self, token: str, own: int | None) -> tuple[float, int]:
         word = plain(token)
@@ -111,13 +114,14 @@ class Reader:
 
     def features(self, text: str, own: int | None = None) -> list[float]:
         tokens = text.split()
-        if len(self.kept) > KEPT_TOKENS:
-            self.kept = {}
-        kept = self.kept
+        kept = self.kept.setdefault(own, {})
+        if len(kept) > KEPT_TOKENS:
+            kept.clear()
         for token in set(tokens):
-            if (own, token) not in kept:
-                kept[own, token] = self.token(token, own)
-        known = [kept[own, token] for token in tokens]
+            if token not in kept:
+                said = self.token(token, own)
+                kept[token] = self.same.setdefault(said, said)
+        known = [kept[token] for token in tokens]
         n = max(len(tokens), 1)
         flags = np.fromiter((k[1] for k in known), dtype=np.int64, count=len(known))
         hits = [(i, k[0]) for i, k in enumerate(known) if k[0] or k[1] & 1]
@@ -155,20 +159,18 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Terms of toxic documents that several of them use in several contexts, counted by label."""
     counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
 
-    def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = set()
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            before = ""
-            for word in map(plain, text.split()):
-                rows.update((doc, term, before) for term in terms(word) if word)
-                before = word
-        columns = [list(c) for c in zip(*rows, strict=True)] or [[], [], []]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())],
-            ["doc_id", "term", "before"],
-        )
-
-    toxic = common.map_batches(sample.where("toxic = 1"), "doc_id long, term string, before string", contexts)
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                rows, before = set(), ""
+                for word in map(plain, text.as_py().split()):
+                    rows.update((term, before) for term in terms(word) if word)
+                    before = word
+                own = pa.array([doc.as_py()] * len(rows), pa.int64())
+                columns = [pa.array([row[n] for row in rows], pa.string()) for n in (0, 1)]
+                yield pa.RecordBatch.from_arrays([own, *columns], ["doc_id", "term", "before"])
+
+    toxic = sample.where("toxic = 1").mapInArrow(contexts, "doc_id long, term string, before string")
     seen = toxic.groupBy("term").agg(F.countDistinct("doc_id").alias("docs"), F.countDistinct("before").alias("contexts"))
     seen = seen.where((F.col("docs") >= FEWEST_DOCS) & (F.col("contexts") >= FEWEST_CONTEXTS))
     common_first = seen.orderBy(F.desc("docs"), "term").limit(MOST_TERMS).collect()
