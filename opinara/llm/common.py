@@ -45,5 +45,6 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 yield work(batch.slice(start, SLICE_ROWS))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

@@ -36,8 +36,8 @@ GROUP_BITS = 8
 GROUPS = 1 << GROUP_BITS
 FANOUT = 16
 CHUNK = 2_000
-GROUP_CHARS = 2_000_000
-BLOCK_SHINGLES = 1_000_000
+GROUP_CHARS = 1_000_000
+BLOCK_SHINGLES = 500_000
 SHARD_BYTES = 16_000_000
 # Cells of the sketch (a byte each, sent to all tasks) and the parts it is added up in. Links do not depend on the
 # order of shingles, only the number of candidates does.
@@ -144,6 +144,7 @@ def with_sets(docs: DataFrame, text: str = "_text") -> DataFrame:
             made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(points, pa.binary())]
             columns = [*(batch.column(f.name) for f in fields), *made]
             yield pa.RecordBatch.from_arrays([*columns, *none], names)
+        pa.default_memory_pool().release_unused()
         if kinds:
             parts = counts.reshape(1 << PART_BITS, -1)
             full = np.flatnonzero(parts.any(axis=1)).tolist()

@@ -10,7 +10,7 @@ import zstandard
 class Hashes(dict):
     """64-bit hashes of words, kept for words met again; ``trim`` bounds the memory."""
 
-    MOST = 250_000
+    MOST = 150_000
 
     def __missing__(self, word: bytes) -> int:
         self[word] = value = xxhash.xxh3_64_intdigest(word)
