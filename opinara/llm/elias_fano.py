@@ -114,7 +114,7 @@ WORD_BITS = 32
 
 
 class NgramTrie:
-    """N-grams of 32-bit word fingerprints with a value for each, one Elias-Fano sequence per level.
+    """N-grams of word numbers below 2^32 with a value for each, one Elias-Fano sequence per level.
 
     A word is kept relative to its context: under the context of rank r of the level above it becomes r * 2^32 + word,
     which makes the whole level monotone. Pointers to the first successor of each context are monotone, too.

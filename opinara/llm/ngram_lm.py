@@ -10,7 +10,7 @@ different words and bigrams, as sorted, packed arrays.
 
 P(w | h) = max(c(h w) - D, 0) / c(h) + D * T(h) / c(h) * P(w), with T(h) the different words after h, and
 P(w) = (c(w) + 1) / (N + V + 1). It sums to 1 over the vocabulary and one unknown word. After a word never seen in
-training it is P(w). Words are told apart by 64 bits; in the trie by 32 of them.
+training it is P(w). Words are told apart by 64 bits everywhere; a shard numbers its words and keys its trie by the numbers.
 """
 
 from __future__ import annotations
@@ -45,6 +45,34 @@ START = xxhash.xxh3_64_intdigest(b" start")
 MESSAGE = "kind string, shard int, block long, body binary"
 
 
+@dataclass
+class Bigrams:
+    """Pairs of words, each word by its place in a table of hashes."""
+
+    table: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+
+    def shard(self, shards: int) -> np.ndarray:
+        """Both words decide, so what follows a frequent word is spread over all shards."""
+        mixed = self.table[self.first] * np.uint64(0x9E3779B97F4A7C15) + self.table[self.second] * np.uint64(0xC2B2AE3D27D4EB4F)
+        return word_shard(mixed ^ mixed << np.uint64(29), shards)
+
+    def packed(self, at: np.ndarray) -> bytes:
+        """Some of the pairs with the part of the table that they need."""
+        first, second = self.first[at], self.second[at]
+        used = np.unique(np.concatenate([first, second]))
+        kind = np.min_scalar_type(len(used))
+        first, second = np.searchsorted(used, first).astype(kind), np.searchsorted(used, second).astype(kind)
+        return two(pack_sorted(self.table[used]), two(pack(np.diff(first, prepend=kind.type(0))), pack(second)))
+
+    @staticmethod
+    def unpacked(body: bytes) -> Bigrams:
+        table, pairs = split_two(body)
+        first, second = map(unpack, split_two(pairs))
+        return Bigrams(unpack_sorted(table), np.cumsum(first, dtype=first.dtype), second)
+
+
 @dataclass
 class Block:
     """Some documents as places into their sorted different words."""
@@ -64,11 +92,10 @@ class Block:
         before[:1] = len(self.words)
         return before
 
-    def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
-        """The different bigrams as pairs of fingerprints, and each token's place among them."""
-        prints = np.append(self.words, np.uint64(START)) >> np.uint64(32)
-        keys = prints[self.context()] << np.uint64(32) | prints[self.places]
-        return np.unique(keys, return_inverse=True)
+    def bigrams(self) -> tuple[Bigrams, np.ndarray]:
+        """The different bigrams, and each token's place among them."""
+        keys, places = np.unique(self.context() << 32 | self.places, return_inverse=True)
+        return Bigrams(np.append(self.words, np.uint64(START)), keys >> 32, keys & 0xFFFFFFFF), places
 
     def counts(self, places: np.ndarray, size: int) -> np.ndarray:
         """How often training tokens have each place."""
@@ -113,14 +140,8 @@ def message(rows: list[tuple[str, int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def bigram_shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Both words decide, so what follows a frequent word is spread over all shards."""
-    mixed = (keys ^ keys >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
-def word_shard(prints: np.ndarray, shards: int) -> np.ndarray:
-    return (prints * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+def word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -137,16 +158,13 @@ def questions(docs: DataFrame, shards: int, id_column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, id_column):
             pairs, pair_places = block.bigrams()
-            for kind, keys, places, shard in (
-                ("bigrams", pairs, pair_places, bigram_shard(pairs, shards)),
-                ("asked", block.words, block.places, word_shard(block.words >> np.uint64(32), shards)),
+            for kind, places, shard, body in (
+                ("bigrams", pair_places, pairs.shard(shards), pairs.packed),
+                ("asked", block.places, word_shard(block.words, shards), lambda at, words=block.words: pack_sorted(words[at])),
             ):
-                counts = block.counts(places, len(keys))
+                counts = block.counts(places, len(shard))
                 yield message(
-                    [
-                        (kind, number, block.number, two(pack_sorted(keys[at]), pack(counts[at])))
-                        for number, at in by_shard(shard, shards)
-                    ]
+                    [(kind, number, block.number, two(body(at), pack(counts[at]))) for number, at in by_shard(shard, shards)]
                 )
 
     return docs.mapInArrow(run, MESSAGE)
@@ -162,7 +180,7 @@ def added_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 def answer_bigrams(shards: int):
     def work(group: pa.Table) -> pa.Table:
-        shard, numbers, asked, counts, rows = group.column("shard")[0].as_py(), [], [], [], []
+        shard, numbers, pairs, counts, rows = group.column("shard")[0].as_py(), [], [], [], []
         for kind, number, body in zip(*(group.column(c).to_pylist() for c in ("kind", "block", "body")), strict=True):
             if kind != "bigrams":
                 # Words have come along to be stored for the next step.
@@ -170,10 +188,16 @@ def answer_bigrams(shards: int):
                 continue
             a, b = split_two(body)
             numbers.append(number)
-            asked.append(unpack_sorted(a))
+            pairs.append(Bigrams.unpacked(a))
             counts.append(unpack(b))
-        if not asked:
+        if not pairs:
             return pa.Table.from_batches([message(rows)])
+        # A word's number is its place among the different words of the shard.
+        words, asked = np.unique(np.concatenate([p.table for p in pairs])), []
+        while pairs:
+            p = pairs.pop(0)
+            number_of = np.searchsorted(words, p.table).astype(np.uint64)
+            asked.append(number_of[p.first] << np.uint64(32) | number_of[p.second])
         keys, sums = added_up(asked, counts)
         low = np.uint64(0xFFFFFFFF)
         codes = 1 + np.minimum(np.rint((np.log10(sums - DISCOUNT) - LOWEST) / STEP), 65_000).astype(np.uint16)
@@ -185,6 +209,7 @@ def answer_bigrams(shards: int):
         contexts = trie.levels[0].get(np.arange(trie.levels[0].count)) if len(keys) else np.empty(0, np.uint64)
         if len(contexts):
             follow = trie.successors(0, np.arange(len(contexts)))
+            contexts = words[contexts.astype(np.int64)]
             for number, at in by_shard(word_shard(contexts, shards), shards):
                 rows.append(("contexts", number, -1, two(pack_sorted(contexts[at]), pack(follow[at]))))
         return pa.Table.from_batches([message(rows)])
@@ -205,11 +230,11 @@ def answer_words(group: pa.Table) -> pa.Table:
             asked.append(unpack_sorted(a))
             counts.append(unpack(b))
     words, sums = added_up(asked, counts) if asked else (np.empty(0, np.uint64), np.empty(0, np.int64))
-    prints, after = added_up(contexts, follow)
-    start = np.uint64(START >> 32)
+    before, after = added_up(contexts, follow)
+    start = np.uint64(START)
     rows = [("totals", shard, -1, pickle.dumps((int(sums.sum()), len(words))))]
-    at = np.searchsorted(prints, start)
-    if at < len(prints) and prints[at] == start:
+    at = np.searchsorted(before, start)
+    if at < len(before) and before[at] == start:
         rows.append(("start", shard, -1, pickle.dumps(int(after[at]))))
 
     def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -219,7 +244,7 @@ def answer_words(group: pa.Table) -> pa.Table:
         return np.where(keys[place] == wanted, values[place], 0)
 
     for number, wanted in zip(numbers, asked, strict=True):
-        body = two(pack(lookup(words, sums, wanted)), pack(lookup(prints, after, wanted >> np.uint64(32))))
+        body = two(pack(lookup(words, sums, wanted)), pack(lookup(before, after, wanted)))
         rows.append(("words", shard, number, body))
     return pa.Table.from_batches([message(rows)])
 
@@ -259,12 +284,12 @@ def score_blocks(shards: int, tokens: int, vocabulary: int, after_start: int, id
                 found[kind][shard] = body
         if index is None:
             raise RuntimeError("the rows of the input came in another order or other parts: write it to a table first")
-        keys, places = index.bigrams()
-        codes = np.zeros(len(keys), dtype=np.int64)
-        for number, at in by_shard(bigram_shard(keys, shards), shards):
+        pairs, places = index.bigrams()
+        codes = np.zeros(len(pairs.first), dtype=np.int64)
+        for number, at in by_shard(pairs.shard(shards), shards):
             codes[at] = unpack(found["bigrams"][number])
         counts, follow = np.zeros(len(index.words), np.int64), np.zeros(len(index.words), np.int64)
-        for number, at in by_shard(word_shard(index.words >> np.uint64(32), shards), shards):
+        for number, at in by_shard(word_shard(index.words, shards), shards):
             a, b = split_two(found["words"][number])
             counts[at], follow[at] = unpack(a), unpack(b)
         single = (counts + 1) / (tokens + vocabulary + 1)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import odd_documents
 
 from opinara.llm import common, ngram_lm
@@ -86,6 +87,26 @@ def test_scores_agree_with_a_plain_count(spark, monkeypatch, block, tmp_path):
         assert r.score == pytest.approx(e[6], abs=2e-4 * r.n_tokens)
 
 
+def twins():
+    """Two words whose hashes share their upper 32 bits."""
+    met = {}
+    for i in range(2_000_000):
+        word = f"t{i}"
+        other = met.setdefault(xxhash.xxh3_64_intdigest(word.encode()) >> 32, word)
+        if other != word:
+            return other, word
+
+
+def test_words_that_share_half_a_hash_stay_apart(spark, tmp_path):
+    frequent, rare = twins()
+    texts = [f"{frequent} a {frequent} b c {frequent} a"] * 40 + [f"{rare} b a {rare} c"] * 2
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    found = {r.doc_id: r.score for r in ngram_lm.score(docs, common.remainder("doc_id", 7) != 2).collect()}
+    for e in plain_scores(enumerate(texts)):
+        assert found[e[0]] == pytest.approx(e[6], abs=2e-4 * e[2]) and found[e[0]] < 0
+
+
 def test_probabilities_sum_to_one():
     """Over the vocabulary and one unknown word, after any context, by the formula of the plain count."""
     words = [t.encode().lower().split() + [b" end"] for t in corpus(2)]
