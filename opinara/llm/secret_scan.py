@@ -4,13 +4,15 @@ Patterns are first matched on the text itself. Then every layer found in it (URL
 compressed data) is unwrapped, matched again and put on the worklist, until nothing new turns up. A layer that was
 unwrapped before at the same place is not followed again, which ends cycles such as data that decompresses to itself.
 Escapes keep a start and an end in the original text for each decoded character; what comes out of base64 is mapped to
-the span of the encoded run.
+the span of the encoded run. Compressed data is unpacked to its end, member by member, and read in windows that overlap,
+so that memory is bounded by a window and the longest run without a break.
 """
 
 from __future__ import annotations
 
 import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -44,9 +46,15 @@ ESCAPE = re.compile(
 )
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 URL_SAFE = str.maketrans("-_", "+/")
-CONTROL = bytes(set(range(256)) - set(range(32)) - {127} | {9, 10, 13})
-# Bytes that one compressed layer may unpack to: a guard against data made to fill the memory of an executor.
-MOST_UNPACKED = 64 << 20
+# The places where compressed data may start; what bytes must hold to hold a match or a layer.
+MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+NARROW, WIDE = re.compile(rb"[\x20-\x7e]{16}"), re.compile(rb"(?:[\x20-\x7e]\x00){16}")
+# Bytes of a window, of its overlap at least, and of compressed data handed on at once where output cannot be bounded.
+# A window is never cut inside a run of RUN_BYTES, which no match and no encoded run reaches beyond by an overlap.
+WINDOW, OVERLAP, FEED = 1 << 20, 1 << 16, 256
+RUN_BYTES = bytes(set(range(128)) - set(range(1, 32)) - set(b"!$()*,.<>?@[]^`|~\x7f") | {10, 13})
+INFLATE = type(zlib.decompressobj())
+BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
 REPLACEMENT = "[SECRET]"
 
 
@@ -88,7 +96,7 @@ def rewritten(layer: Layer, pieces: list[tuple[int, int, list[tuple[str, int, in
 
     def copy(start: int, end: int) -> None:
         text.append(layer.text[start:end])
-        for i in range(start, end):
+        for i in range(start, end) if not layer.whole else ():
             a, b = layer.span(i, i + 1)
             starts.append(a)
             ends.append(b)
@@ -147,65 +155,174 @@ def unwrap_unicode(layer: Layer) -> Layer | None:
     return rewritten(layer, pieces)
 
 
-def unpacked(data: bytes) -> bytes | None:
-    """What compressed data holds, or None if it is none that is known here."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, MOST_UNPACKED)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, MOST_UNPACKED)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, MOST_UNPACKED)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, MOST_UNPACKED)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(data).read(MOST_UNPACKED)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        pass
+def opened(head: bytes):
+    """A decompressor for data that starts with ``head``, or None if it starts as none that is known here."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and (head[0] * 256 + head[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(lzma.FORMAT_XZ)
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
     return None
 
 
-def readable(data: bytes) -> str | None:
-    """The text that bytes hold, through any compression; None if they hold none or decompress to themselves."""
-    seen = set()
-    while (inner := unpacked(data)) is not None:
-        if data in seen:
-            return None
-        seen.add(data)
-        data = inner
-    if not data or data.translate(None, CONTROL):
-        return None
+def member(tool, data: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of some bytes, in pieces, then the bytes after the end of the member as its value."""
+    if isinstance(tool, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
+        yield tool.decompress(data, WINDOW)
+        while not tool.eof and not tool.needs_input:
+            yield tool.decompress(b"", WINDOW)
+    elif isinstance(tool, INFLATE):
+        piece = tool.decompress(data, WINDOW)
+        while piece and not tool.eof:
+            yield piece
+            piece = tool.decompress(tool.unconsumed_tail, WINDOW)
+        yield piece
+    else:
+        # A block of 4 bytes can stand for 128 KB, and this interface gives all of them at once.
+        for at in range(0, len(data), FEED):
+            yield tool.decompress(data[at : at + FEED])
+            if tool.eof:
+                return tool.unused_data + data[at + FEED :]
+    return tool.unused_data if tool.eof else b""
+
+
+def unpacked(chunks: Iterator[bytes], rests: list[int] | None = None) -> Iterator[bytes]:
+    """What compressed data holds, through all its members and as far as it is whole, then what follows the last one.
+
+    ``rests`` gets the bytes left of a chunk after each member.
+    """
+    tool, data = None, b""
     try:
-        return data.decode()
-    except UnicodeDecodeError:
-        return None
+        for chunk in chunks:
+            data += chunk
+            while data:
+                if tool is None:
+                    # Members may be padded by zeros.
+                    data = data.lstrip(b"\0")
+                    if len(data) < 6:
+                        break
+                    tool = opened(data)
+                    if tool is None:
+                        yield data
+                        yield from chunks
+                        return
+                data = yield from member(tool, data)
+                if tool.eof:
+                    tool = None
+                    if rests is not None:
+                        rests.append(len(data))
+        if tool is None and data:
+            yield data
+    except BROKEN:
+        return
+
+
+def nested(data: bytes, depth: int, rests: list[int] | None = None) -> Iterator[bytes]:
+    """The bytes below so many layers of compression."""
+    chunks = iter([data])
+    for level in range(depth):
+        chunks = unpacked(chunks, None if level else rests)
+    return chunks
+
+
+def compressed(data: bytes, rests: list[int]) -> Iterator[Iterator[bytes]]:
+    """What data holds below each layer of compression, until it is no more compressed or repeats an upper layer."""
+    seen, depth = {hashlib.sha256(data).digest()}, 1
+    while True:
+        yield nested(data, depth, rests)
+        head = b""
+        for piece in nested(data, depth):
+            head += piece
+            if len(head) >= 6:
+                break
+        if not opened(head):
+            return
+        digest = hashlib.sha256()
+        for piece in nested(data, depth):
+            digest.update(piece)
+        if digest.digest() in seen:
+            return
+        seen.add(digest.digest())
+        depth += 1
+
+
+def windows(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The bytes in stretches that overlap; each run of RUN_BYTES stands whole in one of them."""
+    held, need = bytearray(), WINDOW
+    for chunk in chunks:
+        held += chunk
+        if len(held) < need:
+            continue
+        keep = min(len(held.rstrip(RUN_BYTES)), len(held) - OVERLAP)
+        if keep < len(held) // 2:
+            need = 2 * len(held)
+            continue
+        yield bytes(held)
+        del held[:keep]
+        need = len(held) + WINDOW
+    if held:
+        yield bytes(held)
+
+
+def readable(data: bytes) -> list[str] | None:
+    """Texts that bytes hold, as UTF-8 and as UTF-16 of either order, with replacements for what is no text, or None."""
+    found = [data.decode(errors="replace")] if NARROW.search(data) else []
+    if WIDE.search(data):
+        found += [data[start:].decode("utf-16-le", errors="replace") for start in (0, 1)]
+    return found or None
+
+
+def contents(run: str) -> Iterator[str]:
+    """Texts in a base64 run, which may start anywhere in it, and in compressed data there."""
+    run = run.translate(URL_SAFE)
+    for phase in range(1):
+        body = run[phase:]
+        body = body[: len(body) - (len(body) % 4 == 1)]
+        data, done = binascii.a2b_base64(body + "=" * (-len(body) % 4)), 0
+        yield from readable(data) or ()
+        for m in MAGIC.finditer(data):
+            if m.start() < done:
+                continue
+            rests: list[int] = []
+            inside = data[m.start() :]
+            for chunks in compressed(inside, rests):
+                for window in windows(chunks):
+                    yield from readable(window) or ()
+            if rests:
+                done = len(data) - min(rests)
 
 
 def unwrap_base64(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64_RUN.finditer(layer.text):
-        run = m.group()
-        if len(run) % 4 == 1:
-            continue
-        text = readable(binascii.a2b_base64(run.translate(URL_SAFE) + "=" * (-len(run) % 4)))
-        if text:
-            padding = 0
-            while padding < 2 and layer.text[m.end() + padding : m.end() + padding + 1] == "=":
-                padding += 1
-            yield Layer(text, whole=layer.span(m.start(), m.end() + padding))
+    single = ((*m.span(), m.group()) for m in BASE64_RUN.finditer(layer.text))
+    for start, end, run in single:
+        for _ in range(2):
+            end += layer.text.startswith("=", end)
+        for text in contents(run):
+            yield Layer(text, whole=layer.span(start, end))
+
+
+def below(layer: Layer) -> Iterator[Layer]:
+    yield from (x for x in (unwrap_url(layer), unwrap_unicode(layer)) if x)
+    yield from unwrap_base64(layer)
 
 
 def layers(text: str) -> Iterator[Layer]:
-    """All layers below a text, each once per place."""
-    worklist, seen = [Layer(text)], set()
-    while worklist:
-        layer = worklist.pop()
-        found = [x for x in (unwrap_url(layer), unwrap_unicode(layer)) if x]
-        for inner in (*found, *unwrap_base64(layer)):
-            key = (inner.text, inner.whole)
-            if key not in seen and inner.text != layer.text:
-                seen.add(key)
-                worklist.append(inner)
-                yield inner
+    """All layers below a text, each once per place; one branch is followed at a time."""
+    key = lambda x: (hashlib.sha256(x.text.encode(errors="surrogatepass")).digest(), x.whole)
+    seen, stack = {key(Layer(text))}, [below(Layer(text))]
+    while stack:
+        inner = next(stack[-1], None)
+        if inner is None:
+            stack.pop()
+        elif (known := key(inner)) not in seen:
+            seen.add(known)
+            stack.append(below(inner))
+            yield inner
 
 
 def find(text: str) -> tuple[set[Span], set[Span]]:

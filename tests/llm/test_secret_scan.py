@@ -64,6 +64,25 @@ def test_cycles_end_and_clean_words_stay_clean():
     assert secret_scan.readable(gzip.compress(b"")) is None
 
 
+def test_compressed_data_is_read_to_its_end():
+    """Later members, and text behind 64 MB, where one cut fell inside a character."""
+    first, inner = b"nothing here ", SECRET.encode()
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        for data in (pack(first) + pack(inner), pack(first) + pack(inner[:9]) + pack(inner[9:]), pack(pack(first) + pack(inner))):
+            run = base64.b64encode(data).decode()
+            assert ("assign", 2, 2 + len(run)) in secret_scan.find(f"a {run} b")[1], pack
+    for pack in (gzip.compress, zstandard.compress):
+        run = base64.b64encode(pack("é, ".encode() * (17 << 20) + inner)).decode()
+        assert ("assign", 0, len(run)) in secret_scan.find(run)[1], pack
+
+
+def test_matches_across_windows():
+    for gap in (0, 3, 20, 1 << 16):
+        body = b", " * ((1 << 19) - gap) + b"x " * 10 + base64.b64encode(b"see " * 30_000 + SECRET.encode())
+        run = base64.b64encode(gzip.compress(body)).decode()
+        assert ("assign", 0, len(run)) in secret_scan.find(run)[1], gap
+
+
 def test_frame(spark):
     docs = odd_documents(spark, [SECRET, "clean", base64.b64encode(SECRET.encode()).decode()])
     found = {r.doc_id: r for r in digests(secret_scan.scan(docs), secret_scan.KINDS).where("doc_id > 0").collect()}
