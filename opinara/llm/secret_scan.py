@@ -46,7 +46,9 @@ ESCAPE = re.compile(
 )
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 URL_SAFE = str.maketrans("-_", "+/")
-# The places where compressed data may start; what bytes must hold to hold a match or a layer.
+# Lines of one base64 run; the places where compressed data may start; what bytes must hold to hold a match or a layer.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 NARROW, WIDE = re.compile(rb"[\x20-\x7e]{16}"), re.compile(rb"(?:[\x20-\x7e]\x00){16}")
 # Bytes of a window, of its overlap at least, and of compressed data handed on at once where output cannot be bounded.
@@ -56,6 +58,7 @@ RUN_BYTES = bytes(set(range(128)) - set(range(1, 32)) - set(b"!$()*,.<>?@[]^`|~\
 INFLATE = type(zlib.decompressobj())
 BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
 REPLACEMENT = "[SECRET]"
+REPLACED = "\ufffd"
 
 
 @dataclass(frozen=True)
@@ -118,14 +121,11 @@ def rewritten(layer: Layer, pieces: list[tuple[int, int, list[tuple[str, int, in
 def unwrap_url(layer: Layer) -> Layer | None:
     pieces = []
     for m in URL_RUN.finditer(layer.text) if "%" in layer.text else ():
-        try:
-            decoded = bytes.fromhex(m.group().replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
+        decoded = bytes.fromhex(m.group().replace("%", "")).decode(errors="surrogateescape")
         at, characters = m.start(), []
         for c in decoded:
-            width = 3 * len(c.encode())
-            characters.append((c, at, at + width))
+            width = 3 * len(c.encode(errors="surrogateescape"))
+            characters.append((REPLACED if "\ud800" <= c <= "\udfff" else c, at, at + width))
             at += width
         pieces.append((m.start(), m.end(), characters))
     return rewritten(layer, pieces)
@@ -137,14 +137,10 @@ def unwrap_unicode(layer: Layer) -> Layer | None:
         start, end = m.span()
         if m.lastindex is None:
             units = bytes.fromhex(m.group().replace("\\u", ""))
-            try:
-                decoded = units.decode("utf-16-be")
-            except UnicodeDecodeError:
-                continue
             at, characters = start, []
-            for c in decoded:
-                width = 6 * (len(c.encode("utf-16-be")) // 2)
-                characters.append((c, at, at + width))
+            for c in units.decode("utf-16-be", "surrogatepass"):
+                width = 6 * (len(c.encode("utf-16-be", "surrogatepass")) // 2)
+                characters.append((REPLACED if "\ud800" <= c <= "\udfff" else c, at, at + width))
                 at += width
         else:
             number = int(m.group(m.lastindex), 10 if m.lastindex == 5 else 16)
@@ -280,7 +276,7 @@ def readable(data: bytes) -> list[str] | None:
 def contents(run: str) -> Iterator[str]:
     """Texts in a base64 run, which may start anywhere in it, and in compressed data there."""
     run = run.translate(URL_SAFE)
-    for phase in range(1):
+    for phase in range(4):
         body = run[phase:]
         body = body[: len(body) - (len(body) % 4 == 1)]
         data, done = binascii.a2b_base64(body + "=" * (-len(body) % 4)), 0
@@ -297,9 +293,22 @@ def contents(run: str) -> Iterator[str]:
                 done = len(data) - min(rests)
 
 
+def wrapped(text: str) -> Iterator[tuple[int, int, str]]:
+    """Base64 runs over lines of one length, but for the first one and a shorter last one: start, end and joined run."""
+    m = WRAPPED.search(text)
+    while m:
+        lines = [x.span() for x in LINE.finditer(text, m.start(), m.end())]
+        size = [b - a for a, b in lines]
+        count = 2
+        while count < len(lines) and size[count - 1] >= size[count] and (count == 2 or size[count - 1] == size[count - 2]):
+            count += 1
+        yield lines[0][0], lines[count - 1][1], "".join(text[a:b] for a, b in lines[:count])
+        m = WRAPPED.search(text, lines[count - 1][1] if count < len(lines) else m.end())
+
+
 def unwrap_base64(layer: Layer) -> Iterator[Layer]:
     single = ((*m.span(), m.group()) for m in BASE64_RUN.finditer(layer.text))
-    for start, end, run in single:
+    for start, end, run in (*single, *wrapped(layer.text)):
         for _ in range(2):
             end += layer.text.startswith("=", end)
         for text in contents(run):

@@ -83,6 +83,35 @@ def test_matches_across_windows():
         assert ("assign", 0, len(run)) in secret_scan.find(run)[1], gap
 
 
+def test_wrapped_base64():
+    for data in (b"x" * 50 + SECRET.encode() + b"y" * 90, gzip.compress(bytes(range(33, 127)) * 3 + SECRET.encode())):
+        code = base64.b64encode(data).decode()
+        for width, line in ((76, "\n"), (64, "\r\n"), (20, "\n  ")):
+            run = line.join(code[k : k + width] for k in range(0, len(code), width))
+            assert ("assign", 6, 6 + len(run)) in secret_scan.find(f"data: {run}\n\nend")[1], (width, data[:2])
+
+
+def test_base64_behind_other_signs():
+    for data in (SECRET.encode(), gzip.compress(SECRET.encode())):
+        code = base64.urlsafe_b64encode(data).decode().rstrip("=")
+        for front in ("https://x.example/cb/", "a/", "ab_", "abc-", "word", "w", "/x/yy/"):
+            text = f"see {front}{code} end"
+            spans = [(a, b) for kind, a, b in secret_scan.find(text)[1] if kind == "assign"]
+            assert any(a <= 4 + len(front) and b == 4 + len(front + code) for a, b in spans), (front, data[:2])
+
+
+def test_layers_that_are_not_clean_text():
+    for data in (
+        SECRET.encode("utf-16"), SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"), b"\x1b[31m" + SECRET.encode() + b"\x1b[0m",
+        b"\x0c" + SECRET.encode(), b"\0" + SECRET.encode(), b"\xff\xfe\xfa" + SECRET.encode(), "ä".encode("latin-1") + SECRET.encode(),
+    ):
+        for run in (base64.b64encode(data).decode(), base64.b64encode(gzip.compress(data)).decode()):
+            assert ("assign", 2, 2 + len(run)) in secret_scan.find(f"a {run} b")[1], data
+    escaped = "".join(f"%{b:02X}" for b in b"\xff" + SECRET.encode())
+    assert ("assign", 3, len(escaped) - 3) in secret_scan.find(escaped)[1]
+    assert ("assign", 6, 6 * len(SECRET)) in secret_scan.find("".join(f"\\u{c:04x}" for c in [0xD83D, *SECRET.encode()]))[1]
+
+
 def test_frame(spark):
     docs = odd_documents(spark, [SECRET, "clean", base64.b64encode(SECRET.encode()).decode()])
     found = {r.doc_id: r for r in digests(secret_scan.scan(docs), secret_scan.KINDS).where("doc_id > 0").collect()}
