@@ -30,11 +30,17 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 
-TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.DOTALL)
+# A written sign with its brackets and spaces is one token.
+SIGN = (
+    r"[ \t]*[\[({][ \t]?(?:at|dot)[ \t]?[\])}][ \t]*|(?<=\w)[ \t]+dot[ \t]+(?=\w)"
+    r"|(?<=\w)[ \t]+at[ \t]+(?=[\w-]+[ \t]+(?:[\[({][ \t]?)?dot\b)"
+)
+TOKEN = re.compile(rf"{SIGN}|[^\W\d_]+|[0-9]+|\s+|.", re.DOTALL | re.IGNORECASE)
 WRITTEN_AT = r"[\[({]\s?at\s?[\])}]|\bat\b(?=\s[\w-]+\s(?:[\[({]\s?)?dot\b)"
 SEED = re.compile(rf"[0-9@]|{WRITTEN_AT}", re.IGNORECASE)
 AT = re.compile(rf"@|{WRITTEN_AT}", re.IGNORECASE)
 DOT = re.compile(r"\s*(?:[\[({]\s?dot\s?[\])}]|\bdot\b)\s*", re.IGNORECASE)
+DOT_BEFORE = re.compile(r"\w\s*(?:[\[({]\s?dot\s?[\])}]|\bdot)\s*\Z", re.IGNORECASE)
 # Characters of context around a seed, and the most tokens of a segment.
 REACH, LONGEST = 48, 18
 # Documents that training windows are taken from at most, windows from them, and written examples.
@@ -129,6 +135,9 @@ def segment_features(text: str, start: int, end: int, cue: str) -> list[str]:
         whole = re.fullmatch(r"[\w.%+-]+", DOT.sub(".", name)) and re.fullmatch(r"[\w-]+(\.[\w-]+)*\.[a-z]{2,10}", domain)
         found.append(f"address:{bool(whole)}")
         found.append(f"sign:{at.group() == '@'}")
+        more = DOT.match(text, end)
+        if more and text[more.end() : more.end() + 1].isalnum() or DOT_BEFORE.search(text[max(0, start - 12) : start]):
+            found.append("written dot beside")
     if not span[0].isalnum() and span[0] not in "+(" or not span[-1].isalnum():
         found.append("ragged")
     return found
@@ -262,7 +271,8 @@ def stretches(text: str) -> Iterator[tuple[int, int]]:
     """Stretches around seeds that hold all context a segment can use, cut at white space."""
     start = end = -1
     for m in SEED.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        reach = REACH if len(m.group()) == 1 else 2 * REACH  # written-out addresses are longer
+        a, b = max(0, m.start() - reach), min(len(text), m.end() + reach)
         if a <= end:
             end = b
             continue
@@ -313,7 +323,10 @@ def written_examples(rng: random.Random, words: list[str], count: int) -> Iterat
         name = rng.choice(("{0}.{1}", "{0}{2}", "{0}_{1}", "{0}.{2}")).format(word(), word(), number(2))
         at = rng.choice(("@", "@", " [at] ", " (at) ", " at ", "[at]"))
         dot = "." if at == "@" else rng.choice((" dot ", " [dot] ", ".")) if at != " at " else " dot "
-        return f"{name}{at}{word()}{dot}{rng.choice(('com', 'org', 'net', 'de', 'fr'))}"
+        if dot not in ".@" and rng.random() < 0.3:
+            name = f"{word()}{dot}{word()}"
+        labels = [*(word() for _ in range(rng.choice((1, 1, 2, 3)))), rng.choice(("com", "org", "net", "de", "fr", "uk"))]
+        return f"{name}{at}{dot.join(labels)}"
 
     def phone() -> str:
         a, b, c = number(3), number(3), number(4)

@@ -78,6 +78,16 @@ def test_field_finds_unseen_variants_and_spares_look_alikes(field):
     assert right / (right + wrong) > 0.9 and right / (right + missed) > 0.85
 
 
+def test_written_addresses_with_several_dots(field):
+    for address in (
+        "john.smith [at] example [dot] co [dot] uk", "john (at) example (dot) co (dot) uk", "john dot smith at mail dot example dot co dot uk",
+        "mary [dot] jones [at] physics [dot] university [dot] ac [dot] uk", "a.b [at] c [dot] d [dot] e [dot] com",
+    ):
+        text = f"please write to {address}, the report says"
+        found = pii_crf.finder(field)(text)[1]
+        assert ("email", 16, 16 + len(address)) in found, (address, found)
+
+
 def test_frame(spark, field):
     docs = odd_documents(spark, ["mail me: a.b@c.de, or call (017) 555-7713 today", "no data here", "on 2024-01-05 at 12:30"])
     found = {r.doc_id: r for r in digests(pii_crf.scan(docs, field), pii_crf.KINDS).where("doc_id > 0 OR n_email > 0").collect()}
