@@ -19,7 +19,7 @@ from opinara.session import stored
 # Samples of a fingerprint: LANES of them share a row while they are drawn and a 64-bit word afterwards, 16 bits each, so
 # that different samples agree by chance once in 65536. Few samples a row keep the generated code small enough for the
 # JVM to compile it.
-SAMPLES, LANES = 32, 4
+SAMPLES, LANES = 48, 4
 LANE_BITS = 16
 SPACE = r"[\x20\x09-\x0D]"
 UNIT = 2.0**-32

@@ -35,6 +35,27 @@ def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
     assert max(map(abs, errors)) < 0.3
 
 
+def test_accuracy_of_the_query_s_own_samples(spark):
+    rng = random.Random(3)
+    pairs = []
+    for i in range(400):
+        words = [f"w{i}x{k}" for k in range(40)]  # words of its own, so that the errors of pairs are independent
+        a = rng.choices(words, k=rng.randint(30, 80))
+        share = rng.uniform(0.5, 0.95)
+        pairs.append((" ".join(a), " ".join(w if rng.random() < share else rng.choice(words) for w in a)))
+    docs = spark.createDataFrame([(2 * i + s, p[s]) for i, p in enumerate(pairs) for s in (0, 1)], "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in weighted_sampling.fingerprints(docs).collect()}
+    size = weighted_sampling.SAMPLES
+    errors = []
+    for i, p in enumerate(pairs):
+        a, b = prints[2 * i], prints[2 * i + 1]
+        assert len(a) == len(b) == 4 * size
+        errors.append(sum(a[k : k + 4] == b[k : k + 4] for k in range(0, 4 * size, 4)) / size - jaccard(*p))
+    assert abs(sum(errors) / len(errors)) < 0.01
+    assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.073
+    assert max(map(abs, errors)) < 0.25
+
+
 def plain_edited(rows):
     """Digest of each row's edited text, rows by descending id, equal ids by the hash of the text."""
     turn = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
