@@ -14,6 +14,7 @@ from opinara.llm import (
     quality_rules,
     secret_scan,
     toxicity,
+    vector_codes,
     weighted_sampling,
 )
 
@@ -35,10 +36,12 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_pii_crf": pii_crf.op9_pii_crf,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
     "pipeline": pipeline,
 }
 ORACLE = {
     "op3_mixing": mixing.OP3_SQL,
     "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
+    "op13_vector_codes": vector_codes.OP13_SQL,
 }
