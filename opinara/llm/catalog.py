@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from opinara.llm import (
     byte_bpe,
     chat_format,
+    collocations,
     html_extract,
     jaccard_join,
     mixing,
@@ -37,6 +38,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_pii_crf": pii_crf.op9_pii_crf,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_collocations": collocations.op11_collocations,
     "op12_chat_format": chat_format.op12_chat_format,
     "op13_vector_codes": vector_codes.op13_vector_codes,
     "pipeline": pipeline,
@@ -45,6 +47,7 @@ ORACLE = {
     "op3_mixing": mixing.OP3_SQL,
     "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
+    "op11_collocations": collocations.OP11_SQL,
     "op12_chat_format": chat_format.OP12_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }
