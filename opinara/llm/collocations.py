@@ -6,9 +6,10 @@ with the same two words make the count of that pair, and so on down to single wo
 shorter phrase is taken from the texts a second time.
 
 Nearly all windows of a corpus are rare, and a phrase below the least count is neither wanted nor part of a wanted one.
-So a window is also padded behind a word or pair that cannot reach that count: a first pass counts words and pairs by
-hash cell, whose totals are upper bounds, and marks the cells that reach it in a bitmap. Its length follows the input up
-to CELLS; beyond, cells fill up and fewer windows are cut short, and the result is the same.
+So a window is also padded where it would go on to words that cannot reach that count. A first pass counts words and
+pairs by hash cell, whose totals are upper bounds, and marks the cells that reach the least count in a bitmap; a second
+one does so for the runs of three and four words whose pairs are all marked. The bitmaps' length follows the input up to
+CELLS; beyond, cells fill up and fewer windows are cut short, and the result is the same.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ BLANK = b"\x20\x09"
 # Results do not depend on any of them.
 CELL_TEXT = 32
 CELLS = (1 << 16, 1 << 28)
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 BROADCAST_ROWS = 50_000
 SLICES = 64
 
@@ -123,16 +124,34 @@ def _hashes(values: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in values.to_pylist()), dtype=np.uint64, count=len(values))
 
 
-def _cells(found: Tokens, languages: pa.Array, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The cell of each word, of each pair with the next word, and whether there is such a pair."""
+def _cells(found: Tokens, languages: pa.Array, cells: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For runs of one to LONGEST words: the cell of the run that starts at each word, and whether there is such a run."""
     own = _hashes(found.words)[found.word] ^ _hashes(languages)[found.language]
-    pair = np.zeros(len(own), dtype=bool)
-    pair[:-1] = found.piece[1:] == found.piece[:-1]
-    both = own * np.uint64(0x9E3779B97F4A7C15)  # an odd factor, so that the order of the two words counts
-    both[:-1] ^= own[1:]
-    both ^= both >> np.uint64(32)
     mask = np.uint64(cells - 1)
-    return (own & mask).astype(np.int64), (both & mask).astype(np.int64), pair
+    run, there = own, np.ones(len(own), dtype=bool)
+    places, exists = [(run & mask).astype(np.int64)], [there]
+    for ahead in range(1, LONGEST):
+        run = run * np.uint64(0x9E3779B97F4A7C15)  # an odd factor, so that the order of the words counts
+        run[:-ahead] ^= own[ahead:]
+        run ^= run >> np.uint64(32)
+        there = np.zeros(len(own), dtype=bool)
+        there[:-ahead] = found.piece[ahead:] == found.piece[:-ahead]
+        places.append((run & mask).astype(np.int64))
+        exists.append(there)
+    return places, exists
+
+
+def _often(bitmap: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    return (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+
+
+def _within(inner: np.ndarray, size: int, longer: int) -> np.ndarray:
+    """Whether all runs of ``size`` words inside the run of ``longer`` words at each place fulfil ``inner``."""
+    result = inner.copy()
+    for ahead in range(1, longer - size + 1):
+        result[:-ahead] &= inner[ahead:]
+        result[-ahead:] = False
+    return result
 
 
 def _coded(languages: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -140,15 +159,23 @@ def _coded(languages: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def frequent_cells(docs: DataFrame, cells: int, least: int) -> bytes:
-    """A bitmap of the cells of words and pairs that occur ``least`` times or more; ``cells`` / 8 bytes."""
+def frequent_cells(docs: DataFrame, cells: int, least: int, sizes: tuple[int, ...], pairs: bytes | None = None) -> bytes:
+    """A bitmap (``cells`` / 8 bytes) of the cells of runs of the given sizes that occur ``least`` times or more.
+
+    With the bitmap of ``pairs``, only runs whose pairs are all marked there are counted.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, languages in blocks(batches):
             numbers, names = _coded(languages)
             found = tokens(texts, numbers)
-            words, pairs, pair = _cells(found, names, cells)
-            cell, n = np.unique(np.concatenate([words, pairs[pair]]), return_counts=True)
+            places, wanted = _cells(found, names, cells)
+            if shared.value is not None:
+                marked = wanted[1] & _often(np.frombuffer(shared.value, dtype=np.uint8), places[1])
+                wanted = [there & _within(marked, 2, size) for size, there in enumerate(wanted, 1)]
+            runs = [places[size - 1][wanted[size - 1]] for size in sizes]
+            cell, n = np.unique(np.concatenate(runs), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
 
     counted = docs.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -171,31 +198,28 @@ def frequent_cells(docs: DataFrame, cells: int, least: int) -> bytes:
     return bytes(bitmap)
 
 
-def counted_windows(docs: DataFrame, cells: int, bitmap: bytes) -> DataFrame:
+def counted_windows(docs: DataFrame, cells: int, bitmaps: tuple[bytes, bytes]) -> DataFrame:
     """(lang, w1..w4, n) of all padded windows; a word that is rare itself opens a window of padding."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    def often(field: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        return (field[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = np.frombuffer(shared.value, dtype=np.uint8)
+        short, long = (np.frombuffer(bits, dtype=np.uint8) for bits in shared.value)
         for texts, languages in blocks(batches):
             numbers, names = _coded(languages)
             found = tokens(texts, numbers)
             if not len(found.word):
                 continue
-            words, pairs, pair = _cells(found, names, cells)
-            goes_on = pair & often(field, pairs)
-            open_ = often(field, words)
+            places, there = _cells(found, names, cells)
+            open_ = _often(short, places[0])
             lead = [np.where(open_, found.word, -1)]
             for ahead in range(1, LONGEST):
-                # The pair that ends in the word ``ahead`` places on joins the window, if the window is still open.
-                link = np.zeros(len(words), dtype=bool)
-                link[: len(words) - ahead + 1] = goes_on[ahead - 1 :]
-                open_ = open_ & link
-                column = np.full(len(words), -1, dtype=np.int64)
-                column[: max(len(words) - ahead, 0)] = found.word[ahead:]
+                # The window goes on if the run up to that word, and all shorter runs in it, may be frequent.
+                size = ahead + 1
+                marked = [there[k - 1] & _often(short if k < 3 else long, places[k - 1]) for k in range(2, size + 1)]
+                for k, runs in enumerate(marked, 2):
+                    open_ = open_ & _within(runs, k, size)
+                column = np.full(len(open_), -1, dtype=np.int64)
+                column[: max(len(open_) - ahead, 0)] = found.word[ahead:]
                 lead.append(np.where(open_, column, -1))
             n_words = len(found.words) + 1
             key = found.language
@@ -220,7 +244,8 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     plain = docs.select(common.whole_text(text).alias("text"), F.coalesce(F.col(lang), F.lit(NO_LANGUAGE)).alias("lang"))
     length = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = 1 << min(max(int(length // CELL_TEXT), CELLS[0]) - 1, CELLS[1] - 1).bit_length()
-    windows = counted_windows(plain, cells, frequent_cells(plain, cells, least))
+    pairs = frequent_cells(plain, cells, least, (1, 2))
+    windows = counted_windows(plain, cells, (pairs, frequent_cells(plain, cells, least, (3, 4), pairs)))
     rolled = windows.rollup("lang", *_WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("_left_out"))
     # grouping_id has a bit for each column that is summed over, those of the last words lowest; a null word that is
     # not summed over is padding, and its phrase is counted as a shorter one.

@@ -73,8 +73,9 @@ def test_windows_cut_short_or_not_give_the_same(spark):
     rows = prose(2)
     docs = make(spark, rows).select("text", co.F.coalesce("lang", co.F.lit("und")).alias("lang"))
     cells = 1 << 16
-    short = co.counted_windows(docs, cells, co.frequent_cells(docs, cells, 4))
-    whole = co.counted_windows(docs, cells, b"\xff" * (cells // 8))
+    pairs = co.frequent_cells(docs, cells, 4, (1, 2))
+    short = co.counted_windows(docs, cells, (pairs, co.frequent_cells(docs, cells, 4, (3, 4), pairs)))
+    whole = co.counted_windows(docs, cells, (b"\xff" * (cells // 8),) * 2)
     assert short.count() < whole.count()
     counts = [
         {(r["lang"], *r[1:5]): r["n"] for r in w.rollup("lang", "w1", "w2").agg(co.F.sum("n").alias("n")).withColumn("w3", co.F.lit(0)).withColumn("w4", co.F.lit(0)).collect()}
