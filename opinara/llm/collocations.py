@@ -245,15 +245,18 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     length = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = 1 << min(max(int(length // CELL_TEXT), CELLS[0]) - 1, CELLS[1] - 1).bit_length()
     pairs = frequent_cells(plain, cells, least, (1, 2))
-    windows = counted_windows(plain, cells, (pairs, frequent_cells(plain, cells, least, (3, 4), pairs)))
-    rolled = windows.rollup("lang", *_WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("_left_out"))
-    # grouping_id has a bit for each column that is summed over, those of the last words lowest; a null word that is
-    # not summed over is padding, and its phrase is counted as a shorter one.
-    sizes = {(1 << (LONGEST - size)) - 1: size for size in range(LONGEST + 1)}
-    size = F.coalesce(*[F.when(F.col("_left_out") == bits, F.lit(k)) for bits, k in sizes.items()])
+    windows = stored(counted_windows(plain, cells, (pairs, frequent_cells(plain, cells, least, (3, 4), pairs))), "windows")
+    # The whole windows are counted already, so ROLLUP goes over their prefixes. grouping_id has a bit for each column that
+    # is summed over, those of the last words lowest; a null word that is not summed over is padding, and its phrase is
+    # counted as a shorter one.
+    prefixes = _WORDS[:-1]
+    rolled = windows.rollup("lang", *prefixes).agg(F.sum("n").alias("f"), F.grouping_id().alias("_left_out"))
+    size = F.coalesce(*[F.when(F.col("_left_out") == (1 << k) - 1, F.lit(len(prefixes) - k)) for k in range(len(prefixes) + 1)])
+    sized = rolled.withColumn("size", size).where(F.col("size").isNotNull()).withColumn(_WORDS[-1], F.lit(None).cast("string"))
+    columns = ["lang", "size", *_WORDS, "f"]
+    whole = windows.select("lang", F.lit(LONGEST).alias("size"), *_WORDS, F.col("n").alias("f"))
     last = F.coalesce(*[F.when(F.col("size") == k, F.col(_WORDS[k - 1]).isNotNull()) for k in range(1, LONGEST + 1)])
-    sized = rolled.where(F.col("_left_out") < (1 << LONGEST)).withColumn("size", size)
-    wanted = sized.where((F.col("size") == 0) | (last & (F.col("f") >= least)))
+    wanted = sized.select(columns).unionByName(whole).where((F.col("size") == 0) | (last & (F.col("f") >= least)))
     kept = stored(wanted.select("lang", "size", F.concat_ws(" ", *_WORDS).alias("phrase"), "f"), "phrase-counts")
     return kept.where("size > 0"), kept.where("size = 0").select("lang", F.col("f").alias("n"))
 
