@@ -1,11 +1,13 @@
-"""Exact k nearest neighbours by pivot blocks.
-
-Rows are sparse vectors (``idx``, ``val`` arrays). Every training row belongs to the block of its
-nearest pivot and of its distance ring around it. Distances obey the triangle inequality, so a
-query visits only blocks that can hold one of its k nearest rows; the bound is proven from block
-counts and radii, and nothing is approximated. Blocks are cut into chunks of bounded size, so a
-block holding a third of the table is spread over many tasks, and a task returns at most k rows
-per query instead of all pairs.
+"""Exact k nearest neighbours by blocks of rows.
+
+Rows are sparse vectors (``idx``, ``val`` arrays). Dense rows and rows with negative values belong to the block of
+their nearest pivot and of their distance ring around it: distances obey the triangle inequality, so a query visits
+only blocks that can hold one of its k nearest rows. Sparse rows without negative values go by inverted lists and
+smallest norms (``inverted``). Both bounds are proven, and nothing is approximated.
+
+Blocks are cut into chunks and queries into parts of bounded size, so a block holding a third of the table is spread
+over many tasks, and a task returns at most k rows per query instead of all pairs. A row is copied only to the parts
+that visit its block.
 """
 
 from __future__ import annotations
@@ -18,12 +20,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.rng import lehmer
+from opinara.operators import inverted
+from opinara.session import lookup_join, stored
 
 PIVOTS = 16
 RINGS = 8
 CHUNK_ROWS = 2048
 ASSIGNED = "row_id long, space int, fold int, y int, idx array<int>, val array<double>, pivot int, away double"
 FOUND = "row_id long, neighbor_id long, y int, distance double"
+# Rows with fewer terms than this part of all terms count as sparse.
+SPARSE = 0.25
 
 
 class _Postings:
@@ -81,13 +87,15 @@ def knn(
     exclude: str = "none",
     pivots: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    method: str | None = None,
 ) -> DataFrame:
     """(row_id, neighbor_id, y, distance, position) of the k nearest training rows of every query.
 
     Both tables hold row_id, idx, val; ``train`` may hold a payload ``y``. Rows are compared only
     within the same ``space`` (a class, say) if the tables have that column. ``exclude="self"``
     skips the row with the query's own id, ``"fold"`` skips rows of the query's own ``fold``.
-    Equal distances are ordered by neighbour id.
+    Equal distances are ordered by neighbour id. ``method`` is "pivots" or "inverted"; by default
+    sparse rows without negative values take the latter.
     """
     if p not in (1, 2):
         raise ValueError("p must be 1 or 2")
@@ -103,8 +111,18 @@ def knn(
             F.col("val").cast("array<double>").alias("val"),
         )
 
-    n_train, n_queries = train.count(), queries.count()
     train, queries = shaped(train), shaped(queries)
+    held, asked_for = _shape(train), _shape(queries)
+    n_train, n_queries = held["n"], asked_for["n"]
+    least = min(held["least"] or 0.0, asked_for["least"] or 0.0)
+    if method is None:
+        width = 1 + max(held["last"] or 0, asked_for["last"] or 0)
+        sparse = held["entries"] + asked_for["entries"] < SPARSE * width * (n_train + n_queries)
+        method = "inverted" if least >= 0 and sparse and pivots is None else "pivots"
+    if method == "inverted":
+        if least < 0:
+            raise ValueError("inverted lists need values of 0 or more")
+        return _inverted_knn(queries, train, n_queries, n_train, k, p, exclude, chunk_rows)
     if pivots is None:
         # Blocks smaller than a chunk only cost tasks, so a small table gets few pivots.
         pivots = max(1, min(PIVOTS, n_train // chunk_rows))
@@ -171,48 +189,101 @@ def knn(
         [tuple(int(v) for v in row) for row in blocks[[*keys, "block", "chunks"]].itertuples(index=False)],
         ", ".join(f"{c} int" for c in [*keys, "block", "chunks"]),
     )
-    here = placed.join(F.broadcast(table), keys).select(
+    routed = queries.drop("y").mapInPandas(
+        route, "row_id long, space int, fold int, idx array<int>, val array<double>, blocks array<int>"
+    )
+    part = F.pmod(lehmer(F.col("row_id"), 11), F.lit(query_chunks)).cast("int").alias("part")
+    visiting = stored(routed.select("row_id", "fold", "idx", "val", part, "blocks"), "knn-visits")
+    visits = visiting.select("part", F.explode("blocks").alias("block")).distinct().toDF("part", "block")
+    here = placed.join(F.broadcast(table), keys).join(visits, "block").select(
         F.col("row_id").alias("t_id"),
         "y",
+        F.col("fold").alias("t_fold"),
         F.col("idx").alias("t_idx"),
         F.col("val").alias("t_val"),
         "block",
         F.pmod(lehmer(F.col("row_id"), 7), F.col("chunks")).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1))).alias("part"),
-    )
-    routed = queries.drop("y").mapInPandas(
-        route, "row_id long, space int, fold int, idx array<int>, val array<double>, blocks array<int>"
+        "part",
     )
     asked = (
-        routed.withColumn("block", F.explode("blocks"))
+        visiting.withColumn("block", F.explode("blocks"))
         .join(F.broadcast(table.select("block", "chunks")), "block")
-        .select(
-            "row_id",
-            "idx",
-            "val",
-            "block",
-            F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-            F.pmod(lehmer(F.col("row_id"), 11), F.lit(query_chunks)).cast("int").alias("part"),
-        )
+        .select("row_id", "fold", "idx", "val", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "part")
+    )
+    return _nearest(asked, here, ["block", "chunk", "part"], k, p, exclude)
+
+
+def _shape(rows: DataFrame) -> dict:
+    """Rows, entries, the last term and the least value of a table of sparse rows."""
+    return rows.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.size("idx")), F.lit(0)).alias("entries"),
+        F.max(F.array_max("idx")).alias("last"),
+        F.min(F.array_min("val")).alias("least"),
+    ).first().asDict()
+
+
+def _inverted_knn(
+    queries: DataFrame, train: DataFrame, n_queries: int, n_train: int, k: int, p: int, exclude: str, chunk_rows: int,
+    hot_pairs: int = inverted.HOT_PAIRS,
+) -> DataFrame:
+    need = k + 1 if exclude == "self" else k
+    keys = ["space", "fold"] if exclude == "fold" else ["space"]
+    n_blocks, n_parts = max(1, -(-n_train // chunk_rows)), max(1, -(-n_queries // chunk_rows))
+    term = inverted.heaviest_term()
+
+    def grouped(name: str, groups: int) -> Column:
+        return F.pmod(lehmer(F.coalesce(term, F.lit(0)), 5), F.lit(groups)).cast("int").alias(name)
+
+    normed = stored(train.select("*", inverted.norm(p).alias("norm"), grouped("block", n_blocks)), "knn-rows")
+    light = stored(inverted.lightest(normed, need, keys), "knn-light")
+    asking = stored(queries.select("*", grouped("part", n_parts)), "knn-queries")
+    held = normed.join(light.select("row_id"), "row_id", "left_anti").where(F.size("idx") > 0)
+    seen = inverted.visits(held, asking, light, need, exclude == "fold", p, hot_pairs)
+    # The lightest rows are one more block, which every part visits.
+    lightest = normed.join(light.select("row_id"), "row_id", "left_semi").withColumn("block", F.lit(inverted.LIGHT))
+    parts = asking.groupBy("space", "part").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("shares"))
+    everywhere = parts.select("space", F.lit(inverted.LIGHT).alias("block"), "part")
+    every_row = held.unionByName(lightest)
+    chunks = every_row.groupBy("space", "block").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
+    cells = seen.unionByName(everywhere).join(chunks, ["space", "block"]).join(parts, ["space", "part"])
+    cells = stored(cells, "knn-cells")
+    # Chunks of a block and shares of a part are dealt out before rows meet them, so that no key of a join is hot.
+    dealt = lookup_join(every_row, chunks, ["space", "block"]).withColumn("chunk", F.pmod(lehmer(F.col("row_id"), 7), F.col("chunks")).cast("int"))
+    shared = lookup_join(asking, parts, ["space", "part"]).withColumn("share", F.pmod(lehmer(F.col("row_id"), 13), F.col("shares")).cast("int"))
+    numbers = {n: F.explode(F.sequence(F.lit(0), F.col(f"{n}s") - 1)).alias(n) for n in ("chunk", "share")}
+    all_cells = cells.select("space", "block", "part", "shares", numbers["chunk"]).select("space", "block", "part", "chunk", numbers["share"])
+    here = dealt.join(all_cells, ["space", "block", "chunk"]).select(
+        F.col("row_id").alias("t_id"), "y", F.col("fold").alias("t_fold"), F.col("idx").alias("t_idx"), F.col("val").alias("t_val"),
+        "space", "block", "chunk", "part", "share",
+    )
+    asked = shared.join(all_cells, ["space", "part", "share"]).select(
+        "row_id", "fold", "idx", "val", "space", "block", "chunk", "part", "share"
     )
-    skip_self = exclude == "self"
+    return _nearest(asked, here, ["space", "block", "chunk", "part", "share"], k, p, exclude)
+
+
+def _nearest(asked: DataFrame, here: DataFrame, where: list[str], k: int, p: int, exclude: str) -> DataFrame:
+    """The k nearest of ``here`` for each row of ``asked``, compared only where they meet in the cells ``where``."""
+    skip_self, skip_fold = exclude == "self", exclude == "fold"
 
     def search(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(asking) and len(held):
             postings = _Postings(list(held["t_idx"]), list(held["t_val"]))
-            ids, ys = held["t_id"].to_numpy(), held["y"].to_numpy()
-            for row_id, idx, val in zip(asking["row_id"], asking["idx"], asking["val"], strict=True):
+            ids, ys, folds = held["t_id"].to_numpy(), held["y"].to_numpy(), held["t_fold"].to_numpy()
+            for row_id, fold, idx, val in zip(asking["row_id"], asking["fold"], asking["idx"], asking["val"], strict=True):
                 away = postings.distances(idx, val, p)
                 if skip_self:
                     away = np.where(ids == row_id, np.inf, away)
+                elif skip_fold:
+                    away = np.where(folds == fold, np.inf, away)
                 best = np.lexsort((ids, away))[:k]
                 best = best[np.isfinite(away[best])]
                 found.append((np.full(len(best), row_id), ids[best], ys[best], away[best]))
         columns = [np.concatenate(part) for part in zip(*found, strict=True)] if found else [[], [], [], []]
         return pd.DataFrame(dict(zip(("row_id", "neighbor_id", "y", "distance"), columns, strict=True)))
 
-    where = ["block", "chunk", "part"]
     candidates = asked.groupBy(*where).cogroup(here.groupBy(*where)).applyInPandas(search, FOUND)
     nearest = Window.partitionBy("row_id").orderBy("distance", "neighbor_id")
     return candidates.withColumn("position", F.row_number().over(nearest)).where(F.col("position") <= k)
