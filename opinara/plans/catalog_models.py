@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import labels
 from opinara.functions import text as tx
-from opinara.operators import bayes, features, folds, neighbors, search, topics
+from opinara.operators import bayes, features, folds, neighbors, search, topics, trees
 from opinara.operators import metrics as mt
 from opinara.plans import classify
 from opinara.plans import sqltext as sq
@@ -15,7 +15,7 @@ from opinara.plans import topics as topic_plan
 from opinara.plans.catalog_balance import near_sql
 from opinara.plans.catalog_text import simplified_sql
 from opinara.plans.sqltext import RATED
-from opinara.session import materialise, new_path
+from opinara.session import materialise, new_path, small_values, stored
 from opinara.sources import files
 from opinara.sources.tables import rated_reviews, reviews, split_of, table
 
@@ -432,26 +432,65 @@ def evaluate_dev(spark, folder):
     return classify.evaluate(trained, rows.where("_split = 'dev'").drop("_split"))["report"]
 
 
-def _library_scores(spark: SparkSession, folder: str, algorithm: str, grid: dict, **changes) -> DataFrame:
+def _scores(spark: SparkSession, folder: str, algorithm: str, grid: dict, **changes) -> DataFrame:
     spec = _job(algorithm=algorithm, grid=grid, **changes)
     return classify.train(rated_reviews(spark, folder), spec).scores
 
 
 @query()
 def decision_tree(spark, folder):
-    return _library_scores(spark, folder, "decision_tree", {"max_depth": [5], "min_samples_leaf": [2], "min_samples_split": [2], "criterion": ["gini", "entropy"]})
+    """Scores of trees of any depth, all cells and folds grown at once."""
+    grid = {"max_depth": [None, 50], "min_samples_leaf": [1], "min_samples_split": [2, 10], "criterion": ["gini", "entropy"]}
+    return _scores(spark, folder, "decision_tree", grid)
 
 
 @query()
 def random_forest(spark, folder):
-    grid = {"n_estimators": [20], "max_depth": [8], "min_samples_leaf": [1], "min_samples_split": [2], "criterion": ["gini"]}
-    return _library_scores(spark, folder, "random_forest", grid)
+    """Scores of forests of 100 trees of any depth."""
+    grid = {"n_estimators": [100], "max_depth": [None], "min_samples_leaf": [1], "min_samples_split": [2, 10], "criterion": ["gini"]}
+    return _scores(spark, folder, "random_forest", grid)
+
+
+_STUMP_COLUMNS = ("l_quantity", "l_discount", "l_tax")
+_STUMP_ENTRIES = " UNION ALL ".join(f"SELECT {i} AS term, {c} AS value, l_linestatus AS y FROM lineitem" for i, c in enumerate(_STUMP_COLUMNS))
+
+
+@query(
+    f"""WITH entries AS ({_STUMP_ENTRIES}), names AS (SELECT DISTINCT l_linestatus AS y FROM lineitem),
+    by_value AS (SELECT term, value, y, count(*) AS n FROM entries GROUP BY ALL),
+    grid AS (SELECT v.term, v.value, y FROM (SELECT DISTINCT term, value FROM by_value) v, names),
+    sums AS (SELECT g.term, g.value, g.y, sum(coalesce(n, 0)) OVER (PARTITION BY g.term, g.y ORDER BY g.value) AS left_n,
+      sum(coalesce(n, 0)) OVER (PARTITION BY g.term, g.y) AS whole FROM grid g LEFT JOIN by_value b ON b.term = g.term AND b.value = g.value AND b.y = g.y),
+    sides AS (SELECT term, value, sum(left_n) AS n_left, sum(whole) AS n, sum(left_n * left_n) AS l, sum((whole - left_n) * (whole - left_n)) AS r FROM sums GROUP BY term, value),
+    cuts AS (SELECT *, round((l / CAST(n_left AS DOUBLE) + r / CAST(n - n_left AS DOUBLE)) / n, 10) AS score FROM sides WHERE n_left < n),
+    best AS (SELECT * FROM cuts ORDER BY score DESC, term, value LIMIT 1)
+    SELECT CASE WHEN e.value <= b.value THEN 'left' ELSE 'right' END AS side, b.term AS term, e.y AS label, count(*) AS n
+    FROM entries e JOIN best b ON e.term = b.term GROUP BY ALL"""
+)
+def tree_first_cut(spark, folder):
+    """The best cut of all line items by three columns, and the classes on its two sides."""
+    lines = table(spark, folder, "lineitem").select(F.monotonically_increasing_id().alias("row_id"), "l_linestatus", *_STUMP_COLUMNS)
+    names = small_values(lines, "l_linestatus")
+    values = F.array(*[F.col(c).cast("double") for c in _STUMP_COLUMNS])
+    rows = neighbors.dense_vectors(lines, values).select(
+        "row_id", F.lit(0).alias("fold"), bayes.label_index(F.col("l_linestatus"), names).alias("y"), "idx", "val"
+    )
+    rows = stored(rows, "lines")
+    coded = trees.coded(rows, trees.fit_edges(rows), ["row_id", "fold", "y"], len(_STUMP_COLUMNS))
+    families = [trees.Family(max_depth=1)]
+    # Every row is in one node, which is cut by the distributed rule whatever its size.
+    state = trees.start(stored(coded, "codes"), families, [None])
+    nodes = trees.grow(state, families, len(names), local_entries=0)[0]
+    cut = nodes.where("term IS NOT NULL").select("tree", "node", "term", "code")  # a row for each inner node: one
+    sided = state.join(F.broadcast(cut), ["tree", "node"])
+    side = F.when(trees.node_code() <= F.col("code"), "left").otherwise("right").alias("side")
+    return sided.groupBy(side, "term", F.get(F.array(*map(F.lit, names)), F.col("y")).alias("label")).agg(F.count("*").alias("n"))
 
 
 @query()
 def logistic_regression(spark, folder):
     grid = {"C": [1.0], "l1_ratio": [0, 1], "solver": ["saga"], "max_iter": [20]}
-    return _library_scores(spark, folder, "logistic_regression", grid)
+    return _scores(spark, folder, "logistic_regression", grid)
 
 
 # ---- topics --------------------------------------------------------------------------------

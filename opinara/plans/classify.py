@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 from opinara.functions import text as tx
 from opinara.functions.labels import rating_to_pnn
 from opinara.functions.numbers import quoted
-from opinara.operators import bayes, features, mlmodels, neighbors, prepare, sampling, search
+from opinara.operators import bayes, features, mlmodels, neighbors, prepare, sampling, search, trees
 from opinara.operators.distributions import feature_roles
 from opinara.operators.folds import stratified_folds
 from opinara.operators.metrics import classification_report, confusion, confusion_matrix, f1_micro_macro
@@ -57,6 +57,8 @@ class JobSpec:
     drop_features: tuple = ()
     min_df: int = 5
     max_df: float = 0.8
+    # Fit trees and logistic regression by pyspark.ml; ``allow_approx`` then takes settings it has no exact match for.
+    library: bool = False
     allow_approx: bool = False
     # Learn the fills of missing values on every table anew instead of on the training table alone.
     refit_on_input: bool = False
@@ -88,6 +90,15 @@ class Prepared:
         return len(self.plain_columns) + (self.vocabulary.size if self.vocabulary else 0)
 
 
+@dataclass
+class TreeModel:
+    """Nodes of all trees of the best cell, and the edges that turn values into codes."""
+
+    nodes: DataFrame
+    edges: DataFrame
+    trees: int
+
+
 @dataclass
 class Trained:
     prepared: Prepared
@@ -317,6 +328,8 @@ def train(df: DataFrame, spec: JobSpec) -> Trained:
         scores = search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells)
         scores = stored(scores, "scores")
         best = cells[search.best_cell(scores).first()["cell"]]
+    elif _by_trees(spec):
+        scores, best, model = _train_trees(rows, prepared, cells, labels)
     else:
         assembled = as_assembled(rows, prepared).persist()
         scores = mlmodels.grid_search(assembled, spec.algorithm, spec.grid, spec.average, allow_approx=spec.allow_approx)
@@ -326,6 +339,53 @@ def train(df: DataFrame, spec: JobSpec) -> Trained:
     return Trained(prepared, labels, best, scores, model)
 
 
+# Trees that are grown in one pass; each of them has its own copy of its rows.
+PASS_TREES = 512
+
+
+def _by_trees(spec: JobSpec) -> bool:
+    return spec.algorithm in ("decision_tree", "random_forest") and not spec.library
+
+
+def tree_search(coded: DataFrame, algorithm: str, cells: list[dict], n_terms: int, labels: list, n_folds: int = 5) -> DataFrame:
+    """(row_id, cell, prediction) of every row by the trees of every cell that were grown without its fold."""
+    found, families, held = None, [], []
+    every = [(i, trees.family_of(algorithm, cell, n_terms), fold) for i, cell in enumerate(cells) for fold in range(n_folds)]
+    while every:
+        batch = [every.pop(0)]
+        while every and sum(f.trees for _, f, _ in batch) + every[0][1].trees <= PASS_TREES:
+            batch.append(every.pop(0))
+        families, held = [f for _, f, _ in batch], [fold for *_, fold in batch]
+        shares = trees.grow(trees.start(coded, families, held), families, len(labels))[1]
+        cell = F.get(F.array(*[F.lit(i) for i, *_ in batch]), F.floor(F.col("tree") / trees.TREES).cast("int"))
+        votes = stored(trees.voted(shares, cell, len(labels)), "tree-votes")
+        found = votes if found is None else found.unionByName(votes)
+    return found.select("row_id", F.col("family").alias("cell"), _class_name(labels).alias("prediction"))
+
+
+def _class_name(labels: list) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in labels]), F.col("class"))
+
+
+def _train_trees(rows: DataFrame, prepared: Prepared, cells: list[dict], labels: list) -> tuple[DataFrame, dict, TreeModel]:
+    spec = prepared.spec
+    held = stored(as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)), "vectors")
+    edges, _ = materialise(trees.fit_edges(held))
+    coded = stored(trees.coded(held, edges, ["row_id", "fold", "y"], prepared.n_terms), "codes")
+    predictions = tree_search(coded, spec.algorithm, cells, prepared.n_terms, labels).join(held.select("row_id", "fold", "label"), "row_id")
+    scores = stored(search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells), "scores")
+    best = cells[search.best_cell(scores).first()["cell"]]
+    family = trees.family_of(spec.algorithm, best, prepared.n_terms)
+    nodes, _ = trees.grow(trees.start(coded, [family], [None]), [family], len(labels))
+    return scores, best, TreeModel(stored(nodes, "trees"), edges, family.trees)
+
+
+def _predict_trees(model: TreeModel, rows: DataFrame, prepared: Prepared, labels: list) -> DataFrame:
+    asked = trees.coded(as_vectors(rows, prepared), model.edges, ["row_id"], prepared.n_terms)
+    shares = trees.predict(model.nodes, stored(asked, "codes"), list(range(model.trees)))
+    return trees.voted(shares, F.lit(0), len(labels)).select("row_id", _class_name(labels).alias("prediction"))
+
+
 def knn_predictions(queries: DataFrame, held: DataFrame, cells: list[dict], labels: list, exclude: str = "none") -> DataFrame:
     """(row_id, cell, prediction) of every grid cell; one neighbour search per p serves all k and weights."""
     result = None
@@ -352,6 +412,8 @@ def predict(trained: Trained, df: DataFrame) -> DataFrame:
         )
     elif algorithm == "kNN":
         done = knn_predictions(as_vectors(rows, prepared), trained.model, [trained.cell], trained.labels)
+    elif _by_trees(prepared.spec):
+        done = _predict_trees(trained.model, rows, prepared, trained.labels)
     else:
         done = mlmodels.predict_model(trained.model, as_assembled(rows, prepared), trained.labels)
     # A source column called like one of the two stays as it is under another name.
@@ -395,6 +457,11 @@ def save(trained: Trained, path: str) -> None:
     elif algorithm == "kNN":
         trained.model.write.mode("overwrite").parquet(f"{path}/model")
         term_numbers(prepared).write.mode("overwrite").parquet(f"{path}/term_ids")
+    elif _by_trees(prepared.spec):
+        state["trees"] = trained.model.trees
+        trained.model.nodes.write.mode("overwrite").parquet(f"{path}/model")
+        trained.model.edges.write.mode("overwrite").parquet(f"{path}/edges")
+        term_numbers(prepared).write.mode("overwrite").parquet(f"{path}/term_ids")
     else:
         trained.model.write().overwrite().save(f"{path}/model")
     if prepared.vocabulary is not None:
@@ -418,6 +485,9 @@ def load(spark: SparkSession, path: str) -> Trained:
     elif spec.algorithm == "kNN":
         model = spark.read.parquet(f"{path}/model")
         prepared.term_ids = spark.read.parquet(f"{path}/term_ids")
+    elif _by_trees(spec):
+        model = TreeModel(spark.read.parquet(f"{path}/model"), spark.read.parquet(f"{path}/edges"), state["trees"])
+        prepared.term_ids = spark.read.parquet(f"{path}/term_ids")
     else:
         model = ML_MODELS[spec.algorithm].load(f"{path}/model")
     return Trained(prepared, state["labels"], state["cell"], spark.read.parquet(f"{path}/scores"), model)
