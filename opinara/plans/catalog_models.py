@@ -440,7 +440,7 @@ def _scores(spark: SparkSession, folder: str, algorithm: str, grid: dict, **chan
 @query()
 def decision_tree(spark, folder):
     """Scores of trees of any depth, all cells and folds grown at once."""
-    grid = {"max_depth": [None, 50], "min_samples_leaf": [1], "min_samples_split": [2, 10], "criterion": ["gini", "entropy"]}
+    grid = {"max_depth": [None, 50], "min_samples_leaf": [1], "min_samples_split": [10], "criterion": ["gini", "entropy"]}
     return _scores(spark, folder, "decision_tree", grid)
 
 
