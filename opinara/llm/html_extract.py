@@ -14,13 +14,16 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.llm import common
+from opinara.session import lookup_join, new_path, stored
 
-# A path wins if it has this share of its host's votes; a page votes for its best few containers.
+# A path wins if it has this share of its host's best path and this one of all the host's votes, so a host has at most
+# 1 / CONSENSUS winners; a page votes for its best few containers.
 WINNING_SHARE = 0.15
+CONSENSUS = 0.01
 VOTES = 3
 # Largest table of winners, in rows and characters, that is broadcast; a larger one is joined by a shuffle.
 BROADCAST = (50_000, 20_000_000)
@@ -65,7 +68,10 @@ BAD_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion replies reply respond reactions".split())
 # An element named like a sidebar or the like that holds more of a page's text than this is its layout.
 LAYOUT_SHARE = 0.6
+# Inside an article, an element of a compound name that holds as many characters, nearly all outside links, is part of it.
+SECTION_CHARS, SECTION_LINKED = 400, 0.1
 GOOD_WORDS = frozenset("article articlebody body content entry main post story text prose".split())
+HEAD_END = re.compile(r"<body(?=[\s>/])", re.IGNORECASE)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 
@@ -73,12 +79,16 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 class Node:
     parent: int
     tag: str
-    path: str
+    step: str
     bad: bool
     good: bool
-    score: float = 0.0
     # Bad by its class alone: layouts are named after their sidebars and menus, too.
     soft: bool = False
+    # The number of the path, how many elements from the root down are bad, and the nearest element that may be an article.
+    path: int = 0
+    bads: int = 0
+    holder: int = 0
+    score: float = 0.0
 
 
 @dataclass
@@ -92,6 +102,36 @@ class Block:
 class Page:
     nodes: list[Node] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
+    # Numbers of the paths by (number of the path above, step), and the other way round.
+    paths: dict[tuple[int, str], int] = field(default_factory=dict)
+    steps: list[tuple[int, str]] = field(default_factory=lambda: [(-1, "")])
+
+    def path_of(self, number: int) -> str:
+        steps = []
+        while number > 0:
+            number, step = self.steps[number]
+            steps.append(step)
+        return "/".join(reversed(steps))
+
+    def number_of(self, path: str) -> int | None:
+        number: int | None = 0
+        for step in path.split("/"):
+            number = self.paths.get((number, step))
+            if number is None:
+                return None
+        return number
+
+    def settle(self) -> None:
+        """Fill in what elements know of those around them."""
+        for number, node in enumerate(self.nodes[1:], 1):
+            up = self.nodes[node.parent]
+            key = (up.path, node.step)
+            if key not in self.paths:
+                self.paths[key] = len(self.steps)
+                self.steps.append(key)
+            node.path = self.paths[key]
+            node.bads = up.bads + node.bad
+            node.holder = up.holder if node.tag in TEXTUAL or node.tag == "html" else number
 
 
 def words_of(name: str) -> list[str]:
@@ -122,10 +162,30 @@ def parse(source: str) -> Page:
     """Elements and text blocks of a page, however broken it is; what raw elements and comments hold is left out."""
     page = Page([Node(-1, "", "", False, False)])
     stack, pending, linked, links, at = [0], [], 0, 0, 0
+    opened: dict[str, int] = {}
+    implied = not HEAD_END.search(source)
+
+    def push(tag: str, step: str, bad: bool, good: bool, soft: bool) -> None:
+        page.nodes.append(Node(stack[-1], tag, step, bad, good, soft))
+        stack.append(len(page.nodes) - 1)
+        opened[tag] = opened.get(tag, 0) + 1
+
+    def cut(depth: int) -> None:
+        for node in stack[depth:]:
+            opened[page.nodes[node].tag] -= 1
+        del stack[depth:]
+
+    def body() -> None:
+        nonlocal implied
+        if implied:
+            implied = False
+            push("body", "body", False, False, False)
 
     def text(piece: str) -> None:
         nonlocal linked
         if piece:
+            if implied and not piece.isspace():
+                body()
             pending.append(piece)
             if links:
                 linked += len(piece)
@@ -140,9 +200,11 @@ def parse(source: str) -> Page:
         linked = 0
 
     def close(tag: str, stop: frozenset[str] = frozenset()) -> None:
+        if not opened.get(tag):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if page.nodes[stack[depth]].tag == tag:
-                del stack[depth:]
+                cut(depth)
                 return
             if page.nodes[stack[depth]].tag in stop:
                 return
@@ -159,9 +221,11 @@ def parse(source: str) -> Page:
         end, written = bool(m.group(1) or m.group(4)), m.group(3) or m.group(6) or ""
         if tag in RAW:
             if not end and not written.endswith("/"):
-                over = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
-                if tag == "head" and not over:
-                    continue
+                over = re.compile(rf"</{re.escape(tag)}(?=[\s>/]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
+                if tag == "head":  # its end tag may be left out: the body closes it
+                    first = HEAD_END.search(source, at)
+                    if not over or first and first.start() < over.start():
+                        continue
                 at = over.end() if over else len(source)
             continue
         if tag == "a":
@@ -175,69 +239,59 @@ def parse(source: str) -> Page:
             close(tag, LISTS if tag in CLOSED_BY and tag != "p" else frozenset())
             continue
         links = 0
+        if tag not in ("html", "body"):
+            body()
         while len(stack) > 1 and tag in CLOSED_BY.get(page.nodes[stack[-1]].tag, ()):
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in ("li", "dt", "dd", "tr", "td", "th"):
             for closed in ("li",) if tag == "li" else ("dt", "dd") if tag in ("dt", "dd") else ("td", "th", "tr")[: 3 if tag == "tr" else 2]:
                 close(closed, LISTS)
-        step, bad, good, soft = describe(tag, written)
-        up = page.nodes[stack[-1]]
-        page.nodes.append(Node(stack[-1], tag, f"{up.path}/{step}" if up.path else step, bad, good, soft=soft))
-        stack.append(len(page.nodes) - 1)
+        push(tag, *describe(tag, written))
     flush()
-    forgive_layout(page)
+    forgive(page)
+    page.settle()
     return page
 
 
-def forgive_layout(page: Page) -> None:
-    """Elements that are bad by their class alone are not, if they hold most of the page's text."""
+def forgive(page: Page) -> None:
+    """Elements that are bad by their class alone are not, if they hold most of the page's text, or, of a compound name
+    inside an article, a long running text."""
     if not any(node.soft for node in page.nodes):
         return
-    held: dict[int, int] = {}
+    held, linked = [0] * len(page.nodes), [0] * len(page.nodes)
     for block in page.blocks:
-        node = block.node
-        while node > 0:
-            if page.nodes[node].soft:
-                held[node] = held.get(node, 0) + len(block.text) - block.linked
-            node = page.nodes[node].parent
-    total = sum(len(block.text) - block.linked for block in page.blocks)
-    for node, size in held.items():
-        if size > LAYOUT_SHARE * total:
-            page.nodes[node].bad = False
-
-
-def outside(page: Page, node: int, top: int = -1) -> bool:
-    """Whether a block there is no part of an article that ``top`` holds: some element between is named so."""
-    while node > 0 and node != top:
-        if page.nodes[node].bad:
-            return True
-        node = page.nodes[node].parent
-    return False
-
-
-def holders(page: Page, block: Block) -> Iterator[int]:
-    """The elements around a block that could be an article, innermost first."""
-    node = block.node
-    while node > 0:
-        if page.nodes[node].tag not in TEXTUAL and page.nodes[node].tag != "html":
-            yield node
-        node = page.nodes[node].parent
-
-
-def scores(page: Page) -> dict[str, float]:
+        held[block.node] += len(block.text)
+        linked[block.node] += block.linked
+    inside = [False] * len(page.nodes)
+    for number, node in enumerate(page.nodes[1:], 1):
+        inside[number] = inside[node.parent] or page.nodes[node.parent].good
+    for number in range(len(page.nodes) - 1, 0, -1):
+        held[page.nodes[number].parent] += held[number]
+        linked[page.nodes[number].parent] += linked[number]
+    for number, node in enumerate(page.nodes):
+        if node.soft:
+            layout = held[number] - linked[number] > LAYOUT_SHARE * (held[0] - linked[0])
+            section = "-" in node.step and inside[number] and held[number] >= SECTION_CHARS
+            if layout or section and linked[number] <= SECTION_LINKED * held[number]:
+                node.bad = False
+
+
+def scores(page: Page) -> dict[int, float]:
     """Score of each generalised path: running text, in full for the nearest container and in part further up."""
-    found: dict[str, float] = {}
+    found: dict[int, float] = {}
     for block in page.blocks:
-        if outside(page, block.node):
+        if page.nodes[block.node].bads:
             continue
         worth = (len(block.text) - block.linked) * (1 + min(block.text.count(",") + block.text.count("."), 10) / 10)
         if page.nodes[block.node].tag not in TEXTUAL:
             worth *= 0.7
-        for level, node in enumerate(holders(page, block)):
-            if level > 3:
+        holder = page.nodes[block.node].holder
+        for level in range(4):
+            if holder <= 0:
                 break
-            weight = 2.0 if page.nodes[node].good else 1.0
-            page.nodes[node].score += worth * weight / (1 + level)
+            node = page.nodes[holder]
+            node.score += worth * (2.0 if node.good else 1.0) / (1 + level)
+            holder = page.nodes[node.parent].holder
     for node in page.nodes:
         if node.score > 0:
             found[node.path] = found.get(node.path, 0.0) + node.score
@@ -246,28 +300,30 @@ def scores(page: Page) -> dict[str, float]:
 
 def ballot(page: Page) -> list[tuple[str, float]]:
     """The page's best paths with their shares of the best one's score."""
-    found = sorted(scores(page).items(), key=lambda x: (-x[1], x[0]))[:VOTES]
+    every = scores(page)
+    least = sorted(every.values())[-VOTES:][:1]
+    named = [(page.path_of(number), score) for number, score in every.items() if score >= least[0]]
+    found = sorted(named, key=lambda x: (-x[1], x[0]))[:VOTES]
     return [(path, score / found[0][1]) for path, score in found]
 
 
 def article(page: Page, winners: Iterable[str]) -> str:
     """The text under the first winning path that the page has, else under its best container."""
-    paths = {node.path for node in page.nodes}
-    chosen = next((w for w in winners if w in paths), None)
+    chosen = next((number for w in winners if (number := page.number_of(w))), None)
     if chosen is None:
-        chosen = next((path for path, _ in ballot(page)), None)
+        chosen = next((page.number_of(path) for path, _ in ballot(page)), None)
     if chosen is None:
         return ""
-    tops = {n for n, node in enumerate(page.nodes) if node.path == chosen}
+    tops = [0] * len(page.nodes)  # the nearest element of that path around each
+    for number, node in enumerate(page.nodes[1:], 1):
+        tops[number] = number if node.path == chosen else tops[node.parent]
     lines = []
     for block in page.blocks:
-        node = block.node
-        while node > 0 and node not in tops:
-            node = page.nodes[node].parent
-        if node <= 0 or outside(page, node, -1):
+        node, top = page.nodes[block.node], page.nodes[tops[block.node]]
+        if tops[block.node] == 0 or top.bads:
             continue
-        title = page.nodes[block.node].tag in HEADINGS and page.nodes[page.nodes[block.node].parent].tag == "header"
-        if outside(page, block.node, node) and not title:
+        title = node.tag in HEADINGS and page.nodes[node.parent].tag == "header"
+        if node.bads and not title:
             continue
         lines.append(block.text)
     return "\n".join(lines)
@@ -311,8 +367,10 @@ def votes(pages: DataFrame, html: str, url: str) -> DataFrame:
 
 def winning_paths(counted: DataFrame) -> DataFrame:
     """For each host its winning paths, most votes first (equal votes: the longer path, then by name)."""
-    ranked = counted.withColumn("_all", F.max("votes").over(Window.partitionBy("host")))
-    ranked = ranked.where(F.col("votes") >= WINNING_SHARE * F.col("_all"))
+    counted = stored(counted, "html-votes")
+    whole = counted.groupBy("host").agg(F.max("votes").alias("_best"), F.sum("votes").alias("_all"))
+    ranked = lookup_join(counted, whole, ["host"], max_rows=BROADCAST[0])
+    ranked = ranked.where((F.col("votes") >= WINNING_SHARE * F.col("_best")) & (F.col("votes") >= CONSENSUS * F.col("_all")))
     order = F.struct((-F.round("votes", 6)).alias("v"), (-F.length("path")).alias("n"), F.col("path").alias("p"))
     best = F.transform(F.sort_array(F.collect_list(order)), lambda o: o["p"])
     return ranked.groupBy("host").agg(best.alias("_winners"))
@@ -325,8 +383,6 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", text: str =
     repeated pages give the same text; pages are read whole; a column named ``text`` is replaced; an empty table stays
     empty. A host's winners depend on all its pages.
     """
-    from opinara.session import new_path
-
     kept = [f for f in pages.schema.fields if f.name != text or f.name == html]
     path = new_path(pages.sparkSession, "html-winners")
     winning_paths(votes(pages, html, url)).write.parquet(path)
