@@ -2,16 +2,22 @@
 
 The field scores whole segments: shape, digit groups, checksums, neighbours and cue words of a candidate decide on its
 type together. Dynamic programming over segments of bounded length picks boundaries and types at once, within windows
-around digits, at-signs and their written-out forms, outside of which no segment can score. It is trained here, by
-gradient ascent on the likelihood, on windows around base matches of a bounded sample and on written variants of them
-(other separators, spelled-out signs) among look-alikes that are no personal data.
+around digits, at-signs and their written-out forms, outside of which no segment can score. It runs over a stretch of
+any length in blocks that end where no candidate crosses, which gives the same as one run, and scores segments that
+differ in their digits alone once.
+
+The field is trained here, by gradient ascent on the likelihood, on windows around base matches of a bounded sample and
+on written variants of them (other separators, spelled-out signs) among look-alikes that are no personal data. Windows
+with further long numbers, of which the base patterns cannot tell what they are, are left out.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import deque
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +33,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+LONG_NUMBER = re.compile(r"[0-9](?:[().\x20-]*[0-9]){6,}")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 
@@ -43,6 +50,9 @@ DOT = re.compile(r"\s*(?:[\[({]\s?dot\s?[\])}]|\bdot\b)\s*", re.IGNORECASE)
 DOT_BEFORE = re.compile(r"\w\s*(?:[\[({]\s?dot\s?[\])}]|\bdot)\s*\Z", re.IGNORECASE)
 # Characters of context around a seed, and the most tokens of a segment.
 REACH, LONGEST = 48, 18
+# Tokens after which a block of the dynamic programme may end, and scores of segments that are kept. Results do not
+# depend on them.
+BLOCK_TOKENS, KEPT_SCORES = 4_096, 200_000
 # Documents that training windows are taken from at most, windows from them, and written examples.
 SAMPLE_DOCS, SAMPLE_WINDOWS, EXAMPLES, EPOCHS = 200, 150, 320, 6
 CUES = {
@@ -52,6 +62,7 @@ CUES = {
     "phone": ("phone", "tel", "call", "mobile", "fax"),
 }
 CUE_OF = {word: kind for kind, words in CUES.items() for word in words}
+CUE_TOKENS = 6
 
 
 def digits_of(text: str) -> str:
@@ -103,6 +114,27 @@ def bucket(n: int, bounds: tuple[int, ...]) -> int:
     return sum(n > b for b in bounds)
 
 
+def cue_before(tokens: Iterable[str]) -> str:
+    """The kind that the nearest of the tokens before a segment hints at."""
+    return next((CUE_OF[t.lower()] for t in reversed(list(tokens)) if t.lower() in CUE_OF), "")
+
+
+MASK = str.maketrans("0123456789", "9999999999")
+QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+
+
+def segment_key(text: str, start: int, end: int, cue: str) -> tuple:
+    """What the features of a span depend on: the span and what stands around it with all digits alike, and the checks
+    that look at the digits themselves."""
+    span = text[start:end]
+    digits = digits_of(span)
+    luhns = luhn(digits) if 13 <= len(digits) <= 19 else None
+    parts = small_parts(span) if QUAD.fullmatch(span) else None
+    signs = ("@" in span or "at" in span.lower()) and AT.search(span) is not None
+    around = (text[max(0, start - 12) : start], text[end : end + 24]) if signs else (text[max(0, start - 1) : start], text[end : end + 2])
+    return span.translate(MASK), around[0].translate(MASK), around[1].translate(MASK), cue, luhns, parts
+
+
 def segment_features(text: str, start: int, end: int, cue: str) -> list[str]:
     """Features of the whole span text[start:end]; ``cue`` is the kind that a word shortly before it hints at."""
     span = text[start:end]
@@ -158,15 +190,17 @@ def window(text: str) -> Window:
     tokens = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
     blank = [t.isspace() for t in tokens]
     seeds = [0] * (len(bounds))
+    token = 0
     for m in SEED.finditer(text):
-        token = int(np.searchsorted(bounds, m.start(), side="right")) - 1
+        while bounds[token + 1] <= m.start():
+            token += 1
         seeds[token] = 1
     total = np.concatenate([[0], np.cumsum(seeds)]).tolist()
     spans, features = [], []
     for i, token in enumerate(tokens):
         if blank[i]:
             continue
-        cue = next((CUE_OF[t.lower()] for t in reversed(tokens[max(0, i - 6) : i]) if t.lower() in CUE_OF), "")
+        cue = cue_before(tokens[max(0, i - CUE_TOKENS) : i])
         for j in range(i + 1, min(i + LONGEST, len(tokens)) + 1):
             if not blank[j - 1] and total[j] > total[i] and "\n" not in token:
                 spans.append((i, j))
@@ -180,6 +214,7 @@ class Field:
     def __init__(self) -> None:
         self.index: dict[str, int] = {}
         self.weights = np.zeros((1, len(KINDS)))
+        self.kept: dict[tuple, tuple[float, int]] = {}
 
     def scores(self, features: list[list[str]]) -> np.ndarray:
         """Rows of segments, columns of kinds; a segment of a shape never met starts from the bias alone."""
@@ -196,6 +231,7 @@ class Field:
                     self.index.setdefault(f, len(self.index) + 1)
         self.weights = np.zeros((len(self.index) + 1, len(KINDS)))
         self.weights[0] = -3.0
+        self.kept.clear()
         squares = np.full_like(self.weights, 1e-2)
         order = random.Random(11)
         rows = {id(w): [np.array([0, *(self.index[f] for f in row)]) for row in w.features] for w, _ in examples}
@@ -266,6 +302,82 @@ class Field:
             j = i
         return found[::-1]
 
+    def score(self, text: str, start: int, end: int, cue: str) -> tuple[float, int]:
+        """The best kind of a segment and its score."""
+        key = segment_key(text, start, end, cue)
+        found = self.kept.get(key)
+        if found is None:
+            if len(self.kept) >= KEPT_SCORES:
+                self.kept.clear()
+            row = self.scores([segment_features(text, start, end, cue)])[0]
+            found = self.kept[key] = (float(row.max()), int(row.argmax()))
+        return found
+
+    def decode(self, text: str, block: int = BLOCK_TOKENS) -> Iterator[Span]:
+        """The spans of ``best(window(text))``, of a text of any length.
+
+        Tokens come one by one; a block ends at a token bound that no candidate of positive score crosses, which is
+        known LONGEST tokens later.
+        """
+        seeds = SEED.finditer(text)
+        seed = next(seeds, None)
+        # The last tokens: start, whether blank, number of seed tokens up to it, cue before it.
+        recent: deque[tuple[int, bool, int, str]] = deque(maxlen=LONGEST)
+        cues: deque[str] = deque(maxlen=CUE_TOKENS)
+        value, choice, bound = [0.0], [None], [0]
+        lowest: deque[int] = deque(maxlen=LONGEST)  # by end, the first start of a candidate, as a place in the block
+        seen = 0
+        for m in TOKEN.finditer(text):
+            begin, end = m.span()
+            token = m.group()
+            blank = token.isspace()
+            recent.append((begin, blank, seen, "" if blank else cue_before(cues)))
+            cues.append(token)
+            if seed is not None and seed.start() < end:
+                seen += 1
+                while seed is not None and seed.start() < end:
+                    seed = next(seeds, None)
+            value.append(value[-1])
+            choice.append(None)
+            bound.append(end)
+            here = len(value) - 1
+            first = here
+            if not blank and seen > recent[0][2]:
+                for back in range(len(recent)):
+                    start, empty, before, cue = recent[-1 - back]
+                    if empty or before == seen:
+                        continue
+                    top, kind = self.score(text, start, end, cue)
+                    if top > 0:
+                        place = here - 1 - back
+                        first = place
+                        if place >= 0 and value[place] + top > value[here]:
+                            value[here], choice[here] = value[place] + top, (place, kind)
+            lowest.append(first)
+            if here >= block and len(lowest) == LONGEST:
+                cut = here - LONGEST + 1
+                if min(list(lowest)[1:]) >= cut:
+                    yield from self._spans(choice[: cut + 1], bound)
+                    base = value[cut]
+                    value = [v - base for v in value[cut:]]
+                    choice = [c if c is None else (c[0] - cut, c[1]) for c in choice[cut:]]
+                    choice[0] = None
+                    bound = bound[cut:]
+                    lowest = deque((x - cut for x in lowest), maxlen=LONGEST)
+        yield from self._spans(choice, bound)
+
+    @staticmethod
+    def _spans(choice: list, bound: list[int]) -> list[Span]:
+        found, j = [], len(choice) - 1
+        while j > 0:
+            if choice[j] is None:
+                j -= 1
+                continue
+            i, kind = choice[j]
+            found.append((KINDS[kind], bound[i], bound[j]))
+            j = i
+        return found[::-1]
+
 
 def stretches(text: str) -> Iterator[tuple[int, int]]:
     """Stretches around seeds that hold all context a segment can use, cut at white space."""
@@ -294,14 +406,29 @@ def widened(text: str, start: int, end: int) -> tuple[int, int]:
     return left, right
 
 
+def merged(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def finder(trained: Field):
     def find(text: str) -> tuple[list[Span], list[Span]]:
         base = list(base_spans(text))
-        more, taken = set(), sorted((a, b) for _, a, b in base)
+        more = set()
+        starts, ends = merged(base)
         for start, end in stretches(text):
-            for kind, a, b in trained.best(window(text[start:end])):
+            for kind, a, b in trained.decode(text[start:end]):
                 a, b = a + start, b + start
-                if not any(x < b and a < y for x, y in taken):
+                before = bisect_left(starts, b) - 1  # the last covered stretch that begins before the span ends
+                if before < 0 or ends[before] <= a:
                     more.add((kind, a, b))
         return base, list(more)
 
@@ -379,6 +506,8 @@ def fit(docs: DataFrame, text: str = "text") -> Field:
         for start, end in stretches(whole):
             if len(examples) < SAMPLE_WINDOWS and end - start < 400:
                 own = {(k, a - start, b - start) for k, a, b in gold if start <= a and b <= end}
+                if any(not any(a <= m.start() and m.end() <= b for _, a, b in own) for m in LONG_NUMBER.finditer(whole[start:end])):
+                    continue
                 examples.append((window(whole[start:end]), own))
     words = [w for w in words if w.isalpha()]
     examples += [(window(t), gold) for t, gold in written_examples(rng, words, EXAMPLES)]
