@@ -67,7 +67,7 @@ def test_query_takes_extra_measures_in_branches_only(spark, tmp_path):
 
 
 def test_cheap_rules_that_reject_much_come_first_each_time(spark):
-    docs = spark.createDataFrame([(i, "word " * 200 + ("#" * 400 if i % 2 else "") + ("!" * 400 if i % 50 == 0 else "")) for i in range(300)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, f"{i} " + "word " * 200 + ("#" * 400 if i % 2 else "") + ("!" * 400 if i % 50 == 0 else "")) for i in range(300)], "doc_id long, text string")
     slow = quality_rules.Rule("slow", lambda m: m["n_repeat_words"] > 10**9)
     orders = {tuple(r.name for r in quality_rules.plan_cascade(docs, (slow, *quality_rules.MORE_RULES[1::-1]))) for _ in range(5)}
     assert orders == {("symbols", "exclamations", "slow")}
