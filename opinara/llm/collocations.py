@@ -21,10 +21,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.llm import common
+from opinara.llm.packing import pack, split_two, two, unpack
 from opinara.session import lookup_join, stored
 
 # Fixed values of the query contract.
@@ -44,6 +46,12 @@ CELLS = (1 << 16, 1 << 28)
 BLOCK = 2 << 20
 BROADCAST_ROWS = 50_000
 SLICES = 64
+# Cells of a part of the bitmap (as a power of two), tasks whose messages are added up at first, cells counted by a task
+# before it sends them.
+PART_BITS = 16
+TASKS = 256
+HELD_CELLS = 3_000_000
+COUNTED = ["part", "task", "body"]
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -162,11 +170,29 @@ def _coded(languages: pa.Array) -> tuple[np.ndarray, pa.Array]:
 def frequent_cells(docs: DataFrame, cells: int, least: int, sizes: tuple[int, ...], pairs: bytes | None = None) -> bytes:
     """A bitmap (``cells`` / 8 bytes) of the cells of runs of the given sizes that occur ``least`` times or more.
 
-    With the bitmap of ``pairs``, only runs whose pairs are all marked there are counted.
+    With the bitmap of ``pairs``, only runs whose pairs are all marked there are counted. Tasks send a compressed message
+    for each part of the cells; messages are added up for TASKS tasks first, then for all, so no group of them is long.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pairs)
 
+    kind = np.min_scalar_type(least)
+
+    def message(cell: np.ndarray, n: np.ndarray) -> bytes:
+        """Sorted cells of one part with their counts, which need not go beyond ``least`` to show that it is reached."""
+        return two(pack(np.diff(cell, prepend=0).astype(np.uint16)), pack(np.minimum(n, least).astype(kind)))
+
+    def messages(cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        cell, which = np.unique(cell, return_inverse=True)
+        n = np.bincount(which, n, len(cell)).astype(np.int64)
+        part, first = np.unique(cell >> PART_BITS, return_index=True)
+        ends = np.append(first[1:], len(cell))
+        low = cell & ((1 << PART_BITS) - 1)
+        made = [message(low[i:j], n[i:j]) for i, j in zip(first, ends, strict=True)]
+        task = TaskContext.get().partitionId() // TASKS
+        return pa.RecordBatch.from_arrays([pa.array(part), pa.array([task] * len(made), pa.int64()), pa.array(made, pa.binary())], COUNTED)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for texts, languages in blocks(batches):
             numbers, names = _coded(languages)
             found = tokens(texts, numbers)
@@ -175,25 +201,35 @@ def frequent_cells(docs: DataFrame, cells: int, least: int, sizes: tuple[int, ..
                 marked = wanted[1] & _often(np.frombuffer(shared.value, dtype=np.uint8), places[1])
                 wanted = [there & _within(marked, 2, size) for size, there in enumerate(wanted, 1)]
             runs = [places[size - 1][wanted[size - 1]] for size in sizes]
-            cell, n = np.unique(np.concatenate(runs), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
-
-    counted = docs.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    part = F.shiftright("cell", 16).alias("part")
-    places = counted.groupBy(part).agg(F.collect_list(F.col("cell").bitwiseAND(F.lit(0xFFFF)).cast("int")).alias("places"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = []
-            for row in range(batch.num_rows):
-                field = np.zeros(1 << 16, dtype=np.uint8)
-                field[batch.column("places")[row].values.to_numpy(zero_copy_only=False)] = 1
-                bits.append(np.packbits(field, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(bits, pa.binary())], names=["part", "bits"])
-
+            held.append(np.unique(np.concatenate(runs), return_counts=True))
+            size += len(held[-1][0])
+            if size > HELD_CELLS:
+                yield messages(*map(np.concatenate, zip(*held, strict=True)))
+                held, size = [], 0
+        if size:
+            yield messages(*map(np.concatenate, zip(*held, strict=True)))
+
+    def summed(table: pa.Table) -> np.ndarray:
+        total = np.zeros(1 << PART_BITS, dtype=np.int64)
+        for body in table.column("body"):
+            gaps, n = split_two(body.as_buffer().to_pybytes())
+            total[np.cumsum(unpack(gaps).astype(np.int64))] += unpack(n)
+        return total
+
+    def some_tasks(table: pa.Table) -> pa.Table:
+        total = summed(table)
+        cell = np.flatnonzero(total)
+        return pa.table([table.column("part")[:1], table.column("task")[:1], pa.array([message(cell, total[cell])], pa.binary())], COUNTED)
+
+    def all_tasks(table: pa.Table) -> pa.Table:
+        bits = np.packbits(summed(table) >= least, bitorder="little").tobytes()
+        return pa.table([table.column("part")[:1], pa.array([bits], pa.binary())], ["part", "bits"])
+
+    schema = "part long, task long, body binary"
+    counted = docs.mapInArrow(count, schema).groupBy("part", "task").applyInArrow(some_tasks, schema)
     bitmap = bytearray(cells // 8)
-    for row in places.mapInArrow(pack, "part long, bits binary").toLocalIterator():
-        start = row["part"] << 13
+    for row in counted.groupBy("part").applyInArrow(all_tasks, "part long, bits binary").toLocalIterator():
+        start = row["part"] << (PART_BITS - 3)
         bitmap[start : start + len(row["bits"])] = row["bits"]
     return bytes(bitmap)
 
