@@ -21,5 +21,16 @@ def lehmer(col: Column, seed: int = 0) -> Column:
     return start * F.lit(MULTIPLIER).cast("long") % modulus
 
 
+# A second modulus below 2 ** 31, prime like the first: the two remainders of a number tell all numbers to 2 ** 61 apart.
+SECOND_MODULUS = 2147483629
+
+
+def wide(col: Column, seed: int = 0) -> Column:
+    """A pseudo-random number of 62 bits of a number of 0 or more, for draws among more than 2 ** 31 rows."""
+    high = lehmer(lehmer(col, seed))
+    low = lehmer(lehmer(col.cast("long") % F.lit(SECOND_MODULUS).cast("long"), seed + 1))
+    return high * F.lit(1 << 31).cast("long") + low
+
+
 def uniform(col: Column, seed: int = 0) -> Column:
     return lehmer(lehmer(col, seed)) / F.lit(float(MODULUS))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions.rng import lehmer, uniform
+from opinara.functions.rng import lehmer, uniform, wide
 from opinara.operators.neighbors import knn
 from opinara.operators.ranks import class_ranks
 from opinara.session import BROADCAST_TEXT_ROWS, generate_rows, lookup_join, materialise
@@ -41,7 +41,7 @@ def random_oversample(df: DataFrame, label: str, row_id: str = "row_id", seed: i
     it is drawn.
     """
     draws = generate_rows(class_sizes(df, label), "deficit", "draw")
-    picked = draws.withColumn("_rank", lehmer(lehmer(F.col("draw"), seed)) % F.col("n") + 1)
+    picked = draws.withColumn("_rank", wide(F.col("draw"), seed) % F.col("n") + 1)
     times = picked.groupBy(label, "_rank").agg(F.count("*").alias("_times"))
     ranked = class_ranks(df, F.col(label), row_id=row_id, seed=seed, rank="_rank")
     copies = generate_rows(ranked.join(times, [label, "_rank"]), "_times", "copy")
@@ -129,7 +129,7 @@ def smote(vectors: DataFrame, k: int = NEIGHBORS, seed: int = SEED) -> DataFrame
     ranked = class_ranks(minority.select("row_id", "y"), F.col("y"), seed=seed, rank="base_rank")
     draws = generate_rows(sizes, "deficit", "draw")
     picked = draws.withColumn("seed_id", F.col("draw") * CLASS_STRIDE + F.col("y")).withColumn(
-        "base_rank", lehmer(lehmer(F.col("seed_id"), seed)) % F.col("n") + 1
+        "base_rank", wide(F.col("seed_id"), seed) % F.col("n") + 1
     )
     based = lookup_join(picked, ranked, ["y", "base_rank"], table_rows=n_rows).select(
         F.concat_ws("-", "y", "draw").alias("synthetic_id"), "row_id", "seed_id"
@@ -210,6 +210,6 @@ def base_rows(
     """Give every wanted (group, position) one pseudo-random in-group row's ``carry`` columns."""
     sizes = class_sizes(df, group).select(group, F.col("n").alias("_n"))
     ranked = class_ranks(df.select(row_id, group, *carry), F.col(group), row_id=row_id, seed=seed, rank="_rank")
-    drawn = with_classes(wanted, sizes, group).withColumn("_rank", lehmer(lehmer(F.col(position), seed)) % F.col("_n") + 1)
+    drawn = with_classes(wanted, sizes, group).withColumn("_rank", wide(F.col(position), seed) % F.col("_n") + 1)
     pool = ranked.drop(row_id)
     return lookup_join(drawn, pool, [group, "_rank"], table_rows=df.count()).drop("_n", "_rank")

@@ -11,7 +11,7 @@ from opinara.operators import augment, neighbors, sampling
 from opinara.operators.distributions import score_distribution as count_scores
 from opinara.plans import sqltext as sq
 from opinara.plans.catalog_text import CLEAN_LINES_SQL
-from opinara.plans.sqltext import RATED, REVIEWS, lehmer
+from opinara.plans.sqltext import RATED, REVIEWS, lehmer, wide
 from opinara.session import new_path
 from opinara.sources import files
 from opinara.sources.tables import rated_reviews, reviews, table
@@ -43,7 +43,7 @@ _LABELLED = f"""{RATED}, labelled AS (SELECT row_id, {sq.pnn('score')} AS label,
 @query(
     f"""WITH {_LABELLED},
     draws AS (SELECT label, n, unnest(range((SELECT max(n) FROM sizes) - n)) AS draw FROM sizes),
-    picks AS (SELECT label, {lehmer(lehmer('draw', 42))} % n + 1 AS rank FROM draws),
+    picks AS (SELECT label, {wide('draw', 42)} % n + 1 AS rank FROM draws),
     times AS (SELECT label, rank, count(*) AS times FROM picks GROUP BY label, rank)
     SELECT row_id, label, CAST(0 AS BIGINT) AS copy FROM labelled
     UNION ALL SELECT row_id, label, unnest(range(1, times + 1)) FROM ranked JOIN times USING (label, rank)"""
@@ -88,7 +88,7 @@ _SMOTE = f"""{_VECTORS}, sizes AS (SELECT y, count(*) AS n FROM vectors GROUP BY
   ranked AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {lehmer('row_id', 42)}, row_id) AS base_rank FROM vectors),
   {near_sql('near', 'vectors', 'vectors', 5, 'a.y = b.y AND a.row_id <> b.row_id')},
   draws AS (SELECT y, n, unnest(range((SELECT max(n) FROM sizes) - n)) AS draw FROM sizes),
-  picks AS (SELECT y, draw, draw * 1048576 + y AS seed_id, {lehmer(lehmer('draw * 1048576 + y', 42))} % n + 1 AS base_rank FROM draws),
+  picks AS (SELECT y, draw, draw * 1048576 + y AS seed_id, {wide('draw * 1048576 + y', 42)} % n + 1 AS base_rank FROM draws),
   made AS (SELECT concat(p.y, '-', p.draw) AS synthetic_id, r.row_id, p.y, {lehmer('p.seed_id', 101)} % 5 + 1 AS position,
     {lehmer(lehmer('p.seed_id', 202))} / 2147483647.0 AS u FROM picks p JOIN ranked r USING (y, base_rank))"""
 _MADE_ROWS = """SELECT m.synthetic_id, m.row_id, n.neighbor_id, round(m.u, 6) AS u, m.y,
@@ -164,7 +164,7 @@ def sample_examples(spark, folder):
 @query(
     f"""WITH {_LABELLED}, wanted AS (SELECT row_id AS number, label FROM labelled)
     SELECT number, label, ranked.row_id AS donor FROM wanted JOIN sizes USING (label) JOIN ranked USING (label)
-    WHERE ranked.rank = {lehmer(lehmer('number', 42))} % n + 1"""
+    WHERE ranked.rank = {wide('number', 42)} % n + 1"""
 )
 def sample_base_row(spark, folder):
     rows = labelled(spark, folder).withColumn("donor", F.col("row_id"))
@@ -286,7 +286,7 @@ def _answers(spark: SparkSession, folder: str, plan: DataFrame) -> DataFrame:
 _GENERATED_SQL = f"""{_LINES_SQL}, generated AS (
   SELECT concat('gen_', left(sha256(concat('balance|', prompt_id, '|', CAST(pos AS VARCHAR))), 16)) AS "reviewId", line AS review,
     CAST(target_score AS INT) AS score, k.gender, k.location, k.date
-  FROM lines x JOIN sizes s ON s.label = x."group" JOIN ranked k ON k.label = x."group" AND k.rank = {lehmer(lehmer('x.batch * x.per_prompt + x.pos', 42))} % s.n + 1)"""
+  FROM lines x JOIN sizes s ON s.label = x."group" JOIN ranked k ON k.label = x."group" AND k.rank = {wide('x.batch * x.per_prompt + x.pos', 42)} % s.n + 1)"""
 
 
 def _generated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

@@ -38,6 +38,11 @@ def lehmer(expr: str, seed: int = 0) -> str:
     return f"((({value} % 2147483648 + ({value} // 2147483648) % 2147483647 * 1327217885) % 2147483647) * 48271 % 2147483647)"
 
 
+def wide(expr: str, seed: int = 0) -> str:
+    low = lehmer(lehmer(f"({expr}) % 2147483629", seed + 1))
+    return f"({lehmer(lehmer(expr, seed))} * 2147483648 + {low})"
+
+
 def quoted(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 

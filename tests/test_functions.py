@@ -126,3 +126,16 @@ def test_emoji_sequences(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     named = [r.v for r in df.select("i", tx.demojize(F.col("t")).alias("v")).orderBy("i").collect()]
     assert named == [":thumbs_up_medium_skin_tone: ok", ":flag_ES:", ":red_heart:", ":man_and_woman: x", "none"]
+
+
+def test_wide_draws_reach_classes_beyond_31_bits(spark):
+    from pyspark.sql import functions as F
+
+    from opinara.functions.rng import wide
+
+    big = 10**10
+    ids = list(range(3000)) + [i * (2**31 - 1) + 7 for i in range(3000)] + [2**40 + i for i in range(3000)]
+    drawn = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").select(wide(F.col("i"), 42)).collect()]
+    assert len(set(drawn)) >= len(ids) - 1 and all(0 <= d < 2**62 for d in drawn)
+    ranks = [d % big for d in drawn]
+    assert abs(sum(r >= 2**31 for r in ranks) / len(ranks) - (1 - 2**31 / big)) < 0.03
