@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import labels
 from opinara.functions import text as tx
-from opinara.operators import bayes, features, folds, neighbors, search, topics, trees
+from opinara.operators import bayes, features, folds, logistic, neighbors, search, topics, trees
 from opinara.operators import metrics as mt
 from opinara.plans import classify
 from opinara.plans import sqltext as sq
@@ -489,10 +489,38 @@ def tree_first_cut(spark, folder):
 
 @query()
 def logistic_regression(spark, folder):
-    grid = {"C": [1.0], "l1_ratio": [0, 1], "solver": ["saga"], "max_iter": [20]}
+    """Scores of ridge and lasso models in up to 200 steps."""
+    grid = {"C": [1.0], "l1_ratio": [0, 1], "solver": ["saga"], "max_iter": [200]}
     return _scores(spark, folder, "logistic_regression", grid)
 
 
+@query(
+    """SELECT l_returnflag AS label, l_returnflag AS prediction, count(*) AS n
+    FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY ALL"""
+)
+def logistic_separable(spark, folder):
+    """A model of a label that is a function of one column has to name it for every line item."""
+    lines = table(spark, folder, "lineitem").where("l_returnflag IS NOT NULL")
+    lines = lines.select(F.monotonically_increasing_id().alias("row_id"), F.col("l_returnflag").alias("label"), "l_discount", "l_tax")
+    names = small_values(lines, "label")
+    y = bayes.label_index(F.col("label"), names)
+    # An indicator of each flag, and two columns that say nothing.
+    rows = lines.select(
+        "row_id", "label", F.lit(0).alias("fold"), y.alias("y"),
+        F.array(y, F.lit(len(names)), F.lit(len(names) + 1)).cast("array<int>").alias("idx"),
+        F.array(F.lit(1.0), F.col("l_discount").cast("double"), F.col("l_tax").cast("double")).alias("val"),
+    )
+    rows = stored(rows, "lines")
+    n_terms = len(names) + 2
+    blocks = logistic.pack(rows, n_terms)
+    weights = logistic.fit(rows, [logistic.Problem(max_iter=50)], len(names), n_terms, tolerance=0.05, blocks=blocks)
+    sums = stored(logistic.margins(blocks, weights, logistic.width(len(names))), "margins")
+    blocks.release()
+    found = sums.select("row_id", logistic.likeliest(F.col("m"), F.lit(0), len(names)).alias("class"))
+    named = found.withColumn("prediction", F.get(F.array(*map(F.lit, names)), F.col("class")))
+    return named.join(rows, "row_id").groupBy("label", "prediction").agg(F.count("*").alias("n"))
+
+
 # ---- topics --------------------------------------------------------------------------------
 
 _MIXTURE = """mixtures AS (SELECT vec_id AS row_id, list_transform(e, lambda x: x / list_sum(e)) AS mixture

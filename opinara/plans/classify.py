@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 from opinara.functions import text as tx
 from opinara.functions.labels import rating_to_pnn
 from opinara.functions.numbers import quoted
-from opinara.operators import bayes, features, mlmodels, neighbors, prepare, sampling, search, trees
+from opinara.operators import bayes, features, logistic, mlmodels, neighbors, prepare, sampling, search, trees
 from opinara.operators.distributions import feature_roles
 from opinara.operators.folds import stratified_folds
 from opinara.operators.metrics import classification_report, confusion, confusion_matrix, f1_micro_macro
@@ -60,6 +60,8 @@ class JobSpec:
     # Fit trees and logistic regression by pyspark.ml; ``allow_approx`` then takes settings it has no exact match for.
     library: bool = False
     allow_approx: bool = False
+    # Weights of a logistic model up to which pyspark.ml holds them on the driver; larger models are fitted as tables.
+    driver_weights: int = 1_000_000
     # Learn the fills of missing values on every table anew instead of on the training table alone.
     refit_on_input: bool = False
 
@@ -330,6 +332,8 @@ def train(df: DataFrame, spec: JobSpec) -> Trained:
         best = cells[search.best_cell(scores).first()["cell"]]
     elif _by_trees(spec):
         scores, best, model = _train_trees(rows, prepared, cells, labels)
+    elif _by_gradients(prepared, labels):
+        scores, best, model = _train_logistic(rows, prepared, cells, labels)
     else:
         assembled = as_assembled(rows, prepared).persist()
         scores = mlmodels.grid_search(assembled, spec.algorithm, spec.grid, spec.average, allow_approx=spec.allow_approx)
@@ -386,6 +390,45 @@ def _predict_trees(model: TreeModel, rows: DataFrame, prepared: Prepared, labels
     return trees.voted(shares, F.lit(0), len(labels)).select("row_id", _class_name(labels).alias("prediction"))
 
 
+def _by_gradients(prepared: Prepared, labels: list) -> bool:
+    """Whether a logistic model is too large for the driver, or has settings that the library refuses."""
+    spec = prepared.spec
+    if spec.algorithm != "logistic_regression" or spec.library:
+        return False
+    refused = any(mlmodels.estimator(spec.algorithm, cell, 1) is None for cell in search.grid_cells(spec.grid))
+    return refused or prepared.n_terms * logistic.width(len(labels)) > spec.driver_weights
+
+
+def _train_logistic(
+    rows: DataFrame, prepared: Prepared, cells: list[dict], labels: list, n_folds: int = 5
+) -> tuple[DataFrame, dict, DataFrame]:
+    spec = prepared.spec
+    indexed = as_vectors(rows, prepared).withColumn("y", bayes.label_index(F.col("label"), labels)).where("y IS NOT NULL")
+    held = stored(indexed, "vectors")
+    blocks = logistic.pack(held, prepared.n_terms)
+    problems = [logistic.problem_of(cell, fold) for cell in cells for fold in range(n_folds)]
+    weights = logistic.fit(held, problems, len(labels), prepared.n_terms, blocks=blocks)
+    sums = logistic.margins(blocks, weights, logistic.width(len(labels)) * len(problems))
+    # Of each cell, the problem that did not see the row's fold.
+    votes = [logistic.likeliest(F.col("m"), F.col("fold") + i * n_folds, len(labels)) for i in range(len(cells))]
+    voted = stored(sums.select("row_id", F.posexplode(F.array(*votes)).alias("cell", "class")), "votes")
+    named = voted.select("row_id", "cell", _class_name(labels).alias("prediction"))
+    predictions = named.join(held.select("row_id", "fold", "label"), "row_id")
+    scores = stored(search.name_cells(search.grid_scores(predictions, spec.average), spec.algorithm, cells), "scores")
+    best = cells[search.best_cell(scores).first()["cell"]]
+    model = logistic.fit(held, [logistic.problem_of(best, None)], len(labels), prepared.n_terms, blocks=blocks)
+    blocks.release()
+    return scores, best, model
+
+
+def _predict_logistic(model: DataFrame, rows: DataFrame, prepared: Prepared, labels: list) -> DataFrame:
+    blocks = logistic.pack(as_vectors(rows, prepared), prepared.n_terms)
+    sums = stored(logistic.margins(blocks, model, logistic.width(len(labels))), "margins")
+    blocks.release()
+    found = sums.withColumn("class", logistic.likeliest(F.col("m"), F.lit(0), len(labels)))
+    return found.select("row_id", _class_name(labels).alias("prediction"))
+
+
 def knn_predictions(queries: DataFrame, held: DataFrame, cells: list[dict], labels: list, exclude: str = "none") -> DataFrame:
     """(row_id, cell, prediction) of every grid cell; one neighbour search per p serves all k and weights."""
     result = None
@@ -414,6 +457,8 @@ def predict(trained: Trained, df: DataFrame) -> DataFrame:
         done = knn_predictions(as_vectors(rows, prepared), trained.model, [trained.cell], trained.labels)
     elif _by_trees(prepared.spec):
         done = _predict_trees(trained.model, rows, prepared, trained.labels)
+    elif _by_gradients(prepared, trained.labels):
+        done = _predict_logistic(trained.model, rows, prepared, trained.labels)
     else:
         done = mlmodels.predict_model(trained.model, as_assembled(rows, prepared), trained.labels)
     # A source column called like one of the two stays as it is under another name.
@@ -454,7 +499,7 @@ def save(trained: Trained, path: str) -> None:
     if algorithm == "naive_bayes":
         state["bayes"] = {"class_rows": trained.model.class_rows, "class_mass": trained.model.class_mass}
         trained.model.table.write.mode("overwrite").parquet(f"{path}/model")
-    elif algorithm == "kNN":
+    elif algorithm == "kNN" or _by_gradients(prepared, trained.labels):
         trained.model.write.mode("overwrite").parquet(f"{path}/model")
         term_numbers(prepared).write.mode("overwrite").parquet(f"{path}/term_ids")
     elif _by_trees(prepared.spec):
@@ -482,7 +527,7 @@ def load(spark: SparkSession, path: str) -> Trained:
     if spec.algorithm == "naive_bayes":
         table = spark.read.parquet(f"{path}/model")
         model = bayes.BayesModel(table, state["labels"], n_terms=prepared.n_terms, **state["bayes"])
-    elif spec.algorithm == "kNN":
+    elif spec.algorithm == "kNN" or _by_gradients(prepared, state["labels"]):
         model = spark.read.parquet(f"{path}/model")
         prepared.term_ids = spark.read.parquet(f"{path}/term_ids")
     elif _by_trees(spec):
