@@ -57,6 +57,37 @@ def random_undersample(df: DataFrame, label: str, row_id: str = "row_id", seed:
     return ranked.drop("_rank")
 
 
+def resample_inside_folds(df: DataFrame, label: str, kind: str, row_id: str = "row_id", seed: int = SEED, n_folds: int = 5) -> DataFrame:
+    """Training rows of every fold, rebalanced without the rows that the fold holds out.
+
+    ``df`` has a ``fold`` of 0..n_folds-1. Result: ``held``, the fold left out, the columns of ``df``, and ``copy``, 0 for
+    originals. ``kind`` is ``oversampling`` or ``undersampling``, for each held fold by the same draws as for a table of
+    its training rows alone. All folds are ranked and drawn in one pass, a class being a pair of held fold and label.
+    Rows without a fold are left out; an empty table gives an empty one.
+    """
+    others = F.filter(F.sequence(F.lit(0), F.lit(n_folds - 1)), lambda held: held != F.col("fold"))
+    spaced = df.select(F.explode(others).alias("held"), *df.columns)
+    sizes = spaced.groupBy("held", label).agg(F.count("*").alias("n"))
+    pair = F.struct("held", label)
+    if kind == "undersampling":
+        smallest = sizes.groupBy("held").agg(F.min("n").alias("_smallest"))
+        bounded = spaced.join(F.broadcast(smallest), "held")  # a row per fold
+        kept = class_ranks(bounded, pair, row_id=row_id, seed=seed, rank="_rank", limit=F.col("_smallest"))
+        return kept.select("held", *df.columns, F.lit(0).cast("long").alias("copy"))
+    if kind != "oversampling":
+        raise ValueError(f"{kind} is neither oversampling nor undersampling")
+    largest = sizes.groupBy("held").agg(F.max("n").alias("_largest"))
+    short = sizes.join(F.broadcast(largest), "held").withColumn("deficit", F.col("_largest") - F.col("n"))
+    picked = generate_rows(short, "deficit", "draw").withColumn("_rank", wide(F.col("draw"), seed) % F.col("n") + 1)
+    times = picked.groupBy("held", label, "_rank").agg(F.count("*").alias("_times"))
+    ranked = class_ranks(spaced, pair, row_id=row_id, seed=seed, rank="_rank")
+    copies = generate_rows(ranked.join(times, ["held", label, "_rank"]), "_times", "copy")
+    columns = ["held", *df.columns]
+    return spaced.select(*columns, F.lit(0).cast("long").alias("copy")).unionByName(
+        copies.select(*columns, (F.col("copy") + 1).alias("copy"))
+    )
+
+
 def sample_n(df: DataFrame, n: int, row_id: str = "row_id", seed: int = SEED, total: int | None = None) -> DataFrame:
     """Exactly n rows in pseudo-random order of row id; n outside 1..total is refused."""
     total = df.count() if total is None else total

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import labels
 from opinara.functions import text as tx
-from opinara.operators import bayes, features, folds, logistic, neighbors, search, topics, trees
+from opinara.operators import bayes, features, folds, logistic, neighbors, sampling, search, topics, trees
 from opinara.operators import metrics as mt
 from opinara.plans import classify
 from opinara.plans import sqltext as sq
@@ -521,6 +521,28 @@ def logistic_separable(spark, folder):
     return named.join(rows, "row_id").groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
+@query(
+    f"""WITH {RATED}, labelled AS (SELECT row_id, {sq.pnn('score')} AS label FROM rated), {_folds_sql('labelled')},
+    spaces AS (SELECT CAST(h AS INT) AS held, row_id, label FROM folded, range(5) t(h) WHERE fold <> h),
+    sizes AS (SELECT held, label, count(*) AS n FROM spaces GROUP BY held, label),
+    sides AS (SELECT *, max(n) OVER (PARTITION BY held) - n AS deficit, min(n) OVER (PARTITION BY held) AS smallest FROM sizes),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY held, label ORDER BY {sq.lehmer('row_id', 42)}, row_id) AS rank FROM spaces),
+    draws AS (SELECT held, label, n, unnest(range(deficit)) AS draw FROM sides),
+    times AS (SELECT held, label, {sq.wide('draw', 42)} % n + 1 AS rank, count(*) AS times FROM draws GROUP BY ALL)
+    SELECT 'oversampling' AS kind, held, row_id, label, CAST(0 AS BIGINT) AS copy FROM spaces
+    UNION ALL SELECT 'oversampling', held, row_id, label, unnest(range(1, times + 1)) FROM ranked JOIN times USING (held, label, rank)
+    UNION ALL SELECT 'undersampling', held, row_id, label, CAST(0 AS BIGINT) FROM ranked JOIN sides USING (held, label) WHERE rank <= smallest"""
+)
+def resample_inside_folds(spark, folder):
+    """Training rows of each fold, rebalanced without its held-out rows."""
+    rows = stored(folds.stratified_folds(_rated(spark, folder).drop("review"), "label"), "folds")
+    made = [
+        sampling.resample_inside_folds(rows, "label", kind).select(F.lit(kind).alias("kind"), "held", "row_id", "label", "copy")
+        for kind in ("oversampling", "undersampling")
+    ]
+    return made[0].unionByName(made[1])
+
+
 # ---- topics --------------------------------------------------------------------------------
 
 _MIXTURE = """mixtures AS (SELECT vec_id AS row_id, list_transform(e, lambda x: x / list_sum(e)) AS mixture

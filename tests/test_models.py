@@ -93,6 +93,25 @@ def test_oversample_counts(spark):
     assert {r["label"]: r["count"] for r in cut.groupBy("label").count().collect()} == {"a": 5, "b": 5, "c": 5}
 
 
+def test_rows_of_a_held_fold_are_not_drawn_for_it(spark):
+    label = F.when(F.col("id") < 70, "a").when(F.col("id") < 95, "b").otherwise("c").alias("label")
+    df = spark.range(100).select(F.col("id").alias("row_id"), label, (F.col("id") % 5).cast("int").alias("fold"))
+    grown = sampling.resample_inside_folds(df, "label", "oversampling")
+    assert grown.where("held = fold").count() == 0
+    assert {(r["held"], r["label"]): r["count"] for r in grown.groupBy("held", "label").count().collect()} == {
+        (held, name): 56 for held in range(5) for name in "abc"
+    }
+    assert grown.select("held", "row_id", "copy").distinct().count() == 5 * 3 * 56
+    alone = sampling.random_oversample(df.where("fold <> 2"), "label").select("row_id", "copy")
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, grown.where("held = 2").select("row_id", "copy").collect()))
+    cut = sampling.resample_inside_folds(df, "label", "undersampling")
+    assert cut.where("held = fold").count() == 0
+    assert {r["count"] for r in cut.groupBy("held", "label").count().collect()} == {4} and cut.count() == 60
+    assert sampling.resample_inside_folds(df.where("row_id < 0"), "label", "oversampling").count() == 0
+    with pytest.raises(ValueError, match="neither"):
+        sampling.resample_inside_folds(df, "label", "none")
+
+
 def test_sample_size_bounds(spark, monkeypatch):
     df = spark.range(50).withColumnRenamed("id", "row_id")
     for n in (0, 51):
