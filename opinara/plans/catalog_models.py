@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -599,15 +602,16 @@ def _each_band(spark: SparkSession, folder: str, make) -> DataFrame:
     """``make`` of every band's rows and dictionary, one below the other, with the band's name."""
     every = topic_plan.banded_tokens(rated_reviews(spark, folder), topic_plan.TopicSpec(bands=BANDS))
     every = materialise(every)[0]
-    result = None
-    for band in BANDS:
+
+    def of_band(band: str) -> DataFrame | None:
         rows = every.where(F.col("sentiment") == band)
         dictionary = topics.build_dictionary(rows)
-        if dictionary.size == 0:
-            continue
-        part = make(rows, dictionary).withColumn("sentiment", F.lit(band))
-        result = part if result is None else result.unionByName(part)
-    return result
+        return make(rows, dictionary).withColumn("sentiment", F.lit(band)) if dictionary.size else None
+
+    # Updates follow each other, so the bands' jobs are queued side by side.
+    with ThreadPoolExecutor(len(BANDS)) as pool:
+        parts = [part for part in pool.map(of_band, BANDS) if part is not None]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query()
@@ -622,6 +626,37 @@ def lda_fit(spark, folder):
     return _each_band(spark, folder, mixtures)
 
 
+@query(
+    f"""WITH {RATED}, docs AS (SELECT row_id, {sq.pnn('score')} AS sentiment, {sq.topic_tokens('review')} AS tokens FROM rated),
+    sizes AS (SELECT sentiment, count(*) AS documents FROM docs GROUP BY sentiment),
+    toks AS (SELECT row_id, sentiment, unnest(tokens) AS term FROM docs),
+    counted AS (SELECT sentiment, term, count(DISTINCT row_id) AS df, count(*) AS n FROM toks GROUP BY ALL),
+    kept AS (SELECT c.*, documents FROM counted c JOIN sizes USING (sentiment) WHERE df >= 5 AND df <= 0.85 * documents),
+    top AS (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY sentiment ORDER BY df DESC, term) <= 100000)
+    SELECT sentiment, any_value(documents) AS documents, CAST(any_value(documents) AS DOUBLE) AS mixture_mass,
+      count(*) AS words, CAST(sum(n) AS DOUBLE) AS word_mass FROM top GROUP BY sentiment"""
+)
+def topic_mass(spark, folder):
+    """What a model's weights and mixtures add up to: all words of the dictionary in the documents, and all documents.
+
+    With all documents in one batch, the weights over their priors hold each word's occurrences once.
+    """
+    k = 3
+
+    def masses(rows: DataFrame, dictionary: features.Vocabulary) -> DataFrame:
+        model = topics.fit_topics(rows, dictionary, k, passes=2, chunk_docs=max(1, dictionary.n_docs))
+        above = F.aggregate("x", F.lit(0.0), lambda a, x: a + x - 1.0 / k)
+        weighed = model.weights.where(F.col("term_id") < dictionary.size).agg(
+            F.count("*").alias("words"), F.round(F.sum(above), 3).alias("word_mass")
+        )
+        share = F.aggregate("mixture", F.lit(0.0), lambda a, x: a + x)
+        mixed = model.transform(rows).agg(F.count("*").alias("documents"), F.round(F.sum(share), 3).alias("mixture_mass"))
+        both = mixed.unionByName(weighed, allowMissingColumns=True)  # one row each
+        return both.agg(*[F.max(c).alias(c) for c in ("documents", "mixture_mass", "words", "word_mass")])
+
+    return _each_band(spark, folder, masses)
+
+
 @query()
 def topic_keywords(spark, folder):
     """Heaviest words of three topics per band."""
@@ -665,19 +700,20 @@ def k_choice(spark, folder):
     return _chosen(_curves(spark, folder), {"positive": 3})
 
 
-_MANUAL = {"negative": 4, "positive": 3, "neutral": 3}
+_MANUAL = {"positive": 3, "neutral": 3}
 
 
 @query()
 def topics_per_band(spark, folder):
-    """The whole topic job with trigram phrases and the number of topics set by hand."""
-    spec = topic_plan.TopicSpec(n_gram="trigram", manual_k=_MANUAL)
+    """The whole topic job with trigram phrases; every band's number of topics is swept."""
+    spec = topic_plan.TopicSpec(n_gram="trigram")
     done = topic_plan.run_topics(rated_reviews(spark, folder), spec)["assignments"]
     return done.select("row_id", "score", "sentiment", "Topico_Dominante", "Porcentaje_Similitud")
 
 
 @query()
 def write_topic_assignments(spark, folder):
+    """The files of a job that sweeps one band and is told the number of topics of the others."""
     done = topic_plan.run_topics(rated_reviews(spark, folder), topic_plan.TopicSpec(manual_k=_MANUAL))["assignments"]
     path = files.write_topic_assignments(done, new_path(spark, "assignments"), "music", "unigram")
     return files.read_reviews(spark, path, ";")

@@ -284,10 +284,13 @@ def test_depth_beyond_the_librarys_is_refused(spark):
     assert mlmodels.note("decision_tree", {"max_depth": 50}) == "depth 30" and mlmodels.note("decision_tree", {"max_depth": 5}) is None
 
 
-def test_mini_batches_do_not_change_with_the_number_of_documents():
-    few, many = (topics._lda(3, min(1.0, topics.CHUNK_DOCS / n), 10) for n in (40_000, 400_000))
-    assert few.getSubsamplingRate() * 40_000 == many.getSubsamplingRate() * 400_000 == topics.CHUNK_DOCS
-    assert many.getMaxIter() == 10 * few.getMaxIter()
+def test_mini_batches_do_not_change_with_the_number_of_documents(spark):
+    from opinara.operators import lda
+
+    for n in (1_000, 4_000):
+        df = spark.range(n).select(F.col("id").alias("row_id"), F.array(F.concat(F.lit("w"), F.col("id") % 5)).alias("tokens"))
+        sizes = lda.deal(df, topics.build_dictionary(df), 200).sizes.values()
+        assert len(sizes) == n // 200 and sum(sizes) == n and max(sizes) < 280 and min(sizes) > 120
 
 
 def test_grid_takes_ranges():
