@@ -122,3 +122,27 @@ def test_empty_tables(spark):
     for method in ("inverted", "pivots"):
         assert neighbors.knn(none, one, 2, method=method).count() == 0
         assert neighbors.knn(one, none, 2, method=method).count() == 0
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_matrices_measure_few_pairs_and_find_the_nearest(p, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = np.round(rng.normal(size=(1500, 8)), 3) + 1000 * (p == 2)
+    rows[1000:1100] = rows[0]  # ties, ordered by id
+    ids = rng.permutation(1500) // 2  # ids that come twice
+    idx, val = [list(range(8))] * 1500, list(rows)
+    dense = neighbors._Dense(idx, val, 8, p)
+    measured, real = [0], neighbors._Dense._measured
+    def counted(self, asked, at, row):
+        measured[0] += len(at)
+        return real(self, asked, at, row)
+    monkeypatch.setattr(neighbors._Dense, "_measured", counted)
+    asked = rows[:900:9]
+    at, row, away = dense.nearest(asked, ids, 4, ids[:900:9], ids)
+    assert measured[0] < 100 * 20 + 2 * 110
+    for i, q in enumerate(asked):
+        apart = np.abs(rows - q)
+        total = np.round(apart.sum(axis=1) if p == 1 else (apart * apart).sum(axis=1), 12)
+        apart = np.where(ids == ids[9 * i], np.inf, total if p == 1 else np.sqrt(total))
+        want = np.lexsort((ids, apart))[:4]
+        assert list(ids[row[at == i]]) == list(ids[want]) and np.allclose(away[at == i], apart[want], rtol=0, atol=1e-9)
