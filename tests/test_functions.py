@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.functions import labels, prompts
+from opinara.functions import labels, prompts, resources
 from opinara.functions import text as tx
 from opinara.functions.numbers import to_number
 
@@ -139,3 +141,15 @@ def test_wide_draws_reach_classes_beyond_31_bits(spark):
     assert len(set(drawn)) >= len(ids) - 1 and all(0 <= d < 2**62 for d in drawn)
     ranks = [d % big for d in drawn]
     assert abs(sum(r >= 2**31 for r in ranks) / len(ranks) - (1 - 2**31 / big)) < 0.03
+
+
+def test_only_emoji_are_sent_to_python(spark):
+    rows = ["\U0001f600", "a\U0001f600 \U0001f1e9\U0001f1ea\U0001f1e9b\U0001f44d", "\n\U0001f44d\U0001f3fd\n", "", None, "x:y: $1\\", "\U0001f468‍\U0001f469 z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
+    named = df.select("i", tx.demojize(F.col("t")).alias("v"))
+    pattern = re.compile(resources.EMOJI_SEQUENCE)
+    want = [t and pattern.sub(lambda m: f":{resources.sequence_name(m.group(0))}:", t) for t in rows]
+    assert [r.v for r in named.orderBy("i").collect()] == want
+    plan = named._jdf.queryExecution().analyzed().toString()
+    sent = plan[plan.index("_name_emoji(") :]
+    assert sent[: sent.index("#", sent.index("THEN"))].endswith("THEN regexp_extract_all(t")
