@@ -130,6 +130,36 @@ def test_phrases_merge_greedily(spark):
     assert got[3] == ["new_york", "new_york", "w3"] and got[99] == ["york_new"] and got[100] == []
 
 
+def test_phrases_merge_inside_their_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    docs = [(i, [str(w) for w in rng.choice(["a", "b", "c", "é", "f g"], size)]) for i, size in enumerate([0, 1, 2, 3, 9, 60] * 9)]
+    schema = "row_id long, tokens array<string>"
+    df = spark.createDataFrame([*docs, (None, ["a", "b"]), (99, None)], schema).repartition(3)
+    pairs = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("a", "a"), ("é", "f g")], "a string, b string")
+
+    def merged(rows):
+        made = phrases.merge_phrases(rows, pairs)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        return sorted((repr(r["row_id"]), r["tokens"] or []) for r in made.collect()), "Join" in plan
+
+    got, joins = merged(df)
+    assert not joins and ("None", ["a", "b"]) in got
+    twice = df.unionByName(spark.createDataFrame([(7, ["a", "b"])], schema))  # its id is not its own
+    assert merged(twice)[1]
+    monkeypatch.setattr(phrases, "SET_PHRASES", 0)
+    assert merged(df) == (got, True)
+
+
+def test_phrases_of_no_words(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, ["x"])], "row_id long, tokens array<string>")
+    assert phrases.phrase_scores(df).count() == 0 and phrases.add_phrases(df, "trigram").count() == 3
+    scores = phrases.phrase_scores(spark.createDataFrame([(1, ["a", "b"] * 9)], df.schema), threshold=-9.0)
+    # 17 pairs: 9 of one kind, 8 of the other; two words and two pairs.
+    assert {(r["a"], r["b"]): (r["n"], round(r["score"], 6)) for r in scores.collect()} == {
+        ("a", "b"): (9, round(4 / 81 * 4, 6)), ("b", "a"): (8, round(3 / 81 * 4, 6))
+    }
+
+
 def test_window_counts_match_brute_force(spark):
     rng = np.random.default_rng(3)
     docs = [(i, [f"w{x}" for x in rng.integers(0, 9, size)]) for i, size in enumerate([0, 1, 4, 5, 6, 40])]
