@@ -153,3 +153,13 @@ def test_only_emoji_are_sent_to_python(spark):
     plan = named._jdf.queryExecution().analyzed().toString()
     sent = plan[plan.index("_name_emoji(") :]
     assert sent[: sent.index("#", sent.index("THEN"))].endswith("THEN regexp_extract_all(t")
+
+
+def test_words_are_looked_at_only_where_their_bytes_say_so(spark):
+    words = ["a1", "12", "٣", "é1", "_9", "{", "Zz", "9a", "", "½", None]
+    df = spark.createDataFrame([(words, "Él niño 12 cafés número a1 😀 it's")], "words array<string>, text string")
+    row = df.select(tx.drop_numeric(F.col("words")).alias("kept"), tx.simplify_text(F.col("text")).alias("clean"))
+    assert row.first()["kept"] == ["a1", "é1", "_9", "{", "Zz", "9a", ""]
+    assert row.first()["clean"] == "el nino cafe numero a1 :grinning_face:"
+    plan = row._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and ">= A)" in plan
