@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +118,22 @@ def test_large_models_are_trained_saved_and_loaded(spark, tmp_path):
     classify.save(trained, str(tmp_path / "model"))
     again = classify.load(spark, str(tmp_path / "model"))
     assert {r.row_id: r.prediction for r in classify.predict(again, df).collect()} == first
+
+
+def test_packed_rows_and_what_a_step_reads_of_them(spark):
+    rows = spark.createDataFrame(
+        [(1, 0, 0, [0, 2], [0.5, 2.0]), (2, 1, 1, [], []), (3, 1, 0, [2], [4.0])],
+        "row_id long, y int, fold int, idx array<int>, val array<double>",
+    )
+    blocks = logistic.pack(rows, 3)
+    block = blocks.packed.first()
+    assert (block["ids"], block["starts"], block["terms"]) == ([1, 2, 3], [0, 3, 4], [0, 2, 3])
+    assert (block["local"], block["val"]) == ([0, 1, 2, 2, 1, 2], [0.5, 2.0, 1.0, 1.0, 4.0, 1.0])
+    zeros = F.array(F.lit(0.0))
+    state = spark.createDataFrame([(0,), (2,), (3,)], "term_id int").select("term_id", zeros.alias("x"), zeros.alias("prev"))
+    step = logistic._gradients(blocks, state, [logistic.Problem()], [0.0], 2)
+    assert {r["term_id"]: r["g"] for r in step.collect()} == {0: [0.25], 2: [-1.0], 3: [-0.5]}
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    read = [columns for columns in re.findall(r"InMemoryTableScan \[([^\]]*)\]", plan) if "starts" in columns]
+    assert read and not any("ids" in columns for columns in read)
+    blocks.release()
