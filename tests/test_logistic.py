@@ -137,3 +137,15 @@ def test_packed_rows_and_what_a_step_reads_of_them(spark):
     read = [columns for columns in re.findall(r"InMemoryTableScan \[([^\]]*)\]", plan) if "starts" in columns]
     assert read and not any("ids" in columns for columns in read)
     blocks.release()
+
+
+def test_library_models_are_fitted_without_the_vocabulary_on_the_driver(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("the vocabulary was collected")
+
+    monkeypatch.setattr(classify.mlmodels, "text_stages", refuse)
+    rows = [(i, 5 if i % 2 == 0 else 1, "good fine thing" if i % 2 == 0 else "bad poor thing") for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, score int, text string")
+    grid = {"C": [10.0], "l1_ratio": [0], "solver": ["lbfgs"], "max_iter": [5]}
+    spec = classify.JobSpec("score", "logistic_regression", grid, text_process="tf-idf", unique_category_threshold=2)
+    assert classify.train(df, spec).scores.first()["f1"] > 0.9
