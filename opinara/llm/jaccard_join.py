@@ -2,10 +2,12 @@
 
 A document is the set of its five-word shingles, hashed to 64 bits; documents of the same set are one node. Nodes that
 can be similar share a shingle among the first few of their sets in one common order (rare ones first, by a sketch of
-how many documents hold each), so they are split into clusters that no link crosses, by equality alone. Shingles are
-hashed into groups, and a node's counts per group are a point of its cluster's R-tree. The overlap of two sets is at
-most the sum of the smaller counts, and for a box of points at most the sum over its upper corner. Pairs that this
-bound leaves split the clusters further; only then are whole sets moved, and the pairs that the tree leaves verified.
+how many documents hold each). Shingles are hashed into groups, and a node's counts per group are its point. The overlap
+of two sets is at most the sum of the smaller counts. Pairs that share a shingle few nodes have, and that this bound
+leaves, and all nodes of other shared shingles are joined to clusters that no link crosses: in a long input nearly every
+node shares some shingle with another, and without the bound they would all hang together. In a cluster points form an
+R-tree, with at most the sum over the upper corner as bound of a box. Pairs that it leaves split the clusters further;
+only then are whole sets moved, and the pairs that the tree leaves verified.
 
 Clusters are worked on in chunks of bounded size. A chunk returns a spanning forest of its pairs, never all of them. In
 a cluster of many chunks, pairs of chunks are compared only where sizes allow a link and labels differ.
@@ -42,6 +44,10 @@ SHARD_BYTES = 16_000_000
 # Cells of the sketch (a byte each, sent to all tasks) and the parts it is added up in. Links do not depend on the
 # order of shingles, only the number of candidates does.
 CELL_BITS, PART_BITS = 24, 6
+# Nodes that share a shingle and are looked at in pairs; more of them are joined as they are. Links do not depend on it.
+PAIRED = 16
+# Pairs of points unpacked at once.
+SLICE_PAIRS = 2_000
 # Nodes whose ids may be sent to all tasks (8 bytes each); more are joined.
 BROADCAST_NODES = 1_000_000
 
@@ -190,21 +196,49 @@ def sketch_of(rows: DataFrame) -> np.ndarray:
     return sketch.ravel()
 
 
-def stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different keys, the least node of each, and links from it to the key's other nodes as rows of (a, b)."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
+def stars(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different (key, node) with the node's size in order of key, and links as rows of (a, b).
+
+    A key of more than PAIRED nodes, or of one of size 0, becomes one row of its least node with size 0 and links from
+    that to its other nodes.
+    """
+    order = np.lexsort((sizes, nodes, keys))
+    keys, nodes, sizes = keys[order], nodes[order], sizes[order]
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes, sizes = keys[first], nodes[first], sizes[first]
     new = np.ones(len(keys), dtype=bool)
     new[1:] = keys[1:] != keys[:-1]
-    center = nodes[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else nodes
-    links = np.unique(np.stack([center, nodes], axis=1)[center != nodes], axis=0)
-    return keys[new], nodes[new], links
+    starts = np.flatnonzero(new)
+    if not len(starts):
+        return keys, nodes, sizes, np.empty((0, 2), np.int64)
+    held = np.diff(np.append(starts, len(keys)))
+    many = (held > PAIRED) | (np.minimum.reduceat(sizes, starts) == 0)
+    inside = np.repeat(many, held)
+    center = np.repeat(nodes[starts], held)
+    links = np.unique(np.stack([center, nodes], axis=1)[inside & ~new], axis=0)
+    kept = new | ~inside
+    return keys[kept], nodes[kept], np.where(inside, 0, sizes)[kept], links
+
+
+def pairs_by_key(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Pairs (a, b) of nodes of the same key, whose sizes allow a link, as different rows; keys are in order."""
+    pairs = [np.empty((0, 2), np.int64)]
+    for ahead in range(1, PAIRED):
+        at = np.flatnonzero(keys[ahead:] == keys[:-ahead])
+        if not len(at):
+            break
+        a, b = sizes[at], sizes[at + ahead]
+        at = at[100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)]
+        pairs.append(np.unique(np.stack([nodes[at], nodes[at + ahead]], axis=1), axis=0))
+    return np.unique(np.concatenate(pairs), axis=0)
 
 
 def candidate_links(docs: DataFrame, sketch: np.ndarray, shards: int) -> DataFrame:
-    """Links (a, b) that join all nodes which share a shingle of their prefixes: a star for each shingle.
+    """(a, b, open): pairs of nodes that share a shingle of their prefixes, or links that join all nodes which share one.
 
-    A block of documents makes its own stars and sends only their centers on, so a shingle has one row per block.
+    The nodes of a shingle are paired (``open``) while they are few, and else joined by a star. A block of documents makes
+    its own stars and sends only their centers on. Pairs whose sizes allow no link are left out.
     """
     order = docs.sparkSession.sparkContext.broadcast(sketch)
     hashes = Hashes()
@@ -217,27 +251,29 @@ def candidate_links(docs: DataFrame, sketch: np.ndarray, shards: int) -> DataFra
         ]
         return pa.RecordBatch.from_arrays(columns, ["shard", "keys", "links"])
 
-    def closed(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
-        fronts = list(sets.values())
-        nodes = np.repeat(np.array(list(sets), dtype=np.int64), [len(f) for f in fronts])
-        keys, centers, links = stars(np.concatenate(fronts), nodes)
+    def closed(sets: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        fronts = [front for _, front in sets.values()]
+        spans = [len(f) for f in fronts]
+        nodes = np.repeat(np.array(list(sets), dtype=np.int64), spans)
+        sizes = np.repeat(np.array([size for size, _ in sets.values()], dtype=np.uint32), spans)
+        keys, nodes, sizes, links = stars(np.concatenate(fronts), nodes, sizes)
         shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
         bounds = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64)).tolist()
         rows = []
         for number in np.unique(shard).astype(np.int64).tolist():
             a, b = bounds[number], bounds[number + 1]
-            rows.append((number, two(pack_sorted(keys[a:b]), pack(centers[a:b])), b""))
+            rows.append((number, two(pack_sorted(keys[a:b]), two(pack(nodes[a:b]), pack(sizes[a:b]))), b""))
         return message([*rows, (int(nodes[0]) % shards, b"", pack(links.ravel()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[int, tuple[int, np.ndarray]] = {}
         size = 0
         for batch in batches:
             for group in groups_of(batch.column("_text").to_pylist()):
                 for found in shingle_sets(group, hashes):
                     if len(found):
                         front = prefix(found, order.value)
-                        sets[node_of(found)] = front
+                        sets[node_of(found)] = len(found), front
                         size += len(front)
                 if size >= BLOCK_SHINGLES:
                     yield closed(sets)
@@ -246,20 +282,42 @@ def candidate_links(docs: DataFrame, sketch: np.ndarray, shards: int) -> DataFra
             yield closed(sets)
 
     def gather(group: pa.Table) -> pa.Table:
-        keys, nodes, links = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((0, 2), np.int64)]
+        keys, nodes, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        links = [np.empty((0, 2), np.int64)]
         for packed, own in zip(group.column("keys").to_pylist(), group.column("links").to_pylist(), strict=True):
             if own:
                 links.append(unpack(own).reshape(-1, 2))
             else:
-                a, b = split_two(packed)
+                a, rest = split_two(packed)
+                b, c = split_two(rest)
                 keys.append(unpack_sorted(a))
                 nodes.append(unpack(b))
-        links.append(stars(np.concatenate(keys), np.concatenate(nodes))[2])
-        both = np.unique(np.concatenate(links), axis=0)
-        return pa.table({"a": both[:, 0], "b": both[:, 1]})
+                sizes.append(unpack(c))
+        few, own, size, joined = stars(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes))
+        links = np.unique(np.concatenate([*links, joined]), axis=0)
+        pairs = pairs_by_key(few, own, size.astype(np.int64))
+        both = np.concatenate([links, pairs])
+        return pa.table({"a": both[:, 0], "b": both[:, 1], "open": np.arange(len(both)) >= len(links)})
 
     sent = docs.mapInArrow(run, "shard int, keys binary, links binary")
-    return sent.groupBy("shard").applyInArrow(gather, "a long, b long")
+    return sent.groupBy("shard").applyInArrow(gather, "a long, b long, open boolean")
+
+
+def allowed_by_points(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the bound on the group counts of ``nodes`` (node, body) allows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_PAIRS):
+                batch = whole.slice(start, SLICE_PAIRS)
+                a, b = (np.stack([unpack(x) for x in batch.column(c).to_pylist()]).astype(np.int64) for c in ("_a", "_b"))
+                most = np.minimum(a, b).sum(axis=1)
+                fits = (100 + PERCENT) * most >= PERCENT * (a.sum(axis=1) + b.sum(axis=1))
+                yield batch.select(["a", "b"]).filter(pa.array(fits))
+
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("body").alias(f"_{end}")).hint("merge"), end)
+    return pairs.select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
 
 
 SETS = "node long, cluster long, chunk long, n_shingles long, body binary"
@@ -470,9 +528,12 @@ def analysed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     read = stored(with_sets(keyed), "nj-rows")
     rows = read.where("_part IS NULL").drop("_part", "_counts")
     first = F.min(F.struct("_in", "_hash", "n_shingles", "counts"))
-    clusters = components(candidate_links(texts, sketch_of(read), shards))
-    nodes = rows.join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(first.alias("_f"))
+    links = stored(candidate_links(texts, sketch_of(read), shards).distinct(), "nj-links")
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().hint("merge")
+    nodes = rows.join(ends, "node", "left_semi").groupBy("node").agg(first.alias("_f"))
     nodes = stored(nodes.select("node", "_f._in", "_f._hash", "_f.n_shingles", F.col("_f.counts").alias("body")), "nj-nodes")
+    near = allowed_by_points(links.where("open").select("a", "b"), nodes)
+    clusters = components(links.where("NOT open").select("a", "b").unionByName(near))
     points, many = dealt(nodes, clusters)
     clusters = components(all_pairs(points, many, pairs_of_points))
     chosen, many = dealt(nodes.select("node", "_in", "_hash"), clusters)

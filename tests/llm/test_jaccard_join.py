@@ -75,6 +75,34 @@ def test_large_clusters_in_many_chunks_and_small_blocks(spark, monkeypatch):
     assert found(docs) == plain_components([r.doc_id for r in rows], [r.text for r in rows])
 
 
+def test_shingles_of_many_nodes_are_joined_and_of_few_paired(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRED", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 200)
+    docs = odd_documents(spark, corpus(11, bases=8, copies=20)).repartition(4)
+    rows = docs.collect()
+    assert found(docs) == plain_components([r.doc_id for r in rows], [r.text for r in rows])
+
+
+def test_unlike_documents_that_share_rare_shingles_form_no_cluster(spark, monkeypatch):
+    """As in a long input, where the sketch is full and every document shares some shingle with another."""
+    monkeypatch.setattr(jaccard_join, "sketch_of", lambda read: np.zeros(1 << jaccard_join.CELL_BITS, dtype=np.uint8))
+    rng = random.Random(4)
+    shared = [[f"s{i}x{k}" for k in range(25)] for i in range(41)]
+    texts = [" ".join([*shared[i], *(f"d{i}x{k}" for k in range(rng.randint(90, 110))), *shared[i + 1]]) for i in range(40)]
+    texts += [f"{texts[5]} more", f"{texts[5]} words"]
+    sizes, dealt = [], jaccard_join.dealt
+
+    def noted(nodes, clusters):
+        sizes.extend(r["count"] for r in clusters.groupBy("label").count().collect())
+        return dealt(nodes, clusters)
+
+    monkeypatch.setattr(jaccard_join, "dealt", noted)
+    docs = odd_documents(spark, texts)
+    rows = docs.collect()
+    assert found(docs) == plain_components([r.doc_id for r in rows], [r.text for r in rows])
+    assert sizes and max(sizes) == 3
+
+
 def test_tree_never_loses_a_set_that_the_bound_allows():
     rng = np.random.default_rng(5)
     vectors = rng.integers(0, 9, size=(400, jaccard_join.GROUPS))
