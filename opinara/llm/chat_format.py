@@ -98,10 +98,11 @@ def enumerate_paths(nodes: DataFrame) -> DataFrame:
     """
     named = nodes.select("tree", "node", "parent")
     known = named.select("tree", F.col("node").alias("parent"))
-    answers = named.join(known, ["tree", "parent"], "left_semi")
+    # Stored ids are packed so well that Spark would broadcast millions of them; these joins are always merged.
+    answers = named.join(known.hint("merge"), ["tree", "parent"], "left_semi")
     jumps = stored(answers.select("tree", "node", F.col("parent").alias("to")), "chat-jumps")
     answered = jumps.select("tree", F.col("to").alias("node"))
-    leaves = named.join(answered, ["tree", "node"], "left_anti")
+    leaves = named.join(answered.hint("merge"), ["tree", "node"], "left_anti")
     paths = stored(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "chat-paths")
     messages, step = named.count(), 1
     while not jumps.isEmpty():
@@ -166,7 +167,8 @@ def format_conversations(
     nodes = stored(nodes, "chat-nodes")
     paths = enumerate_paths(nodes)
     chosen = stored(ranked_branches(paths, nodes, best), "chat-branches")
-    placed = paths.join(chosen, ["tree", "leaf"]).select("tree", "leaf", "branch", "node", (F.col("turns") - F.col("up")).alias("at"))
+    placed = paths.join(chosen.hint("merge"), ["tree", "leaf"])
+    placed = placed.select("tree", "leaf", "branch", "node", (F.col("turns") - F.col("up")).alias("at"))
     said = messages.select(
         _key(tree).alias("tree"),
         _key(message).alias("node"),
@@ -174,7 +176,7 @@ def format_conversations(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     # An id shared by many branches is a hot key on the side of ids only; adaptive execution splits such a part.
-    worded = placed.join(said, ["tree", "node"])
+    worded = placed.join(said.hint("merge"), ["tree", "node"])
     turns = F.sort_array(F.collect_list(F.struct("at", "role", "text"))).alias("turns")
     whole = worded.groupBy("tree", "leaf", "branch").agg(turns)
     kinds = dict(messages.dtypes)

@@ -75,6 +75,23 @@ def test_paths_equal_walking_up(spark):
         assert [r["leaf"] for r in sorted(got, key=lambda r: r["branch"]) if r["tree"] == tree] == [k[1] for k in order]
 
 
+def test_tables_of_ids_are_never_broadcast_by_their_packed_size(spark, monkeypatch):
+    plans, stored = [], cf.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(cf, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(cf, "stored", noted)
+    rows = [(1, m, m - 1 if m else None, "user", "hi", 1.0) for m in range(6)]
+    messages = spark.createDataFrame(rows, "tree long, message long, parent long, role string, text string, score double")
+    done = cf.format_conversations(messages)
+    assert [r.leaf for r in done.collect()] == [5]
+    plans.append(done._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in p for p in plans) > 5 and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_best_branches(spark):
     rows = tree_rows()
     df = make(spark, rows)
