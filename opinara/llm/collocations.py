@@ -329,7 +329,7 @@ def uncovered(phrases: DataFrame, cover: tuple[int, int] = COVER) -> DataFrame:
     places = F.explode(F.sequence(F.lit(1), F.col("size") - F.col("_size") + 1))
     inner = inner.withColumn("_at", places).select("lang", _part(words, F.col("_at"), F.col("_size")).alias("phrase"), "_longer")
     most = inner.groupBy("lang", "phrase").agg(F.max("_longer").alias("_longer"))
-    joined = phrases.join(most, ["lang", "phrase"], "left")
+    joined = phrases.join(most.hint("merge"), ["lang", "phrase"], "left")  # Spark takes what it explodes for small
     wide = "decimal(30,0)"
     covered = F.expr(f"cast(_longer as {wide}) * {cover[1]} >= cast(a as {wide}) * {cover[0]}")
     return joined.where(F.col("_longer").isNull() | ~covered).drop("_longer")

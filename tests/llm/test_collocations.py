@@ -69,6 +69,15 @@ def test_equals_brute_force(spark, least, first):
     assert got == brute(rows, least, first)
 
 
+def test_exploded_phrases_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(co, "BROADCAST_ROWS", 0)
+    counts = spark.createDataFrame([("en", 1, "a", 40), ("en", 1, "b", 40), ("en", 2, "a b", 35)], "lang string, size int, phrase string, f long")
+    low = co.scored(counts)
+    for found in (low, co.uncovered(low)):
+        assert [r.phrase for r in found.collect()] == ["a b"]
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_windows_cut_short_or_not_give_the_same(spark):
     rows = prose(2)
     docs = make(spark, rows).select("text", co.F.coalesce("lang", co.F.lit("und")).alias("lang"))
