@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.session import stored
+from opinara.session import sized, stored
+
+# Pointers that may be sent to all tasks; more are sorted and merged. Labels repeat, so files of many of them are small.
+BROADCAST_NODES = 200_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,10 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
             labels = up
         else:
             further = up.select(F.col("node").alias("label"), F.col("label").alias("_root"))
-            labels = labels.join(further, "label", "left")
+            labels = labels.join(sized(further, BROADCAST_NODES), "label", "left")
             labels = stored(labels.select("node", F.coalesce("_root", "label").alias("label")), "cc-labels")
-        ends = rest.join(up.select(F.col("node").alias("a"), F.col("label").alias("_a")), "a")
-        ends = ends.join(up.select(F.col("node").alias("b"), F.col("label").alias("_b")), "b")
+        ends = rest.join(sized(up.select(F.col("node").alias("a"), F.col("label").alias("_a")), BROADCAST_NODES), "a")
+        ends = ends.join(sized(up.select(F.col("node").alias("b"), F.col("label").alias("_b")), BROADCAST_NODES), "b")
         rest = stored(ordered(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "cc-edges")
     return labels if labels is not None else edges.sparkSession.createDataFrame([], "node long, label long")
 
@@ -43,7 +46,7 @@ def rooted(up: DataFrame) -> DataFrame:
     while True:
         above = up.select(F.col("node").alias("label"), F.col("label").alias("_above"))
         higher = F.coalesce("_above", "label")
-        step = up.join(above, "label", "left").select("node", higher.alias("label"), (higher != F.col("label")).alias("_moved"))
+        step = up.join(sized(above, BROADCAST_NODES), "label", "left").select("node", higher.alias("label"), (higher != F.col("label")).alias("_moved"))
         step = stored(step, "cc-up")
         moved = step.where("_moved").limit(1).count()
         up = step.drop("_moved")

@@ -48,8 +48,8 @@ CELL_BITS, PART_BITS = 24, 6
 PAIRED = 16
 # Pairs of points unpacked at once.
 SLICE_PAIRS = 2_000
-# Nodes whose ids may be sent to all tasks (8 bytes each); more are joined.
-BROADCAST_NODES = 1_000_000
+# Nodes whose ids may be sent to all tasks; more are joined.
+BROADCAST_NODES = 500_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -461,7 +461,7 @@ def dealt(nodes: DataFrame, clusters: DataFrame) -> tuple[DataFrame, DataFrame |
     own = F.xxhash64("cluster", F.pmod(F.xxhash64("node"), F.ceil(F.col("_size") / CHUNK)))
     placed = clusters.join(sized, "cluster").withColumn("chunk", F.when(small, shared).otherwise(own)).drop("_size")
     many = sized.where(F.col("_size") > CHUNK).select("cluster") if (largest or 0) > CHUNK else None
-    return nodes.join(placed, "node"), many
+    return nodes.join(placed.hint("merge"), "node"), many
 
 
 def all_pairs(rows: DataFrame, many: DataFrame | None, find) -> DataFrame:
@@ -477,7 +477,7 @@ def all_pairs(rows: DataFrame, many: DataFrame | None, find) -> DataFrame:
 def set_rows(texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """The whole sets of the chosen nodes, stored."""
     count = chosen.count()
-    few = F.broadcast(chosen) if count <= BROADCAST_NODES else chosen
+    few = F.broadcast(chosen) if count <= BROADCAST_NODES else chosen.hint("merge")
     sets = stored(candidate_sets(texts, few), "nj-sets")
     if sets.select("node").distinct().count() < count:
         sets = stored(candidate_sets(texts, few, one_part=False), "nj-sets")
@@ -548,10 +548,10 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     linked; a null id is never the least unless a component has no other; an empty table gives no rows.
     """
     rows, linked = analysed(docs.select(F.col(id_column).alias("_doc"), common.whole_text(text).alias("_text")))
-    labelled = rows.join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = rows.join(linked.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = stored(labelled.select("_doc", "n_shingles", "label"), "nj-labels")
     least = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("_doc").alias("_least"))
-    return labelled.join(least, "label", "left").select(
+    return labelled.join(least.hint("merge"), "label", "left").select(
         F.col("_doc").alias(id_column), "n_shingles", F.coalesce("_least", "_doc").alias("component_id")
     )
 
@@ -565,11 +565,11 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     order = F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), F.xxhash64(body).alias("hash"))
     key = F.concat_ws(":", F.coalesce(F.col(id_column).cast("string"), F.lit("null")), F.hex(F.xxhash64(body)))
     rows, linked = analysed(docs.select(order.alias("_order"), key.alias("_key"), body.alias("_text")))
-    labelled = rows.join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = rows.join(linked.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("_order", "_key"))["_key"].alias("_key"))
     wordless = labelled.where("label IS NULL").select("_key", F.lit(True).alias("_all")).distinct()
     kept = stored(first.select("_key", F.lit(False).alias("_all")).unionByName(wordless), "nj-kept")
-    chosen = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key")).join(kept, "_key")
+    chosen = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key")).join(kept.hint("merge"), "_key")
     # Of rows that repeat in full, the first one stays.
     before = F.lag(F.lit(1)).over(Window.partitionBy("_key").orderBy("_key"))
     return chosen.withColumn("_before", before).where("_before IS NULL OR _all").select("_row.*")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from helpers import odd_documents
 
+from opinara.llm import components as components_module
 from opinara.llm import jaccard_join
 from opinara.llm.components import components
 
@@ -141,6 +142,22 @@ def test_empty_table_and_one_of_each(spark):
     assert {900, 901, 902} <= set(ids)
 
 
+def test_many_pointers_and_kept_rows_are_never_broadcast(spark, monkeypatch):
+    plans, stored = [], components_module.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(components_module, "BROADCAST_NODES", 0)
+    monkeypatch.setattr(components_module, "stored", noted)
+    found = components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")).collect()
+    assert {r.label for r in found} == {0} and len(found) == 10
+    assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+    kept = jaccard_join.one_of_each(odd_documents(spark, ["a b c d e f"] * 3))
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 50)] + [(200, i) for i in range(201, 260)] + [(7, 7), (None, 3), (50, 0)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
