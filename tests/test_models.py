@@ -150,6 +150,21 @@ def test_phrases_merge_inside_their_rows(spark, monkeypatch):
     assert merged(df) == (got, True)
 
 
+def test_words_too_rare_for_a_phrase_are_not_joined(spark, monkeypatch):
+    rows = [(i, ["new", "york", f"rare{i}"]) for i in range(9)]
+    df = spark.createDataFrame(rows, "row_id long, tokens array<string>")
+    joined, lookup_join = [], phrases.lookup_join
+
+    def noted(big, table, on, **more):
+        joined.append(table.count())
+        return lookup_join(big, table, on, **more)
+
+    monkeypatch.setattr(phrases, "lookup_join", noted)
+    (found,) = phrases.phrase_scores(df, threshold=0.0).collect()
+    assert (found["a"], found["b"], found["n"]) == ("new", "york", 9)
+    assert found["score"] == pytest.approx((9 - 5) / 9 / 9 * (11 + 10)) and joined == [2, 2]
+
+
 def test_phrases_of_no_words(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, ["x"])], "row_id long, tokens array<string>")
     assert phrases.phrase_scores(df).count() == 0 and phrases.add_phrases(df, "trigram").count() == 3

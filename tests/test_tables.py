@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from opinara import session
 from opinara.operators import distributions as dist
 from opinara.operators import metrics, prepare
 from opinara.operators.folds import fold_limits, stratified_folds
@@ -94,6 +95,17 @@ def test_salted_lookup_equals_broadcast(spark):
     assert one == two and len(one) == 400
 
 
+def test_long_lookup_tables_are_copied_less(spark, monkeypatch):
+    big = spark.range(400).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9).alias("k"))
+    small = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    for rows, copied in ((7 * 16, True), (7 * 5, True), (7, False), (3, False)):
+        monkeypatch.setattr(session, "COPIED_ROWS", rows)
+        for how, expected in (("inner", 312), ("left", 400), ("left_semi", 312)):
+            joined = lookup_join(big, small, ["k"], how, table_rows=7, max_rows=2)
+            assert joined.count() == expected
+            assert ("Generate" in joined._jdf.queryExecution().executedPlan().toString()) == copied
+
+
 def write(tmp_path, name, data: bytes) -> str:
     path = tmp_path / name
     path.write_bytes(data)
