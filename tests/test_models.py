@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import augment, neighbors, phrases, sampling, topics
+from opinara.operators import augment, bayes, neighbors, phrases, sampling, topics
 from opinara.plans import classify
 from opinara.plans import topics as topic_plan
 
@@ -300,6 +300,24 @@ def test_source_columns_named_like_the_jobs_own_change_nothing(spark, algorithm)
     assert found == {r.row_id: r.prediction for r in classify.predict(first, plain).collect()}
 
 
+@pytest.mark.parametrize("kind", ["tf-idf", "bow"])
+def test_predictions_in_one_pass_equal_those_of_single_values(spark, kind):
+    words = ["good", "bad", "plain", "slow", "fast", "cheap"]
+    rows = [(i, float(1 + 4 * (i % 2)), " ".join(words[(i * k + k) % 6] for k in range(1, 6)), float(i % 7)) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, score double, text string, size double")
+    grid = {"alpha": [0.5], "fit_prior": [True]}
+    trained = classify.train(df, classify.JobSpec("score", "naive_bayes", grid, scaler="minmax", text_process=kind, min_df=1, max_df=1.0, unique_category_threshold=1))
+    odd = [(1, 5.0, "good good new", 2.0), (1, 1.0, "bad", None), (None, 1.0, "slow", 1.0), (3, None, None, None), (4, 1.0, "unheard of", 0.0)]
+    asked = df.unionByName(spark.createDataFrame(odd, df.schema))
+    inner = classify.prepared_rows(asked, trained.prepared)
+    long = classify.as_long(inner, trained.prepared, ["row_id"])
+    expected = bayes.predict_bayes(trained.model, inner.select("row_id"), long, 0.5, True)
+    done = classify._predict_bayes(trained, inner)
+    assert sorted(map(str, done.collect())) == sorted(map(str, expected.collect())) and len(done.collect()) == 45
+    assert "Window" in expected._jdf.queryExecution().optimizedPlan().toString() or kind == "bow"
+    assert "Window" not in classify.predict(trained, asked)._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("kind", ["oversampling", "smote", "adasyn"])
 def test_rebalancing_rows_numbered_by_partition(spark, kind):
     rows = [((i % 5) * (100_000 << 33) + i, "lovely" if i % 6 else "awful", 5 if i % 6 else 1, float(i % 11), float(i * i % 13)) for i in range(90)]
